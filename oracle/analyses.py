@@ -422,7 +422,7 @@ _add("cluster_top3", *BEHAVE, "labelled", body=" UNION ALL ".join(
 _add("segment_assignments", *BEHAVE, "labelled", "profile", body="""
 SELECT customer_id, cluster, portrait_label AS cluster_label FROM labelled JOIN profile USING (cluster)""")
 _add("customer_portrait", *BEHAVE, "labelled", "profile", body=f"""
-SELECT {BEHAVIOUR_OUT}, cluster, portrait_label AS cluster_label FROM labelled JOIN profile USING (cluster) WHERE customer_id = 42""")
+SELECT {BEHAVIOUR_OUT}, cluster, portrait_label AS cluster_label FROM labelled JOIN (SELECT cluster, portrait_label FROM profile) USING (cluster) WHERE customer_id = 42""")
 SCALED = (*BEHAVE, "clipped", "scaled", "points", "centres")
 _NEAR = " + ".join(f"(p.{f} - c.{f}) * (p.{f} - c.{f})" for f in F5)
 _FAR = " + ".join(f"(c.{f} - g.{f}) * (c.{f} - g.{f})" for f in F5)

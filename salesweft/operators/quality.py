@@ -74,10 +74,9 @@ def fill_medians(df: DataFrame, fields: list[str]) -> DataFrame:
     fields = [f for f in fields if f in df.columns]
     if not fields:
         return df
-    medians = quantiles.quantile_struct(df, fields, {"p50": 0.5})
-    return df.withColumns({
-        f: F.coalesce(F.col(f).cast("double"), medians.getField(f"{f}_p50")) for f in fields
-    })
+    known = quantiles.with_quantiles(df, df, fields, {"p50": 0.5})
+    filled = {f: F.coalesce(F.col(f).cast("double"), F.col("_q").getField(f"{f}_p50")) for f in fields}
+    return known.withColumns(filled).drop("_q")
 
 
 def fill_unknown(df: DataFrame, fields=tuple(schemas.ENUMS)) -> DataFrame:

@@ -87,15 +87,20 @@ def _slice_of(bounds, value, slices):
     return F.aggregate(steps, start, halve, lambda state: state["lo"])
 
 
-def quantile_struct(df: DataFrame, fields: list[str], probabilities: dict[str, float], slices: int = SLICES):
-    """All quantiles as one struct column, usable inside any other plan.
+def with_quantiles(
+    df: DataFrame, source: DataFrame, fields: list[str], probabilities: dict[str, float],
+    name: str = "_q", slices: int = SLICES,
+) -> DataFrame:
+    """``df`` with all quantiles of ``source`` as one struct column.
 
-    Fields are named ``<field>_<name>``; a field without values is null.
+    Struct fields are ``<field>_<name>``; null for a field without values.
+    The struct is a single-row subquery that stands in the plan once, however
+    often its fields are used afterwards.
     """
-    long = exact_quantiles(df, fields, list(probabilities.values()), slices)
+    long = exact_quantiles(source, fields, list(probabilities.values()), slices)
     picks = [
-        F.max(F.when((F.col("field") == f) & (F.col("probability") == p), F.col("value"))).alias(f"{f}_{name}")
+        F.max(F.when((F.col("field") == f) & (F.col("probability") == p), F.col("value"))).alias(f"{f}_{label}")
         for f in fields
-        for name, p in probabilities.items()
+        for label, p in probabilities.items()
     ]
-    return long.agg(*picks).select(F.struct("*").alias("q")).scalar()
+    return df.withColumn(name, long.agg(*picks).select(F.struct("*").alias("q")).scalar())

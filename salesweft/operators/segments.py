@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from salesweft.functions import dates, labels, numbers
 from salesweft.operators import quantiles, selection
+from salesweft.session import written
 
 # The features of the segmentation.
 FEATURES = [
@@ -80,14 +81,14 @@ def fill_features(df: DataFrame, features: list[str] = FEATURES) -> DataFrame:
 
 def clip_outliers(df: DataFrame, features: list[str] = FEATURES, reach: float = 1.5) -> DataFrame:
     """Clip to the quartiles widened by ``reach`` times their distance."""
-    q = quantiles.quantile_struct(df, features, {"q1": 0.25, "q3": 0.75})
+    known = quantiles.with_quantiles(df, df, features, {"q1": 0.25, "q3": 0.75})
 
     def clipped(f: str) -> Column:
-        q1, q3 = q.getField(f"{f}_q1"), q.getField(f"{f}_q3")
+        q1, q3 = F.col("_q").getField(f"{f}_q1"), F.col("_q").getField(f"{f}_q3")
         low, high = q1 - reach * (q3 - q1), q3 + reach * (q3 - q1)
         return F.least(F.greatest(F.col(f), low), high)
 
-    return df.withColumns({f: clipped(f) for f in features})
+    return known.withColumns({f: clipped(f) for f in features}).drop("_q")
 
 
 def scale(df: DataFrame, features: list[str] = FEATURES, sample: bool = False) -> DataFrame:
@@ -98,16 +99,20 @@ def scale(df: DataFrame, features: list[str] = FEATURES, sample: bool = False) -
     ).select(F.struct("*").alias("s")).scalar()
 
     def scaled(f: str) -> Column:
-        spread = stats.getField(f"{f}_s")
-        return F.when(spread > 0, (F.col(f) - stats.getField(f"{f}_m")) / spread).otherwise(F.lit(0.0))
+        mean, spread = F.col("_s").getField(f"{f}_m"), F.col("_s").getField(f"{f}_s")
+        return F.when(spread > 0, (F.col(f) - mean) / spread).otherwise(F.lit(0.0))
 
-    return df.withColumns({f: scaled(f) for f in features})
+    return df.withColumn("_s", stats).withColumns({f: scaled(f) for f in features}).drop("_s")
 
 
 def prepared_features(behaviour: DataFrame, features: list[str] = FEATURES) -> DataFrame:
-    """Filled, clipped and scaled features next to the customer id."""
-    filled = fill_features(behaviour.select("customer_id", *features), features)
-    return scale(clip_outliers(filled, features), features)
+    """Filled, clipped and scaled features next to the customer id.
+
+    Each step first measures its whole input, so the inputs are written: one
+    narrow row per customer instead of the order lines again.
+    """
+    filled = written(fill_features(behaviour.select("customer_id", *features), features), "features-filled")
+    return scale(written(clip_outliers(filled, features), "features-clipped"), features)
 
 
 def vectors(df: DataFrame, features: list[str] = FEATURES) -> DataFrame:
