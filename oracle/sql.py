@@ -190,9 +190,10 @@ CTES["checked"] = """checked AS (SELECT Source,
   CASE WHEN Source NOT IN ('ERP','POS','ONLINE_EC','APP','MINI_PROGRAM') THEN 'Unknown source type: ' || Source
     WHEN COALESCE(Region, '') = '' THEN 'Missing required field: Region'
     WHEN COALESCE(Category, '') = '' THEN 'Missing required field: Category'
-    WHEN COALESCE(TRY_CAST(Quantity AS BIGINT), 1) < 1 THEN 'Quantity must be at least 1'
+    WHEN Quantity IS NOT NULL AND TRY_CAST(Quantity AS BIGINT) IS NULL THEN 'Unreadable number: Quantity'
+    WHEN TRY_CAST(Quantity AS BIGINT) < 1 THEN 'Quantity must be at least 1'
     WHEN Unit_Price < 0 THEN 'Unit_Price cannot be negative' END AS reject_reason,
-  COALESCE(TRY_CAST(Quantity AS BIGINT), 1) AS Quantity FROM raw)"""
+  TRY_CAST(COALESCE(Quantity, '1') AS BIGINT) AS Quantity FROM raw)"""
 COUNTS = "COUNT(*) AS total, COUNT(*) FILTER (reject_reason IS NULL) AS valid, COUNT(*) FILTER (reject_reason IS NOT NULL) AS invalid"
 _add("validate_reasons", "raw", "checked", body="SELECT reject_reason, COUNT(*) AS records FROM checked GROUP BY 1")
 _add("ingest_stats", "raw", "checked", body=f"""

@@ -9,16 +9,26 @@ from pyspark.sql import Column, DataFrame, functions as F
 from salesweft.sources import order_files, schemas
 
 
+def unreadable(field: str) -> Column:
+    """A value is there but is no number."""
+    return F.col(field).isNotNull() & F.col(field).try_cast("double").isNull()
+
+
 def reject_reason(required: list[str] = schemas.REQUIRED_FIELDS) -> Column:
-    """First failing rule of a record; null when the record is valid."""
+    """First failing rule of a record; null when the record is valid.
+
+    A date only has to be present here; cleaning judges whether it is one.
+    """
     missing = [
         F.when(F.coalesce(F.col(f).cast("string"), F.lit("")) == "", f"Missing required field: {f}")
         for f in required
     ]
     return F.coalesce(
         *missing,
-        F.when(F.col("Quantity") < 1, "Quantity must be at least 1"),
-        F.when(F.col("Unit_Price") < 0, "Unit_Price cannot be negative"),
+        F.when(unreadable("Quantity"), "Unreadable number: Quantity"),
+        F.when(F.col("Quantity").try_cast("double") < 1, "Quantity must be at least 1"),
+        F.when(unreadable("Unit_Price"), "Unreadable number: Unit_Price"),
+        F.when(F.col("Unit_Price").try_cast("double") < 0, "Unit_Price cannot be negative"),
     )
 
 
@@ -29,9 +39,13 @@ def unknown_source(sources: list[str] = schemas.SOURCES) -> Column:
 
 
 def validate(df: DataFrame, sources: list[str] = schemas.SOURCES) -> DataFrame:
-    """Defaults filled in and a ``reject_reason`` column added."""
-    filled = order_files.type_defaults(df)
-    return filled.withColumn("reject_reason", F.coalesce(unknown_source(sources), reject_reason()))
+    """Defaults filled in, ``reject_reason`` added, number fields typed.
+
+    Takes records as they came, numbers as text or typed.
+    """
+    filled = order_files.fill_defaults(df)
+    judged = filled.withColumn("reject_reason", F.coalesce(unknown_source(sources), reject_reason()))
+    return order_files.type_numbers(judged)
 
 
 def valid_records(checked: DataFrame) -> DataFrame:

@@ -249,8 +249,7 @@ def _checked(spark, sf):
     columns = [
         "Order_ID", "Source", "Region", "Order_Date", "Season", "Category", "Product_Code", "Quantity", "Unit_Price",
     ]
-    raw = star.raw_orders(spark, sf, *columns)
-    return ingest.validate(raw.withColumn("Quantity", F.col("Quantity").try_cast("long")))
+    return ingest.validate(star.raw_orders(spark, sf, *columns))
 
 
 @query

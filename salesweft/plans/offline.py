@@ -32,7 +32,7 @@ def ingest_files(
         if source not in schemas.SOURCES:
             continue
         try:
-            frames.append(ingest.tag_source(order_files.read_orders(spark, path, json_array=json_array), source))
+            frames.append(ingest.tag_source(order_files.read_order_text(spark, path, json_array=json_array), source))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -123,16 +123,25 @@ def drop_empty_baskets(baskets: DataFrame, column: str = "Items") -> DataFrame:
     return baskets.where(F.size(column) > 0)
 
 
-def type_defaults(df: DataFrame) -> DataFrame:
+def type_numbers(df: DataFrame) -> DataFrame:
+    """Only the number fields typed; dates stay as they came."""
+    casts: dict[str, Column] = {}
+    for name in schemas.QUALITY_BOUNDS:
+        if name in df.columns:
+            number = F.col(name).try_cast("double")
+            whole = isinstance(schemas.ORDER[name].dataType, T.LongType)
+            casts[name] = number.try_cast("long") if whole else number
+    return df.withColumns(casts) if casts else df
+
+
+def fill_defaults(df: DataFrame) -> DataFrame:
     """Ingest defaults for absent fields: Quantity 1, money 0.0, texts ''."""
-    defaults: dict[str, Column] = {
-        "Quantity": F.lit(1).cast(T.LongType()),
-        "Unit_Price": F.lit(0.0),
-        "Discount": F.lit(0.0),
-        "Total_Amount": F.lit(0.0),
-        "Region": F.lit(""),
-        "Season": F.lit(""),
-        "Category": F.lit(""),
-        "Product_Code": F.lit(""),
+    defaults = {
+        "Quantity": 1, "Unit_Price": 0.0, "Discount": 0.0, "Total_Amount": 0.0,
+        "Region": "", "Season": "", "Category": "", "Product_Code": "",
     }
-    return df.withColumns({n: F.coalesce(F.col(n), d) for n, d in defaults.items() if n in df.columns})
+    return df.withColumns({
+        name: F.coalesce(F.col(name), F.lit(value).cast(df.schema[name].dataType))
+        for name, value in defaults.items()
+        if name in df.columns
+    })

@@ -14,7 +14,6 @@ from pyspark.sql.streaming.query import StreamingQuery
 from salesweft.functions import dates, numbers
 from salesweft.operators import ingest
 from salesweft.session import new_work_dir
-from salesweft.sources import order_files
 
 
 def file_stream(
@@ -50,7 +49,7 @@ def validated_ingest(
     orders: DataFrame, out: str, checkpoint: str, fmt: str = "parquet", continuous: str | None = None
 ) -> StreamingQuery:
     """Defaults, validation, then valid and rejected records to two sinks."""
-    checked = ingest.validate(order_files.type_orders(orders))
+    checked = ingest.validate(orders)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # One pass: the reject flag is the partition folder.
@@ -93,7 +92,7 @@ def _complete_now(aggregated: DataFrame, purpose: str) -> DataFrame:
 
 def source_counts_now(orders: DataFrame) -> DataFrame:
     """Running total, valid and invalid records per source, drained."""
-    checked = ingest.validate(order_files.type_orders(orders))
+    checked = ingest.validate(orders)
     return _complete_now(ingest.source_counts(checked), "source-counts")
 
 
