@@ -1,40 +1,43 @@
 """Exact interpolated quantiles of whole tables without a single-task sort.
 
 ``percentile()`` and ``median()`` merge every distinct value of a column in
-one task.  Here the values are first counted (``groupBy`` with map-side
-combine, so repeated values cost one row each), the counted values are cut
-into slices of about equal size, and a running count is taken over slices
-first and inside the few slices that hold a wanted rank second.
+one task.  Here the values are counted first (``groupBy`` with map-side
+combine, so repeated values cost one row each) and range-partitioned into
+slices.  A running count is taken over the slice totals, then inside the few
+slices that hold a wanted rank.  Spark sizes the slices: one for small data,
+more as the number of distinct values grows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-SLICES = 1000
+from salesweft.session import written
 
 
-def exact_quantiles(df: DataFrame, fields: list[str], probabilities: list[float], slices: int = SLICES) -> DataFrame:
-    """Rows ``(field, probability, value)``, linear interpolation, nulls skipped.
+def _value_counts(df: DataFrame, fields: list[str]) -> DataFrame:
+    """``(field, value, n, slice)``; slices are in value order per field.
 
-    Gives the same values as ``percentile(field, probability)``.
+    Written once, because the slice of a value must be the same in every
+    later step.
     """
-    values = (
+    counted = (
         df.select(*[F.col(f).cast("double").alias(f) for f in fields])
         .unpivot([], fields, "field", "value")
         .where(F.col("value").isNotNull())
         .groupBy("field", "value").agg(F.count("*").alias("n"))
     )
-    # Slice bounds: quantiles of the distinct values, so slices are even.
-    cuts = [i / slices for i in range(1, slices)]
-    bounds = values.groupBy("field").agg(
-        F.array_distinct(F.percentile_approx("value", cuts, slices)).alias("bounds")
-    )
-    # One row per field: the broadcast size is fixed by `slices`.
-    sliced = values.join(F.broadcast(bounds), "field").select(
-        "field", "value", "n", _slice_of(F.col("bounds"), F.col("value"), slices).alias("slice")
-    )
-    per_slice = sliced.groupBy("field", "slice").agg(F.sum("n").alias("slice_n"))
+    sliced = counted.repartitionByRange("field", "value").withColumn("slice", F.spark_partition_id())
+    return written(sliced, "value-counts")
+
+
+def exact_quantiles(df: DataFrame, fields: list[str], probabilities: list[float]) -> DataFrame:
+    """Rows ``(field, probability, value)``, linear interpolation, nulls skipped.
+
+    Gives the same values as ``percentile(field, probability)``.
+    """
+    values = _value_counts(df, fields)
+    per_slice = values.groupBy("field", "slice").agg(F.sum("n").alias("slice_n"))
     over_slices = Window.partitionBy("field").orderBy("slice")
     starts = per_slice.select(
         "field", "slice", "slice_n",
@@ -53,7 +56,7 @@ def exact_quantiles(df: DataFrame, fields: list[str], probabilities: list[float]
     inside = Window.partitionBy("field", "probability", "slice").orderBy("value")
     placed = (
         # At most two slices per field and probability.
-        sliced.join(F.broadcast(wanted), ["field", "slice"])
+        values.join(F.broadcast(wanted), ["field", "slice"])
         .withColumn("upto", F.col("before") + F.sum("n").over(inside))
         .withColumn("from", F.col("upto") - F.col("n"))
     )
@@ -69,27 +72,9 @@ def exact_quantiles(df: DataFrame, fields: list[str], probabilities: list[float]
     return ends.select("field", "probability", value.alias("value"))
 
 
-def _slice_of(bounds, value, slices):
-    """Number of bounds below the value, by binary search in the sorted bounds."""
-    steps = F.sequence(F.lit(1), F.lit(slices.bit_length() + 1))
-    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
-
-    def halve(state, _):
-        mid = F.floor((state["lo"] + state["hi"]) / 2).cast("int")
-        open_ = state["lo"] < state["hi"]
-        right = open_ & (F.get(bounds, mid) < value)
-        left = open_ & ~right
-        return F.struct(
-            F.when(right, mid + 1).otherwise(state["lo"]).alias("lo"),
-            F.when(left, mid).otherwise(state["hi"]).alias("hi"),
-        )
-
-    return F.aggregate(steps, start, halve, lambda state: state["lo"])
-
-
 def with_quantiles(
     df: DataFrame, source: DataFrame, fields: list[str], probabilities: dict[str, float],
-    name: str = "_q", slices: int = SLICES,
+    name: str = "_q",
 ) -> DataFrame:
     """``df`` with all quantiles of ``source`` as one struct column.
 
@@ -97,7 +82,7 @@ def with_quantiles(
     The struct is a single-row subquery that stands in the plan once, however
     often its fields are used afterwards.
     """
-    long = exact_quantiles(source, fields, list(probabilities.values()), slices)
+    long = exact_quantiles(source, fields, list(probabilities.values()))
     picks = [
         F.max(F.when((F.col("field") == f) & (F.col("probability") == p), F.col("value"))).alias(f"{f}_{label}")
         for f in fields

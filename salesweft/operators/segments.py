@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -120,14 +121,20 @@ def vectors(df: DataFrame, features: list[str] = FEATURES) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="features").transform(df)
 
 
-def best_kmeans(vectored: DataFrame, k: int, seeds=range(42, 52), max_iter: int = 300) -> KMeansModel:
+def best_kmeans(
+    vectored: DataFrame, k: int, seeds=range(42, 52), max_iter: int = 300, parallelism: int = 4
+) -> KMeansModel:
     """Lowest training cost over several seeds; expects a cached input.
 
-    A fit ends when no centre moves further than 0.005, that is when the
-    squared moves of unit-variance features sum up to 1e-4.
+    The restarts are independent jobs, so some run side by side.  A fit ends
+    when no centre moves further than 0.005, that is when the squared moves
+    of unit-variance features sum up to 1e-4.
     """
-    fits = [KMeans(k=k, seed=s, maxIter=max_iter, tol=5e-3).fit(vectored) for s in seeds]
-    return min(fits, key=lambda m: m.summary.trainingCost)
+    fit = inheritable_thread_target(vectored.sparkSession)(
+        lambda seed: KMeans(k=k, seed=seed, maxIter=max_iter, tol=5e-3).fit(vectored)
+    )
+    with ThreadPoolExecutor(parallelism) as pool:
+        return min(pool.map(fit, seeds), key=lambda m: m.summary.trainingCost)
 
 
 def silhouette(assigned: DataFrame, label: str = "cluster") -> float:
