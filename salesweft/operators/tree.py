@@ -80,11 +80,14 @@ def _kept_tree(spark: SparkSession, model, slots, min_samples_split: int) -> Nod
         rows = float(r["impurityStats"][0])
         if r["leftChild"] < 0 or rows < min_samples_split:
             return Node(r["prediction"], rows, 0.0)
-        column, value = slots[r["split"]["featureIndex"]]
-        # Encoded values are 0 or 1, so the left side is "not this value".
-        return Node(
-            r["prediction"], rows, r["gain"], column, value, build(r["leftChild"]), build(r["rightChild"])
-        )
+        split = r["split"]
+        column, value = slots[split["featureIndex"]]
+        # One-hot columns are binary categories: the left side lists its values.
+        listed = list(split["leftCategoriesOrThreshold"])
+        one_is_left = 1.0 in listed if split["numCategories"] > 0 else listed[0] >= 1.0
+        left, right = build(r["leftChild"]), build(r["rightChild"])
+        absent, present = (right, left) if one_is_left else (left, right)
+        return Node(r["prediction"], rows, r["gain"], column, value, absent, present)
 
     return build(0)
 
