@@ -41,7 +41,7 @@ def month_bucket(day: Column) -> Column:
 
 def day_text(day: Column) -> Column:
     """``YYYY-MM-DD``."""
-    return F.date_format(day, "yyyy-MM-dd")
+    return day.cast("date").cast("string")
 
 
 def weekday_index(day: Column) -> Column:

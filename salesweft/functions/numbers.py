@@ -4,17 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-MONEY_TYPE = "decimal(18,4)"
+_UNITS = 10_000  # money is exact to four places
+_SPLIT = 1_000_000
 
 
-def money(value: Column) -> Column:
-    """Four-place decimal, so that sums do not depend on row order."""
-    return F.round(value, 4).cast(MONEY_TYPE)
+def money_total(value: Column) -> Column:
+    """Aggregate: exact sum to four places, as ``decimal(38,4)``.
+
+    Each amount becomes a whole number of 1/10000 and is summed in two long
+    parts, so no row builds a decimal, the order of rows does not matter and
+    the sum cannot overflow at any realistic table size.  Missing and
+    non-finite amounts are skipped.
+    """
+    units = F.when(is_finite(value.cast("double")), F.rint(value.cast("double") * float(_UNITS))).cast("long")
+    high = (units / float(_SPLIT)).cast("long")
+    low = units - high * F.lit(_SPLIT)
+    whole = F.sum(high).cast("decimal(20,0)") * F.lit(_SPLIT).cast("decimal(7,0)") + F.sum(low).cast("decimal(20,0)")
+    return (whole.cast("decimal(32,0)") * F.lit("0.0001").cast("decimal(4,4)")).cast("decimal(38,4)")
 
 
 def money_sum(value: Column) -> Column:
-    """Exact decimal sum, handed on as a double."""
-    return F.sum(money(value)).cast("double")
+    """:func:`money_total` as a double."""
+    return money_total(value).cast("double")
 
 
 def half_even(value: Column, digits: int) -> Column:

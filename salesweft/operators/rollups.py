@@ -119,9 +119,9 @@ def overview(df: DataFrame, top_n: int = 5) -> DataFrame:
     """
     base = df.groupBy("year", "category", "city").agg(
         F.sum("order_count").alias("order_count"),
-        F.sum(numbers.money(F.col("sales_amount"))).alias("sales_amount"),
+        numbers.money_total(F.col("sales_amount")).alias("sales_amount"),
         F.sum("customer_count").alias("customer_count"),
-        F.sum(numbers.money(F.col("profit"))).alias("profit"),
+        numbers.money_total(F.col("profit")).alias("profit"),
     )
     sets = base.groupingSets(
         [[], [F.col("year")], [F.col("category")], [F.col("city")]],
@@ -183,7 +183,7 @@ def rollup_orders(df: DataFrame, dims: list[str]) -> DataFrame:
     """Order count, quantity, amount and average per present dimensions."""
     sums = selection.present_keys(df, dims).groupBy(*dims).agg(
         *_order_sums(
-            F.sum("Quantity"), F.sum(numbers.money(F.col("Total_Amount"))), F.count("Order_ID")
+            F.sum("Quantity"), numbers.money_total(F.col("Total_Amount")), F.count("Order_ID")
         )
     )
     return _with_average(sums, dims)
@@ -229,7 +229,7 @@ def rollup_all(df: DataFrame, sets: dict[str, list[str]] = DIMENSION_SETS) -> Da
     base = df.groupBy(*dims).agg(
         F.count("Order_ID").alias("n"),
         F.sum("Quantity").alias("q"),
-        F.sum(numbers.money(F.col("Total_Amount"))).alias("a"),
+        numbers.money_total(F.col("Total_Amount")).alias("a"),
     )
     grouped = base.groupingSets([[F.col(d) for d in s] for s in sets.values()], *[F.col(d) for d in dims]).agg(
         F.grouping_id().alias("gid"), *_order_sums(F.sum("q"), F.sum("a"), F.sum("n"))

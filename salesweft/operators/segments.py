@@ -38,7 +38,7 @@ def behaviour_table(lines: DataFrame) -> DataFrame:
     """
     present = selection.present_keys(lines, ["customer_id", "order_id"])
     orders = present.groupBy("customer_id", "order_id").agg(
-        F.sum(numbers.money(F.col("sales_amount"))).alias("spend"),
+        numbers.money_total(F.col("sales_amount")).alias("spend"),
         F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"),
     )
     newest = lines.agg(F.max("order_date").alias("day")).scalar()

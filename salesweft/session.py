@@ -17,6 +17,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # The JVM does not compile methods above 8000 bytes; Spark's per-operator
+    # code is faster than one large method that stays interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

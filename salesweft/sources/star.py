@@ -58,8 +58,8 @@ def age_band(balance: Column) -> Column:
 
 
 def _expressions() -> dict[str, Column]:
-    amount = numbers.money(F.col("l_extendedprice") * (1 - F.col("l_discount")))
-    cost = numbers.money(F.col("l_quantity") * F.col("p_retailprice"))
+    amount = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    cost = F.col("l_quantity") * F.col("p_retailprice")
     day = F.col("o_orderdate").cast("date")
     return {
         "store_id": F.col("l_suppkey"),
@@ -75,7 +75,7 @@ def _expressions() -> dict[str, Column]:
         "product_count": F.col("l_quantity"),
         "sales_amount": amount,
         "cost": cost,
-        "profit": (amount - cost).cast(numbers.MONEY_TYPE),
+        "profit": amount - cost,
         "unit_price": F.col("l_extendedprice") / F.col("l_quantity"),
         "order_id": F.col("l_orderkey"),
         "customer_id": F.col("o_custkey"),
@@ -150,7 +150,7 @@ def _choice(value: Column, mapping: dict) -> Column:
 def _raw_expressions() -> dict[str, tuple[tuple[str, ...], Column]]:
     part, day = F.col("l_partkey"), F.col("o_orderdate").cast("date")
     customer = F.col("o_custkey")
-    amount = numbers.money(F.col("l_extendedprice") * (1 - F.col("l_discount")))
+    amount = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     quantity = F.col("l_quantity").cast("long").cast("string")
     return {
         "Order_ID": ((), F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber"))),
@@ -178,8 +178,8 @@ def _raw_expressions() -> dict[str, tuple[tuple[str, ...], Column]]:
             (),
             F.when(part % 71 == 0, F.lit(-1.0)).otherwise(F.col("l_extendedprice") / F.col("l_quantity")),
         ),
-        "Discount": ((), numbers.money(F.col("l_extendedprice") * F.col("l_discount")).cast("double")),
-        "Total_Amount": ((), amount.cast("double")),
+        "Discount": ((), numbers.half_even(F.col("l_extendedprice") * F.col("l_discount"), 4)),
+        "Total_Amount": ((), numbers.half_even(amount, 4)),
         "Customer_ID": (("orders",), F.concat(F.lit("CUST-"), customer.cast("string"))),
         "Gender": (
             ("orders",),
