@@ -2,9 +2,9 @@
 
 The fact is normally one wide table.  Here its columns come from several
 tables, so each column names the table it needs and only those tables are
-joined: revenue by category never touches customers.  Joins carry no hint;
-Spark broadcasts a side only when its known or measured size is below the
-configured threshold, and splits skewed partitions otherwise.
+joined: revenue by category never touches customers.  Dimension joins carry no
+hint; Spark broadcasts a side only when its known or measured size is below
+the configured threshold, and splits skewed partitions otherwise.
 """
 
 from __future__ import annotations
@@ -40,12 +40,29 @@ FACT_TABLES = {
     "weekday": ("orders",),
 }
 
+# The default size of one input split.
+SMALL_INPUT_BYTES = 128 * 1024 * 1024
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One table of the star schema."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def order_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The line table, spread over the cores when it is a single small file.
+
+    A file of one row group is one task however many cores there are.  Below
+    the size of one input split the lines are spread by order; larger tables
+    have enough splits of their own and are left alone.
+    """
+    lines = table(spark, folder, "lineitem")
+    size = int(lines._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size < SMALL_INPUT_BYTES:
+        return lines.repartition(spark.sparkContext.defaultParallelism, "l_orderkey")
+    return lines
+
+
 def age_band(balance: Column) -> Column:
     """Stand-in age group from the account balance."""
     return (
@@ -89,22 +106,25 @@ def _expressions() -> dict[str, Column]:
 
 
 def _join_tables(spark: SparkSession, folder: str, needed: set[str], year: int | None, lines: DataFrame | None):
-    line = lines if lines is not None else table(spark, folder, "lineitem")
+    line = lines if lines is not None else order_lines(spark, folder)
     if "orders" in needed:
         orders = table(spark, folder, "orders")
         if year:
             orders = orders.where(year_range(F.col("o_orderdate").cast("date"), year))
-        # Small tables first: the customer side grows by two columns, then
-        # one join brings customers and orders together.
+        # Each dimension is joined by itself, so that Spark judges its size by
+        # itself: a join of dimensions would be estimated as their product.
         if "customer" in needed:
             customer = table(spark, folder, "customer")
+            orders = orders.join(customer, orders.o_custkey == customer.c_custkey)
             if "nation" in needed:
                 nation = table(spark, folder, "nation")
+                orders = orders.join(nation, orders.c_nationkey == nation.n_nationkey)
                 if "region" in needed:
                     region = table(spark, folder, "region")
-                    nation = nation.join(region, nation.n_regionkey == region.r_regionkey)
-                customer = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-            orders = orders.join(customer, orders.o_custkey == customer.c_custkey)
+                    orders = orders.join(region, orders.n_regionkey == region.r_regionkey)
+            # Orders and lines are both fact-sized and share one partitioning
+            # by order; neither is ever worth a broadcast to the other.
+            orders = orders.hint("merge")
         line = line.join(orders, line.l_orderkey == orders.o_orderkey)
     if "part" in needed:
         part = table(spark, folder, "part")
