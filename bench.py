@@ -16,13 +16,11 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "sales_by_date", "sales_by_category", "sales_by_city", "sales_summary", "yearly_summary", "overview_topk",
-    "filter_conjunction", "filter_options", "year_pruned_sales", "clean_orders", "quality_report", "median_fill",
-    "dedup_first", "ingest_stats", "rollup_all", "rollup_region_date", "keyed_reduce", "baskets_city_day",
-    "frequent_itemsets", "frequent_products", "assoc_rules", "fpgrowth_itemsets", "feature_table",
-    "stocking_insights", "decision_rules", "daily_series", "order_selection", "forecast_interval",
-    "season_decompose", "trend_season_forecast", "behaviour_table", "scaled_features", "cluster_profile",
-    "db_score", "tree_metrics", "stream_ingest", "stream_daily_sales",
+    "sales_by_date", "sales_by_category", "sales_by_city", "yearly_summary", "overview_topk", "filter_options",
+    "year_pruned_sales", "clean_orders", "quality_report", "dedup_first", "ingest_stats", "rollup_all",
+    "rollup_region_date", "baskets_city_day", "frequent_itemsets", "assoc_rules", "fpgrowth_itemsets",
+    "stocking_insights", "daily_series", "forecast_interval", "season_decompose", "behaviour_table",
+    "scaled_features", "db_score", "stream_ingest",
 ]
 
 
