@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders that this process removes when it ends; on other file systems the
+# cluster's own clean-up of its checkpoint folder does it.
+_LOCAL: set[str] = set()
+
 # Settings the operators are designed around.  All of them are runtime
 # choices of Spark itself: partition coalescing, skewed-join splitting and
 # size-checked broadcast conversion.
@@ -34,24 +40,36 @@ def build_session(master: str | None = None, app: str = "salesweft", **conf: str
 
 
 def work_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder for intermediate tables.
 
-    Only when the cluster names none (unit tests, a laptop) is a local
-    temporary folder made and registered, once per session.
+    It is the folder the cluster names in ``spark.checkpoint.dir``, else one
+    below ``spark.sql.warehouse.dir``, which executors share with the driver
+    as well.  A cluster that names neither gets an error instead of a folder
+    that only one machine can see.
     """
-    context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = context.getLocalProperty("salesweft.work.root")
-    if not root:
-        root = tempfile.mkdtemp(prefix="salesweft-")
-        context.setLocalProperty("salesweft.work.root", root)
-    return root.rstrip("/")
+    conf = spark.sparkContext.getConf()
+    root = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if not spark.sparkContext.master.split("[")[0] == "local" and not conf.contains("spark.sql.warehouse.dir"):
+        raise ValueError("set spark.checkpoint.dir (or spark.sql.warehouse.dir) to a folder that all machines share")
+    return f"{warehouse.rstrip('/')}/salesweft-work"
+
+
+def session_dir(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables."""
+    return f"{work_root(spark)}/salesweft/{spark.sparkContext.applicationId}"
 
 
 def new_work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path under :func:`work_root` (never reused between runs)."""
-    return f"{work_root(spark)}/salesweft/{purpose}-{uuid.uuid4().hex}"
+    """A fresh path under :func:`session_dir` (never reused between runs)."""
+    folder = session_dir(spark)
+    local = urlparse(folder)
+    if local.scheme in ("", "file") and folder not in _LOCAL:
+        _LOCAL.add(folder)
+        atexit.register(shutil.rmtree, local.path, ignore_errors=True)
+    return f"{folder}/{purpose}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
