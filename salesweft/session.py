@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import uuid
 from urllib.parse import urlparse
@@ -57,6 +58,18 @@ def work_root(spark: SparkSession) -> str:
     return f"{warehouse.rstrip('/')}/salesweft-work"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where it lies.
+
+    Executors elsewhere need it installed or sent along (``--py-files``).
+    """
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, home])
+
+
 def session_dir(spark: SparkSession) -> str:
     """The folder of this application's intermediate tables."""
     return f"{work_root(spark)}/salesweft/{spark.sparkContext.applicationId}"
