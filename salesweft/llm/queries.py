@@ -2,20 +2,32 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesweft.llm import exact_dedup, quality_rules, secret_scan
+from salesweft.llm import exact_dedup, language_id, quality_model, quality_rules, secret_scan
 from salesweft.llm.columns import table
+from salesweft.session import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def query(function):
-    QUERIES[function.__name__] = function
-    return function
+    @functools.wraps(function)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        importable(spark)
+        return function(spark, sf)
+
+    QUERIES[function.__name__] = run
+    return run
+
+
+@query
+def op1_quality_classifier(spark, sf):
+    return quality_model.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
 @query
@@ -23,6 +35,11 @@ def op7_secret_scan(spark, sf):
     return secret_scan.secret_counts(table(spark, sf, "documents"))
 
 
+@query
+def op8_language_id(spark, sf):
+    return language_id.language_ids(table(spark, sf, "documents"))
+
+
 @query
 def op9_quality_rules(spark, sf):
     return quality_rules.quality_rules(table(spark, sf, "documents"))
