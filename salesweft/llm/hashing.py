@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 SLICE_BYTES = 1 << 21
 _BASE = 0x9E3779B97F4A7C15

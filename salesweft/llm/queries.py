@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesweft.llm import exact_dedup, language_id, quality_model, quality_rules, secret_scan
+from salesweft.llm import exact_dedup, language_id, ngram_join, quality_model, quality_rules, secret_scan
 from salesweft.llm.columns import table
 from salesweft.session import importable
 
@@ -30,6 +30,11 @@ def op1_quality_classifier(spark, sf):
     return quality_model.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query
+def op2_ngram_jaccard_join(spark, sf):
+    return ngram_join.joined(table(spark, sf, "documents")).drop("row")
+
+
 @query
 def op7_secret_scan(spark, sf):
     return secret_scan.secret_counts(table(spark, sf, "documents"))
