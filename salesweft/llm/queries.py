@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesweft.llm import exact_dedup, language_id, ngram_join, quality_model, quality_rules, secret_scan
+from salesweft.llm import exact_dedup, language_id, ngram_join, packing, quality_model, quality_rules, secret_scan, warc
 from salesweft.llm.columns import table
 from salesweft.session import importable
 
@@ -35,6 +35,29 @@ def op2_ngram_jaccard_join(spark, sf):
     return ngram_join.joined(table(spark, sf, "documents")).drop("row")
 
 
+@query
+def op3_warc(spark, sf):
+    return warc.round_trip(spark, table(spark, sf, "pages"))
+
+
+SQL["op3_warc"] = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+q AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, payload_digest,
+         max(page_id) OVER (PARTITION BY payload) AS newest
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> newest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> newest THEN newest END AS refers_to
+FROM q"""
+
+
+@query
+def op4_best_fit_packing(spark, sf):
+    return packing.packed_documents(table(spark, sf, "documents"))
+
+
 @query
 def op7_secret_scan(spark, sf):
     return secret_scan.secret_counts(table(spark, sf, "documents"))
