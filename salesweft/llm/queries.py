@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesweft.llm import exact_dedup, language_id, ngram_join, packing, quality_model, quality_rules, secret_scan, warc
+from salesweft.llm import exact_dedup, language_id, mixing, ngram_join, packing, quality_model, quality_rules, secret_scan, warc
 from salesweft.llm.columns import table
 from salesweft.session import importable
 
@@ -58,6 +58,14 @@ def op4_best_fit_packing(spark, sf):
     return packing.packed_documents(table(spark, sf, "documents"))
 
 
+MIX = {"clean": 0.7, "low": 0.2, "toxic": 0.1}
+
+
+@query
+def op5_mixing(spark, sf):
+    return mixing.mixing_rates(table(spark, sf, "documents"), mixing.label_domains(table(spark, sf, "labels")), MIX)
+
+
 @query
 def op7_secret_scan(spark, sf):
     return secret_scan.secret_counts(table(spark, sf, "documents"))
