@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesweft.llm import exact_dedup, language_id, mixing, ngram_join, packing, quality_model, quality_rules, secret_scan, warc
+from salesweft.llm import exact_dedup, language_id, line_dedup, mixing, ngram_join, packing, quality_model, quality_rules, secret_scan, warc
 from salesweft.llm.columns import table
 from salesweft.session import importable
 
@@ -66,6 +66,11 @@ def op5_mixing(spark, sf):
     return mixing.mixing_rates(table(spark, sf, "documents"), mixing.label_domains(table(spark, sf, "labels")), MIX)
 
 
+@query
+def op6_line_dedup(spark, sf):
+    return line_dedup.removed_lines(table(spark, sf, "documents")).drop("source_row")
+
+
 @query
 def op7_secret_scan(spark, sf):
     return secret_scan.secret_counts(table(spark, sf, "documents"))
