@@ -70,8 +70,8 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     doc, words, shapes = _tokens(texts)
     families = [hashing.grams(words, doc, n) for n in (1, 2)] + [hashing.grams(shapes, doc, n) for n in (1, 2, 3)]
     if len(words) > 1:
-        same = (words[1:] == words[:-1]) & (doc[1:] == doc[:-1])
-        families.append((np.where(same, np.uint64(1), np.uint64(2)), doc[1:]))
+        inside = doc[1:] == doc[:-1]
+        families.append((np.where(words[1:] == words[:-1], np.uint64(1), np.uint64(2))[inside], doc[1:][inside]))
     found, owner, value = [], [], []
     for salt, (grams, of) in enumerate(families):
         sizes = np.bincount(of, minlength=len(texts))
