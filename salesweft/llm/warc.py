@@ -46,21 +46,21 @@ ROLL_BYTES = 64 << 20
 SHARD_BYTES = 16 << 20
 CELLS = 20_000
 LEVEL = 4
+MAX_TASKS = 20_000
 DATE = "2024-01-01T00:00:00Z"  # capture time of pages that come without one
 MANIFEST = "shard int, file string, records long, bytes long, sha256 string"
 
 
-def record_types(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
-    """page_id, url, payload and, for revisits, refers_to."""
+def revisits(pages: DataFrame, id_column: str = "page_id", html_column: str = "html", revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
+    """(page_id, same, refers_to) of the pages that revisit another one; ``same`` is the payload's SHA-256.
+
+    Digests only: payloads do not move for this decision.
+    """
     payload = F.encode(F.coalesce(F.col(html_column), F.lit("")), "UTF-8")
-    rows = pages.select(F.col(id_column).alias("page_id"), F.coalesce(F.col(url_column), F.lit("")).alias("url"), payload.alias("payload"))
-    rows = rows.select("*", F.octet_length("payload").alias("size"), F.unhex(F.sha2("payload", 256)).alias("same"))
-    groups = (
-        rows.where(F.col("size") >= revisit_bytes).groupBy("same").agg(F.max("page_id").alias("newest"), F.count("*").alias("n"))
-        .where("n > 1 AND newest IS NOT NULL").select("same", "newest")
-    )
-    revisit = F.col("newest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("newest"))
-    return rows.join(groups, "same", "left").select("page_id", "url", "payload", F.when(revisit, F.col("newest")).alias("refers_to"))
+    rows = pages.select(F.col(id_column).alias("page_id"), F.octet_length(payload).alias("size"), F.unhex(F.sha2(payload, 256)).alias("same")).where(F.col("size") >= revisit_bytes)
+    groups = rows.groupBy("same").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 AND refers_to IS NOT NULL")
+    found = rows.join(groups.select("same", "refers_to"), "same")
+    return found.where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "same", "refers_to").distinct()
 
 
 def _identifier(page: int | None, url: str) -> str:
@@ -111,6 +111,7 @@ def _writer(folder: str, roll_bytes: int):
 
         files, root = _open(folder)
         attempt = str(TaskContext.get().taskAttemptId())
+        noted_page, notes = None, {}
         now: dict = {"shard": None, "number": 0, "stream": io.BytesIO(), "records": 0, "done": []}
 
         def roll() -> None:
@@ -129,10 +130,17 @@ def _writer(folder: str, roll_bytes: int):
             return pa.RecordBatch.from_pylist(done, pa.schema([("shard", pa.int32()), ("file", pa.string()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())]))
 
         for batch in batches:
-            for shard, page, url, payload, refers in zip(*[batch.column(c).to_pylist() for c in ("shard", "page_id", "url", "payload", "refers_to")]):
+            for shard, page, url, payload, same, refers in zip(*[batch.column(c).to_pylist() for c in ("shard", "page_id", "url", "payload", "same", "refers_to")]):
                 if now["shard"] not in (None, shard):
                     yield close()
                 now["shard"] = shard
+                if page != noted_page:
+                    noted_page, notes = page, {}
+                if payload is None:
+                    # A note: the record of this page with this payload is a revisit.
+                    notes[same] = refers
+                    continue
+                refers = notes.get(hashlib.sha256(payload).digest()) if notes else None
                 now["stream"].write(gzip.compress(record(page, url, payload, refers), LEVEL, mtime=0))
                 now["records"] += 1
                 if now["stream"].tell() >= roll_bytes:
@@ -166,9 +174,14 @@ def write_pages(pages: DataFrame, folder: str, id_column: str = "page_id", url_c
     folder = _uri(folder)
     files, root = _open(folder)
     files.create_dir(root, recursive=True)
-    rows = record_types(pages, id_column, url_column, html_column, revisit_bytes)
-    sharded = _with_shards(rows, pages, id_column, html_column, shard_bytes)
-    dealt = sharded.repartition("shard").sortWithinPartitions("shard", "page_id", "url", F.xxhash64("payload"))
+    url, html = F.coalesce(F.col(url_column), F.lit("")), F.coalesce(F.col(html_column), F.lit(""))
+    empty = F.lit(None)
+    records = pages.select(F.col(id_column).alias("page_id"), url.alias("url"), F.encode(html, "UTF-8").alias("payload"), empty.cast("binary").alias("same"), empty.cast("long").alias("refers_to"))
+    notes = revisits(pages, id_column, html_column, revisit_bytes)
+    notes = notes.select("page_id", F.lit("").alias("url"), empty.cast("binary").alias("payload"), "same", F.col("refers_to").cast("long").alias("refers_to"))
+    # Notes travel with the records and sort before them, so payloads move once.
+    sharded = _with_shards(records.unionByName(notes), pages, id_column, html_column, shard_bytes)
+    dealt = sharded.repartition("shard").sortWithinPartitions("shard", "page_id", F.col("payload").isNotNull(), "url", F.xxhash64("payload"))
     return written(dealt.mapInArrow(_writer(folder, roll_bytes), MANIFEST), "warc-manifest")
 
 
@@ -233,7 +246,8 @@ def read_records(manifest: DataFrame, folder: str, with_payload: bool = True) ->
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
     kinds = {"page_id": "long", "url": "string", "payload": "binary", "payload_bytes": "long", "payload_digest": "string", "record_type": "string", "refers_to": "long"}
-    files = manifest.select("file", "records").repartition("file")
+    # One task per file: a manifest row is small, the file behind it is not.
+    files = manifest.select("file", "records").repartition(max(1, min(manifest.count(), MAX_TASKS)), "file")
     return files.mapInArrow(run, ", ".join(f"{n} {kinds[n]}" for n in names))
 
 
