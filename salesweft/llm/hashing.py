@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}

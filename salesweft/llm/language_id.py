@@ -32,7 +32,7 @@ SIZES = (1, 2, 3)
 ROWS_PER_LANGUAGE = 2500
 MAX_LANGUAGES = 64
 SMOOTHING = 0.5
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 UNKNOWN = "und"
 
 _PLAIN = np.arange(128, dtype=np.uint32)

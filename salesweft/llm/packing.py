@@ -33,7 +33,7 @@ from salesweft.session import written
 CAPACITY = 2048
 END = 0
 CHUNKS = 1024
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
