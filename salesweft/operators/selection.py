@@ -40,12 +40,11 @@ def distinct_values(df: DataFrame, field: str) -> DataFrame:
 def filter_options(df: DataFrame, fields: list[str]) -> DataFrame:
     """All distinct values of several fields as ``(field, value)``.
 
-    The combinations are made distinct first, so the unpivot runs over the
-    few value combinations instead of over every row.
+    Unpivoted first: every task then keeps at most the sum of the fields'
+    distinct values, where distinct combinations would be their product.
     """
-    combos = df.select(*[F.col(f).cast("string").alias(f) for f in fields]).distinct()
     return (
-        combos.unpivot([], fields, "field", "value")
+        df.select(*[F.col(f).cast("string").alias(f) for f in fields]).unpivot([], fields, "field", "value")
         .where(F.col("value").isNotNull()).distinct().orderBy("field", "value")
     )
 

@@ -40,29 +40,12 @@ FACT_TABLES = {
     "weekday": ("orders",),
 }
 
-# The default size of one input split.
-SMALL_INPUT_BYTES = 128 * 1024 * 1024
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One table of the star schema."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """The line table, spread over the cores when it is a single small file.
-
-    A file of one row group is one task however many cores there are.  Below
-    the size of one input split the lines are spread by order; larger tables
-    have enough splits of their own and are left alone.
-    """
-    lines = table(spark, folder, "lineitem")
-    size = int(lines._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size < SMALL_INPUT_BYTES:
-        return lines.repartition(spark.sparkContext.defaultParallelism, "l_orderkey")
-    return lines
-
-
 def age_band(balance: Column) -> Column:
     """Stand-in age group from the account balance."""
     return (
@@ -93,7 +76,7 @@ def _expressions() -> dict[str, Column]:
         "sales_amount": amount,
         "cost": cost,
         "profit": amount - cost,
-        "unit_price": F.col("l_extendedprice") / F.col("l_quantity"),
+        "unit_price": F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0)),
         "order_id": F.col("l_orderkey"),
         "customer_id": F.col("o_custkey"),
         "order_date": day,
@@ -106,7 +89,7 @@ def _expressions() -> dict[str, Column]:
 
 
 def _join_tables(spark: SparkSession, folder: str, needed: set[str], year: int | None, lines: DataFrame | None):
-    line = lines if lines is not None else order_lines(spark, folder)
+    line = lines if lines is not None else table(spark, folder, "lineitem")
     if "orders" in needed:
         orders = table(spark, folder, "orders")
         if year:
@@ -122,9 +105,6 @@ def _join_tables(spark: SparkSession, folder: str, needed: set[str], year: int |
                 if "region" in needed:
                     region = table(spark, folder, "region")
                     orders = orders.join(region, orders.n_regionkey == region.r_regionkey)
-            # Orders and lines are both fact-sized and share one partitioning
-            # by order; neither is ever worth a broadcast to the other.
-            orders = orders.hint("merge")
         line = line.join(orders, line.l_orderkey == orders.o_orderkey)
     if "part" in needed:
         part = table(spark, folder, "part")
@@ -196,7 +176,7 @@ def _raw_expressions() -> dict[str, tuple[tuple[str, ...], Column]]:
         ),
         "Unit_Price": (
             (),
-            F.when(part % 71 == 0, F.lit(-1.0)).otherwise(F.col("l_extendedprice") / F.col("l_quantity")),
+            F.when(part % 71 == 0, F.lit(-1.0)).otherwise(F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0))),
         ),
         "Discount": ((), numbers.half_even(F.col("l_extendedprice") * F.col("l_discount"), 4)),
         "Total_Amount": ((), numbers.half_even(amount, 4)),
