@@ -6,6 +6,7 @@ from pyspark.sql import Column, functions as F
 
 _UNITS = 10_000  # money is exact to four places
 _SPLIT = 1_000_000
+_WIDE = 1e14
 
 
 def money_total(value: Column) -> Column:
@@ -13,14 +14,21 @@ def money_total(value: Column) -> Column:
 
     Each amount becomes a whole number of 1/10000 and is summed in two long
     parts, so no row builds a decimal, the order of rows does not matter and
-    the sum cannot overflow at any realistic table size.  Missing and
-    non-finite amounts are skipped.
+    the sum cannot overflow at any realistic table size.  Amounts of 1e14 and
+    more, which no long part can hold, are summed as decimals of their own; a
+    double has no places below one there.  Missing and non-finite amounts, and
+    amounts of 1e26 and more, are skipped.
     """
-    units = F.when(is_finite(value.cast("double")), F.rint(value.cast("double") * float(_UNITS))).cast("long")
+    amount = value.cast("double")
+    plain = is_finite(amount) & (F.abs(amount) < F.lit(_WIDE))
+    units = F.when(plain, F.rint(amount * float(_UNITS))).cast("long")
     high = (units / float(_SPLIT)).cast("long")
     low = units - high * F.lit(_SPLIT)
+    wide = F.when(~plain & (F.abs(amount) < F.lit(1e26)), amount).cast("decimal(27,0)")
     whole = F.sum(high).cast("decimal(20,0)") * F.lit(_SPLIT).cast("decimal(7,0)") + F.sum(low).cast("decimal(20,0)")
-    return (whole.cast("decimal(32,0)") * F.lit("0.0001").cast("decimal(4,4)")).cast("decimal(38,4)")
+    small = (whole.cast("decimal(32,0)") * F.lit("0.0001").cast("decimal(4,4)")).cast("decimal(38,4)")
+    large = F.sum(wide).cast("decimal(38,4)")
+    return F.when(large.isNull(), small).otherwise(F.coalesce(small, F.lit(0).cast("decimal(38,4)")) + large).cast("decimal(38,4)")
 
 
 def money_sum(value: Column) -> Column:

@@ -82,18 +82,22 @@ def _count_extensions(projected: DataFrame) -> DataFrame:
     )
 
 
-def _project(projected: DataFrame, frequent: DataFrame) -> DataFrame:
+def _project(projected: DataFrame, frequent: DataFrame, first: bool) -> DataFrame:
     """Baskets seen from prefixes that are one item longer.
 
     ``allowed`` lists the frequent extensions of a prefix; items outside it
-    can never be part of a longer frequent set (subset pruning).
+    can never be part of a longer frequent set (subset pruning).  At the first
+    level there is one empty prefix, so the list is a single value and no join
+    is needed.
     """
-    allowed = frequent.groupBy("prefix").agg(F.collect_set("item").alias("allowed"))
-    pruned = projected.join(allowed, "prefix").select(
-        "prefix", F.array_intersect("rest", "allowed").alias("rest"), "w"
-    ).where(F.size("rest") > 1)
+    if first:
+        listed = projected.withColumn("allowed", frequent.agg(F.collect_set("item")).scalar())
+    else:
+        listed = projected.join(frequent.groupBy("prefix").agg(F.collect_set("item").alias("allowed")), "prefix")
+    pruned = listed.select("prefix", F.array_intersect("rest", "allowed").alias("rest"), "w")
     return (
-        pruned.select("prefix", F.posexplode("rest").alias("at", "item"), "rest", "w")
+        # The outer form keeps the intersection from being computed again for a filter.
+        pruned.select("prefix", F.posexplode_outer("rest").alias("at", "item"), "rest", "w")
         .where(F.col("at") < F.size("rest") - 1)
         .select(
             F.array_append("prefix", F.col("item")).alias("prefix"),
@@ -127,7 +131,7 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.01, max_length:
         )
         if length == max_length or frequent.isEmpty():
             break
-        projected = written(_project(projected, frequent), f"basket-suffixes-{length}")
+        projected = written(_project(projected, frequent, length == 1), f"basket-suffixes-{length}")
     return written(reduce(DataFrame.unionByName, levels), "itemsets")
 
 

@@ -235,7 +235,8 @@ def davies_bouldin(labelled: DataFrame, features: list[str] = FEATURES, cluster:
     """Mean over clusters of the worst (scatter sum / centroid distance).
 
     Centroids are k rows; they are gathered into one small array, compared
-    there, and no pair of data rows is ever formed.
+    there, and no pair of data rows is ever formed.  Clusters whose centroids
+    coincide count 0 against each other.
     """
     centre = cluster_stats(labelled, features, cluster).select(
         F.col(cluster).alias("_c"), F.array(*features).alias("centre")
@@ -245,14 +246,16 @@ def davies_bouldin(labelled: DataFrame, features: list[str] = FEATURES, cluster:
         F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v
     )
     scatter = (
-        labelled.join(F.broadcast(centre), labelled[cluster] == centre["_c"])
+        labelled.join(centre, labelled[cluster] == centre["_c"])
         .groupBy("_c", "centre").agg(F.avg(F.sqrt(squared(point, F.col("centre")))).alias("s"))
     )
     gathered = scatter.agg(F.sort_array(F.collect_list(F.struct("_c", "s", "centre"))).alias("all"))
     worst = lambda i: F.array_max(
         F.transform(
             F.filter("all", lambda j: j["_c"] != i["_c"]),
-            lambda j: (i["s"] + j["s"]) / F.sqrt(squared(i["centre"], j["centre"])),
+            lambda j: F.coalesce(
+                (i["s"] + j["s"]) / F.nullif(F.sqrt(squared(i["centre"], j["centre"])), F.lit(0.0)), F.lit(0.0)
+            ),
         )
     )
     ratios = F.transform("all", worst)

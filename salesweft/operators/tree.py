@@ -13,10 +13,10 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from salesweft.operators import drivers, selection
-from salesweft.session import new_work_dir
+from salesweft.session import new_work_dir, written
 
 MIN_LEAF = 5
 
@@ -141,13 +141,28 @@ def importance(spark: SparkSession, tree: Node) -> DataFrame:
 
 
 def with_folds(features: DataFrame, folds: int = 5, columns: list[str] = drivers.FEATURE_COLUMNS) -> DataFrame:
-    """Contiguous, unshuffled folds in key order.
+    """Contiguous, unshuffled folds of equal size in key order.
 
-    The order is total over the feature table, whose size is the product of
-    the dimensions.
+    Rows are range-sorted and written; a row's rank is the count of the
+    slices before its own plus its place in it, so no task orders the table.
+    The first folds take one row more when the count does not divide.
     """
-    order = ", ".join(columns)
-    return features.withColumn("fold", F.expr(f"ntile({folds}) OVER (ORDER BY {order}) - 1"))
+    order = [F.asc(c) for c in columns]
+    sliced = features.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id())
+    sliced = written(sliced, "fold-slices")
+    counts = sliced.groupBy("_slice").agg(F.count("*").alias("_n"))
+    before = counts.select(
+        "_slice", (F.sum("_n").over(Window.orderBy("_slice")) - F.col("_n")).alias("_before"),
+        F.sum("_n").over(Window.partitionBy()).alias("_total"),
+    )
+    place = F.row_number().over(Window.partitionBy("_slice").orderBy(*order)) - 1
+    ranked = sliced.withColumn("_place", place).join(before, "_slice").withColumn("_rank", F.col("_before") + F.col("_place"))
+    share, more = F.floor(F.col("_total") / folds), F.col("_total") % folds
+    long = more * (share + 1)
+    fold = F.when(F.col("_rank") < long, F.floor(F.col("_rank") / (share + 1))).otherwise(
+        more + F.floor((F.col("_rank") - long) / F.greatest(share, F.lit(1)))
+    )
+    return ranked.select(*features.columns, fold.cast("int").alias("fold"))
 
 
 def cross_validated_mse(features: DataFrame, folds: int = 5, **tree_options) -> float:
@@ -165,8 +180,12 @@ def cross_validated_mse(features: DataFrame, folds: int = 5, **tree_options) ->
 
 
 def prediction_sample(features: DataFrame, tree: Node, n: int = 10, seed: int = 42) -> DataFrame:
-    """Some rows with active columns, actual and predicted volume."""
-    picked = selection.top(features.withColumn("_draw", F.rand(seed)), n, F.asc("_draw")).drop("_draw")
+    """Some rows with active columns, actual and predicted volume.
+
+    The draw is a hash of key columns and seed, whatever the partitioning.
+    """
+    draw = F.xxhash64(F.lit(seed), *drivers.FEATURE_COLUMNS)
+    picked = selection.top(features.withColumn("_draw", draw), n, F.asc("_draw"), *map(F.asc, drivers.FEATURE_COLUMNS)).drop("_draw")
     actual, predicted = F.col(drivers.TARGET), F.col("prediction")
     return predict(picked, tree).select(
         drivers.active_features().alias("features"),
