@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Fixed values: (month, day, lowest multiplier, highest multiplier).
 HOLIDAYS = [
@@ -25,6 +25,15 @@ HOLIDAYS = [
 ]
 
 
+def holiday_map() -> Column:
+    """Literal map of 100 * month + day to (low, high)."""
+    pairs = [
+        x for month, day, low, high in HOLIDAYS
+        for x in (F.lit(100 * month + day), F.struct(F.lit(low).alias("low"), F.lit(high).alias("high")))
+    ]
+    return F.create_map(*pairs)
+
+
 def holiday_table(spark: SparkSession) -> DataFrame:
     """``(h_month, h_day, low, high)``; a caller may pass its own instead."""
     return spark.createDataFrame(HOLIDAYS, "h_month int, h_day int, low double, high double")

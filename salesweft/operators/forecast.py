@@ -16,6 +16,8 @@ from salesweft.session import written
 FIT_DAYS = 180
 MIN_POINTS = 30
 NORMAL_95 = 1.96
+# Key of the one series when a forecast is asked for without keys.
+WHOLE = "_whole"
 
 
 def check_order(order: tuple[int, int, int]) -> tuple[int, int, int]:
@@ -143,6 +145,12 @@ def fit_models(daily: DataFrame, keys: list[str], order: tuple[int, int, int] |
     return rows, select_order(fit(rows, keys, q), keys, p, q)
 
 
+def unmodelled_series(rows: DataFrame, models: DataFrame, keys: list[str]) -> DataFrame:
+    """Series of the fit window that are too short for their model's order, with the reason."""
+    points = rows.groupBy(*keys).agg(F.first("points").alias("points"))
+    return points.join(models.select(*keys), keys, "left_anti").withColumn("reason", F.lit("too few changes for the model order"))
+
+
 def fitted_values(rows: DataFrame, models: DataFrame, keys: list[str]) -> DataFrame:
     """One-step fitted values, differenced and in sales units.
 
@@ -229,10 +237,14 @@ def with_holiday_factor(frame: DataFrame, table: DataFrame | None = None, jitter
 
     With a seed, the factor is drawn from the range and varied by 15 %.
     """
-    table = table if table is not None else holidays.holiday_table(frame.sparkSession)
-    joined = frame.join(
-        table, (F.month("ds") == F.col("h_month")) & (F.dayofmonth("ds") == F.col("h_day")), "left"
-    )
+    if table is None:
+        # The built-in days are a literal map: nothing is joined or shuffled.
+        span = F.try_element_at(holidays.holiday_map(), F.month("ds") * 100 + F.dayofmonth("ds"))
+        joined = frame.withColumns({"low": span["low"], "high": span["high"]})
+    else:
+        joined = frame.join(
+            table, (F.month("ds") == F.col("h_month")) & (F.dayofmonth("ds") == F.col("h_day")), "left"
+        )
     middle = (F.col("low") + F.col("high")) / 2
     if jitter_seed is not None:
         drawn = F.col("low") + (F.col("high") - F.col("low")) * F.rand(jitter_seed)
@@ -265,10 +277,29 @@ def forecast(
 ) -> DataFrame:
     """``(keys, step, ds, value, lower, upper)`` for every modelled series.
 
+    Without keys the whole frame is one series.
+    """
+    if not keys:
+        one = daily.withColumn(WHOLE, F.lit("all"))
+        return forecast(one, [WHOLE], steps, order, holiday_table, band, jitter_seed, fit_days, minimum).drop(WHOLE)
+    rows, models = fit_models(daily, keys, order, fit_days=fit_days, minimum=minimum)
+    return forecast_models(rows, models, keys, steps, holiday_table, band, jitter_seed)
+
+
+def forecast_models(
+    rows: DataFrame,
+    models: DataFrame,
+    keys: list[str],
+    steps: int = 30,
+    holiday_table: DataFrame | None = None,
+    band: str = "percent",
+    jitter_seed: int | None = None,
+) -> DataFrame:
+    """The forecast of fitted models.
+
     Order of steps: recursion, summing back, scale, weekday effect, holiday
     factor, floor at 0, band.
     """
-    rows, models = fit_models(daily, keys, order, fit_days=fit_days, minimum=minimum)
     ahead = with_future_dates(standardised_forecast(rows, models, keys, steps))
     weekday = S.weekday_effects(rows.select(*keys, "ds", "y"), keys)
     scaled = ahead.withColumn("weekday", dates.weekday_index(F.col("ds"))).join(weekday, [*keys, "weekday"], "left")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from salesweft.operators import baskets, drivers, forecast, segments, selection, series, tree
 from salesweft.session import written
@@ -20,21 +20,25 @@ class ForecastResult:
 
 
 def run_forecast(
-    sales: DataFrame, keys: list[str], category=None, city=None, steps: int = 30, **options
+    sales: DataFrame, keys: list[str], category=None, city=None, steps: int = 30,
+    order: tuple[int, int, int] | None = None, fit_days: int = forecast.FIT_DAYS, minimum: int = forecast.MIN_POINTS,
+    **options,
 ) -> ForecastResult:
-    """Forecast every series of the (filtered) fact at once."""
+    """Forecast every series of the (filtered) fact at once; one series without keys."""
     wanted = selection.filter_sales(sales, category=category, city=city)
+    if not keys:
+        keys, wanted = [forecast.WHOLE], wanted.withColumn(forecast.WHOLE, F.lit("all"))
     daily = written(series.daily_series(wanted, keys), "daily-series")
-    windowed = series.fit_window(daily, keys)
-    rows, models = forecast.fit_models(daily, keys, options.get("order"))
+    windowed = series.fit_window(daily, keys, fit_days)
+    rows, models = forecast.fit_models(daily, keys, order, fit_days=fit_days, minimum=minimum)
     models = written(models, "models")
     fitted = forecast.fitted_values(rows, models, keys)
     return ForecastResult(
         history=rows.select(*keys, "ds", "y"),
-        forecast=forecast.forecast(daily, keys, steps, **options),
+        forecast=forecast.forecast_models(rows, models, keys, steps, **options),
         models=models,
         metrics=forecast.fit_metrics(fitted, models, keys),
-        skipped=series.skipped_series(windowed, keys),
+        skipped=series.skipped_series(windowed, keys, minimum).unionByName(forecast.unmodelled_series(rows, models, keys)),
     )
 
 
