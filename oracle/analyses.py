@@ -53,6 +53,15 @@ SELECT item, n, {r('n / (SELECT n FROM total)', 9)} AS support FROM (SELECT item
 for size in (2, 3):
     _add(f"itemset_{size}", "sales", more=MINED, body=f"""
 SELECT items, n, {r('support', 9)} AS support FROM s WHERE size = {size}""")
+_FOUR = "w.item || '+' || x.item || '+' || y.item || '+' || z.item"
+_FOUR_FROM = """b w JOIN b x ON w.order_id = x.order_id AND w.item < x.item
+  JOIN b y ON w.order_id = y.order_id AND x.item < y.item JOIN b z ON w.order_id = z.order_id AND y.item < z.item"""
+for size, items, source in (
+    (4, _FOUR, _FOUR_FROM), (5, f"{_FOUR} || '+' || v.item", f"{_FOUR_FROM} JOIN b v ON w.order_id = v.order_id AND z.item < v.item"),
+):
+    _add(f"itemset_{size}", "sales", more=_mined("category", 0.001)[:2], body=f"""
+SELECT {items} AS items, COUNT(*) AS n, {r('COUNT(*) / (SELECT n FROM total)', 9)} AS support FROM {source}
+GROUP BY 1 HAVING COUNT(*) / (SELECT n FROM total) >= 0.001""")
 _add("frequent_itemsets", "sales", more=MINED, body=f"SELECT {SHOWN} FROM s")
 _add("fpgrowth_itemsets", "sales", more=MINED, body=f"SELECT {SHOWN} FROM s")
 _add("frequent_products", "sales", more=_mined("product", 0.01), body=f"SELECT {SHOWN} FROM s")
@@ -283,6 +292,17 @@ _add("forecast_explicit_order", *EXPLICIT, *FORWARD, body=f"""
 SELECT region, category, step, {DT}, {r('value', 2)} AS value,
   {r('GREATEST(0, value - 1.96 * (SQRT(sigma2) * sd) * SQRT(step * 0.5))', 2)} AS lower,
   {r('value + 1.96 * (SQRT(sigma2) * sd) * SQRT(step * 0.5)', 2)} AS upper FROM ahead""")
+CTES["mod0"] = CTES["mod1"].replace("1 AS d, CASE 1", "0 AS d, CASE 0")
+CTES["best1"] = CTES["best2"].replace("2 AS p", "1 AS p")
+FORECAST_OUT = f"SELECT {KEY}, step, {DT}, {r('value', 2)} AS value, {r('lower', 2)} AS lower, {r('upper', 2)} AS upper FROM banded"
+for d in (0, 1):
+    _add(f"forecast_d{d}", *STD, "dif", f"mod{d}", "phi", "fit", "best1", *FORWARD, "banded", body=FORECAST_OUT)
+    _add(f"fitted_series_d{d}", *STD, "dif", f"mod{d}", "phi", "fit", "best1", "fits", body=f"""
+SELECT {KEY}, {DT}, {r('y', 2)} AS y, {r('x', 6)} AS x, {r('fitted_x', 6)} AS fitted_x, {r('fitted', 2)} AS fitted FROM fits""")
+CTES["daily_total"] = f"""daily AS (SELECT 'all' AS region, 'all' AS category, order_date AS ds, {m('sales_amount')} AS y FROM sales
+  WHERE order_date IS NOT NULL GROUP BY 1, 2, 3)"""
+_add("forecast_total", *("daily_total" if c == "daily" else c for c in MODEL), *FORWARD, "banded", body=f"""
+SELECT step, {DT}, {r('value', 2)} AS value, {r('lower', 2)} AS lower, {r('upper', 2)} AS upper FROM banded""")
 _add("skipped_series", "sales", body="""
 SELECT city, product, LEAST(COUNT(DISTINCT order_date), 180) AS points, 'fewer than 100 points' AS reason
 FROM sales WHERE city IS NOT NULL AND product IS NOT NULL AND order_date IS NOT NULL
@@ -348,7 +368,7 @@ SELECT {KEY}, {DT}, kind, {r('v', 2)} AS value FROM (
   UNION ALL SELECT {KEY}, ds, 'upper', y FROM daily QUALIFY ROW_NUMBER() OVER ({PART} ORDER BY ds DESC) <= 1
   UNION ALL SELECT region, category, ds, 'forecast', value FROM banded
   UNION ALL SELECT region, category, ds, 'upper', upper FROM banded)""")
-for name in ("ar_forecast", "forecast_interval", "forecast_explicit_order", "chart_series"):
+for name in ("forecast_total", "forecast_d0", "forecast_d1", "ar_forecast", "forecast_interval", "forecast_explicit_order", "chart_series"):
     SQL[name] = _recursive(SQL[name])
 
 # Segments ------------------------------------------------------------------

@@ -7,6 +7,7 @@ front of a query.  ``r(x, d)`` is the rounding the library uses.
 from __future__ import annotations
 
 from oracle.common import CTES, m, r, with_
+from salesweft.sources import schemas
 
 
 SQL: dict[str, str] = {}
@@ -55,7 +56,7 @@ COALESCE({r(m('profit'), 2)}, 0) AS total_profit,
 CASE WHEN SUM(order_count) > 0 THEN {r(f"{m('sales_amount')} / SUM(order_count)", 2)} ELSE 0 END AS avg_order_value"""
 _add("sales_summary", "sales", body=f"SELECT {SUMMARY} FROM sales")
 _add("yearly_summary", "sales", body=f"SELECT year, {SUMMARY} FROM sales WHERE year IS NOT NULL GROUP BY year")
-_add("union_of_years", "sales", body=f"SELECT year, {SUMMARY} FROM sales WHERE year IN (1996, 1997, 1998) GROUP BY year")
+_add("union_of_years", "sales", body=f"SELECT year, {SUMMARY} FROM sales GROUP BY year")
 _add("overview_topk", "sales", body=f"""
 SELECT 'total' AS section, 'all' AS key, NULL::INTEGER AS rank, {SUMMARY} FROM sales
 UNION ALL SELECT 'year', CAST(year AS VARCHAR), NULL, {SUMMARY} FROM sales WHERE year IS NOT NULL GROUP BY year
@@ -131,13 +132,15 @@ _add("enum_violations", "raw", body=_long([
 _add("schema_violations", "raw", "typed", body=_long(
     [
         f"SELECT '{f}:required' AS \"check\", COUNT(*) FILTER ({f} IS NULL) AS violations FROM typed"
-        for f in ("Order_ID", "Source", "Region", "Season", "Quantity", "Unit_Price")
+        for f in ("Order_ID", "Source", "Region", "Order_Date", "Season", "Category", "Product_Code", "Quantity", "Unit_Price", "Total_Amount")
+    ] + [
+        f"SELECT 'Category:enum', COUNT(*) FILTER (Category IS NOT NULL AND Category NOT IN ({_listed(schemas.ENUMS['Category'])})) FROM typed"
     ] + [
         f"SELECT '{f}:enum', COUNT(*) FILTER ({f} IS NOT NULL AND {f} NOT IN ({_listed(ENUM_VALUES[f])})) FROM typed"
         for f in ("Source", "Season", "Size", "Gender")
     ] + [
         f"SELECT '{f}:min', COUNT(*) FILTER ({f} < {lo}) FROM typed"
-        for f, lo in (("Quantity", 1), ("Unit_Price", 0), ("Discount", 0))
+        for f, lo in (("Quantity", 1), ("Unit_Price", 0), ("Discount", 0), ("Total_Amount", 0))
     ], "true"))
 _add("normalise_types", "raw", "typed", body="""
 SELECT year(Order_Date) AS year, COUNT(*) AS row_count, COUNT(Quantity) AS quantities,
@@ -202,6 +205,23 @@ _add("unknown_sources", "raw", body="""
 SELECT Source, COUNT(*) AS records,
   CASE WHEN Source = 'FAX' THEN 'Unknown source type: FAX' ELSE '' END AS reason FROM raw GROUP BY Source""")
 
+# File round trips -----------------------------------------------------------
+
+SQL["sales_file_round_trip"] = SQL["sales_file_rows"]
+SQL["report_round_trip"] = SQL["quality_report"]
+SQL["cleaned_round_trip"] = f"""SELECT Season, Size, Gender, COUNT(*) AS orders, COUNT(Order_Date) AS dated,
+  {r('SUM(Quantity)', 4)} AS quantity FROM ({SQL['clean_orders']}) GROUP BY 1, 2, 3"""
+_add("order_file_formats", "raw", body="""
+SELECT f AS format, Source, Season, COUNT(*) AS records, COUNT(DISTINCT Order_ID) AS ids,
+  CAST(SUM(TRY_CAST(Quantity AS BIGINT)) AS BIGINT) AS quantity, COUNT(*) FILTER (Unit_Price < 0) AS negative, MAX(Product_Name) AS last_name
+FROM raw, (VALUES ('json'), ('csv'), ('parquet')) v(f) GROUP BY 1, 2, 3""")
+_add("ingest_rejects", "raw", "checked", body="""
+SELECT Source, reject_reason, COUNT(*) AS records, 'record' AS kind FROM checked WHERE reject_reason IS NOT NULL GROUP BY 1, 2
+UNION ALL SELECT 'FAX', 'Unknown source type: FAX', 1, 'delivery' WHERE EXISTS (SELECT 1 FROM raw)
+UNION ALL SELECT 'POS', 'Missing file', 1, 'delivery' WHERE EXISTS (SELECT 1 FROM raw)""")
+_add("stream_undated", "raw", body="""
+SELECT Order_ID, Order_Date, 'Unreadable Order_Date' AS reject_reason FROM raw WHERE TRY_CAST(Order_Date AS DATE) IS NULL""")
+
 # Order roll-ups ------------------------------------------------------------
 
 

@@ -14,8 +14,8 @@ from salesweft.functions import dates, labels, numbers
 from salesweft.operators import (
     baskets, drivers, forecast, ingest, quality, quantiles, rollups, segments, selection, series, tree,
 )
-from salesweft.plans import analyses
-from salesweft.session import written
+from salesweft.plans import analyses, offline
+from salesweft.session import new_work_dir, written
 from salesweft.sources import order_files, sales_files, schemas, star
 from salesweft.streaming import orders as streams
 
@@ -138,31 +138,107 @@ def year_pruned_sales(spark, sf):
 
 @query
 def union_of_years(spark, sf):
-    years = [
-        star.sales(spark, sf, "year", "sales_amount", "profit", "order_count", "customer_count", year=y)
-        for y in (1996, 1997, 1998)
-    ]
-    return rollups.yearly_summary(ingest.union_sources(years))
+    """The yearly files of the fact, written as such, united and summed up."""
+    fact = star.sales(spark, sf, "year", "sales_amount", "profit", "order_count", "customer_count")
+    folder = new_work_dir(spark, "yearly-files")
+    fact.write.partitionBy("year").parquet(folder)
+    return rollups.yearly_summary(spark.read.parquet(folder))
 
 
-@query
-def sales_file_rows(spark, sf):
-    """Text rows with file headers, some unreadable, typed as sales files are."""
+def _sales_file_text(spark, sf):
+    """Text rows with the headers of sales files, some of them unreadable."""
     day, part = F.col("o_orderdate"), F.col("l_partkey")
     lines = star.table(spark, sf, "lineitem").join(
         star.table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
-    text = lines.select(
+    return lines.select(
+        "o_orderdate",
         F.when(part % 101 == 0, "soon").otherwise(F.date_format(day, "yyyy年M月d日")).alias("订单日期"),
         F.when(part % 97 == 0, "n/a").otherwise(F.col("l_quantity").cast("string")).alias("购买的产品数量"),
         F.col("o_orderpriority").alias("渠道"),
     )
-    typed = sales_files.type_sales(sales_files.to_columns(text))
+
+
+def _sales_file_totals(typed):
     return typed.groupBy("year", "month", "season", "channel").agg(
         F.count("*").alias("row_count"), F.sum("product_count").alias("products"), F.max("day").alias("last_day")
     )
 
 
+@query
+def sales_file_rows(spark, sf):
+    text = _sales_file_text(spark, sf).drop("o_orderdate")
+    return _sales_file_totals(sales_files.type_sales(sales_files.to_columns(text)))
+
+
+@query
+def sales_file_round_trip(spark, sf):
+    """The rows of :func:`sales_file_rows`, written as yearly CSV files and read from them."""
+    folder = new_work_dir(spark, "sales-files")
+    text = _sales_file_text(spark, sf).withColumn("file_year", F.year("o_orderdate")).drop("o_orderdate")
+    text.write.partitionBy("file_year").option("header", True).csv(folder)
+    years = [r[0] for r in spark.read.parquet(f"{sf}/orders.parquet").select(F.year("o_orderdate")).distinct().collect()]
+    return _sales_file_totals(sales_files.read_all_years(spark, folder, sorted(years), "file_year={year}"))
+
+
+def _order_files(spark, sf) -> dict[str, str]:
+    """Raw orders in each of the three file formats."""
+    raw = written(star.raw_orders(spark, sf, "Order_ID", "Source", "Season", "Product_Name", "Quantity", "Unit_Price"), "raw-orders")
+    paths = {fmt: new_work_dir(spark, f"orders-{fmt}") for fmt in ("json", "csv", "parquet")}
+    order_files.write_raw_orders(raw, paths["json"])
+    raw.write.options(**order_files.CSV).csv(paths["csv"])
+    raw.write.parquet(paths["parquet"])
+    return paths
+
+
+@query
+def order_file_formats(spark, sf):
+    frames = [
+        order_files.read_orders(spark, path, fmt).select(
+            F.lit(fmt).alias("format"), "Order_ID", "Source", "Season", "Product_Name", "Quantity", "Unit_Price"
+        )
+        for fmt, path in _order_files(spark, sf).items()
+    ]
+    return ingest.union_sources(frames).groupBy("format", "Source", "Season").agg(
+        F.count("*").alias("records"), F.count_distinct("Order_ID").alias("ids"), F.sum("Quantity").alias("quantity"),
+        F.count_if(F.col("Unit_Price") < 0).alias("negative"), F.max("Product_Name").alias("last_name"),
+    )
+
+
+@query
+def ingest_rejects(spark, sf):
+    """Deliveries by source, one of them unknown and one missing: what was rejected or refused, and why."""
+    folder, out = new_work_dir(spark, "deliveries"), new_work_dir(spark, "ingested")
+    columns = ["Order_ID", "Region", "Order_Date", "Season", "Category", "Product_Code", "Quantity", "Unit_Price"]
+    star.raw_orders(spark, sf, "Source", *columns).write.partitionBy("Source").json(folder)
+    names = [*schemas.SOURCES, "FAX"]
+    deliveries = [(name, f"{folder}/Source={name}") for name in names] + [("POS", f"{folder}/nothing.json")]
+    result = offline.ingest_files(spark, deliveries, out, fmt="json")
+    rejected = spark.read.schema("Source string, reject_reason string").json(result.rejected_path)
+    listed = result.refused.select(F.col("source").alias("Source"), F.col("reason").alias("reject_reason"))
+    counted = lambda df, kind: df.groupBy("Source", "reject_reason").agg(F.count("*").alias("records")).withColumn("kind", F.lit(kind))
+    return counted(rejected, "record").unionByName(counted(listed, "delivery"))
+
+
+@query
+def cleaned_round_trip(spark, sf):
+    """Cleaned orders, written by year and read back from the whole tree."""
+    folder = new_work_dir(spark, "cleaned")
+    order_files.write_cleaned_orders(quality.clean_orders(star.raw_orders(spark, sf), BOUNDS, stamp=False), folder)
+    read = order_files.read_cleaned_tree(spark, folder)
+    return read.groupBy("Season", "Size", "Gender").agg(
+        F.count("*").alias("orders"), F.count("Order_Date").alias("dated"),
+        numbers.half_even(F.sum("Quantity"), 4).alias("quantity"),
+    )
+
+
+@query
+def report_round_trip(spark, sf):
+    report, folder = quality.quality_report(star.raw_orders(spark, sf), BOUNDS), new_work_dir(spark, "report")
+    order_files.write_report(report, folder)
+    return spark.read.schema(report.schema).json(folder)
+
+
 @query
 def category_seasonality(spark, sf):
     names = selection.distinct_values(star.sales(spark, sf, "category"), "category")
@@ -206,7 +282,10 @@ def enum_violations(spark, sf):
 
 @query
 def schema_violations(spark, sf):
-    columns = ["Order_ID", "Source", "Region", "Season", "Size", "Gender", "Quantity", "Unit_Price", "Discount"]
+    columns = [
+        "Order_ID", "Source", "Region", "Order_Date", "Season", "Category", "Product_Code", "Size", "Gender",
+        "Quantity", "Unit_Price", "Discount", "Total_Amount",
+    ]
     return quality.schema_violations(_typed_orders(spark, sf, *columns))
 
 
@@ -402,6 +481,21 @@ def itemset_3(spark, sf):
     return _item_text(_itemsets(spark, sf).where("size = 3")).drop("size")
 
 
+def _long_sets(spark, sf, size):
+    mined = baskets.frequent_itemsets(_order_baskets(spark, sf), 0.001, 5)
+    return _item_text(mined.where(F.col("size") == size)).drop("size")
+
+
+@query
+def itemset_4(spark, sf):
+    return _long_sets(spark, sf, 4)
+
+
+@query
+def itemset_5(spark, sf):
+    return _long_sets(spark, sf, 5)
+
+
 @query
 def itemset_candidates(spark, sf):
     candidates = baskets.candidate_itemsets(_itemsets(spark, sf), 3)
@@ -635,6 +729,36 @@ def forecast_explicit_order(spark, sf):
     )
 
 
+@query
+def forecast_total(spark, sf):
+    return _shown_forecast(forecast.forecast(_daily(spark, sf, []), [], STEPS))
+
+
+@query
+def forecast_d0(spark, sf):
+    return _shown_forecast(forecast.forecast(_daily(spark, sf), SERIES_KEYS, STEPS, order=(1, 0, 0)))
+
+
+@query
+def forecast_d1(spark, sf):
+    return _shown_forecast(forecast.forecast(_daily(spark, sf), SERIES_KEYS, STEPS, order=(1, 1, 0)))
+
+
+def _fitted(spark, sf, order):
+    rows, models = forecast.fit_models(_daily(spark, sf), SERIES_KEYS, order)
+    return _rounded(_dated(forecast.fitted_values(rows, models, SERIES_KEYS)), y=2, x=6, fitted_x=6, fitted=2)
+
+
+@query
+def fitted_series_d0(spark, sf):
+    return _fitted(spark, sf, (1, 0, 0))
+
+
+@query
+def fitted_series_d1(spark, sf):
+    return _fitted(spark, sf, (1, 1, 0))
+
+
 @query
 def skipped_series(spark, sf):
     keys = ["city", "product"]
@@ -860,11 +984,17 @@ def stream_daily_sales(spark, sf):
 @query
 def stream_first_sightings(spark, sf):
     raw = _order_stream(spark, sf, "Order_ID", "Order_Date")
-    timed = raw.withColumn("at", F.col("Order_Date").try_cast("timestamp")).where(F.col("at").isNotNull())
+    timed, _ = streams.dated(raw, "Order_Date", "at")
     seen = streams.first_sightings_now(timed, "Order_ID", "at", "7 days")
     return seen.select("Order_ID", "Order_Date")
 
 
+@query
+def stream_undated(spark, sf):
+    _, undated = streams.dated(_order_stream(spark, sf, "Order_ID", "Order_Date"), "Order_Date", "at")
+    return streams.rejected_now(undated)
+
+
 def catalogue() -> dict[str, Query]:
     """All registered queries."""
     return dict(QUERIES)

@@ -17,38 +17,43 @@ class IngestResult:
     valid_path: str
     rejected_path: str
     stats: DataFrame
+    refused: DataFrame  # deliveries of which nothing was read: source, path, reason
 
 
 def ingest_files(
-    spark: SparkSession, deliveries: list[tuple[str, str]], out: str, json_array: bool = True
+    spark: SparkSession, deliveries: list[tuple[str, str]], out: str, fmt: str | None = None, json_array: bool = False
 ) -> IngestResult:
     """Read each ``(source, path)``, tag, validate, write valid and rejected.
 
-    Deliveries under an unknown source name are skipped, as are missing
-    files; both leave no records behind.
+    Records of an unknown source are read and rejected with that reason.
+    Unknown sources and missing files are listed in ``refused``.  A repeated
+    run into the same folder replaces the earlier one's result.
     """
-    frames = []
+    frames, refused = [], []
     for source, path in deliveries:
-        if source not in schemas.SOURCES:
-            continue
         try:
-            frames.append(ingest.tag_source(order_files.read_order_text(spark, path, json_array=json_array), source))
+            frames.append(ingest.tag_source(order_files.read_order_text(spark, path, fmt, json_array), source))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
+            refused.append((source, path, "Missing file"))
+            continue
+        if source not in schemas.SOURCES:
+            refused.append((source, path, f"Unknown source type: {source}"))
     if not frames:
         frames = [spark.createDataFrame([], schemas.ORDER)]
     checked = written(ingest.validate(ingest.union_sources(frames)), "ingest-checked")
+    listed = written(spark.createDataFrame(refused, "source string, path string, reason string"), "ingest-refused")
     valid, rejected = f"{out}/valid", f"{out}/rejected"
-    order_files.write_raw_orders(ingest.valid_records(checked), valid)
-    order_files.write_raw_orders(ingest.rejected_records(checked), rejected)
-    return IngestResult(valid, rejected, ingest.ingest_stats(checked))
+    order_files.write_raw_orders(ingest.valid_records(checked), valid, mode="overwrite")
+    order_files.write_raw_orders(ingest.rejected_records(checked), rejected, mode="overwrite")
+    return IngestResult(valid, rejected, ingest.ingest_stats(checked), listed)
 
 
-def clean_files(spark: SparkSession, path: str, out: str, fmt: str | None = None, json_array: bool = True) -> DataFrame:
+def clean_files(spark: SparkSession, path: str, out: str, fmt: str | None = None, json_array: bool = False) -> DataFrame:
     """Clean an order file into a Parquet table; returns the quality report."""
     raw = order_files.with_input_position(order_files.read_order_text(spark, path, fmt, json_array))
-    order_files.write_cleaned_orders(quality.clean_orders(raw), f"{out}/orders")
+    order_files.write_cleaned_orders(quality.clean_orders(raw), f"{out}/orders", mode="overwrite")
     report = quality.quality_report(raw)
     order_files.write_report(report, f"{out}/quality_report")
     return report

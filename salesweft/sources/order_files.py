@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from salesweft.sources import schemas
 
+# Quotes inside quoted text are doubled.
+CSV = {"header": "true", "escape": '"'}
 FORMATS = {".json": "json", ".csv": "csv", ".parquet": "parquet"}
 
 
@@ -18,13 +20,13 @@ def format_of(path: str) -> str:
 
 
 def read_order_text(
-    spark: SparkSession, path: str, fmt: str | None = None, json_array: bool = True
+    spark: SparkSession, path: str, fmt: str | None = None, json_array: bool = False
 ) -> DataFrame:
     """Orders as raw text columns (Parquet keeps its own types).
 
-    JSON written as one array per file needs the multi-line reader, which
-    cannot split a file; set ``json_array=False`` for line-delimited JSON,
-    the form :func:`write_raw_orders` produces.
+    Line-delimited JSON, the form :func:`write_raw_orders` produces, is the
+    default.  JSON written as one array per file (``json_array=True``) needs
+    the multi-line reader, which reads a file in one task.
     """
     fmt = fmt or format_of(path)
     schema = schemas.text_schema(schemas.ORDER)
@@ -33,7 +35,7 @@ def read_order_text(
     if fmt == "json":
         return spark.read.schema(schema).option("multiLine", json_array).json(path)
     # CSV columns are matched by header, so the header row decides the order.
-    return spark.read.option("header", True).csv(path)
+    return spark.read.options(**CSV).csv(path)
 
 
 def type_orders(df: DataFrame) -> DataFrame:
@@ -45,7 +47,7 @@ def type_orders(df: DataFrame) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
-def read_orders(spark: SparkSession, path: str, fmt: str | None = None, json_array: bool = True) -> DataFrame:
+def read_orders(spark: SparkSession, path: str, fmt: str | None = None, json_array: bool = False) -> DataFrame:
     """Typed orders from JSON, CSV or Parquet."""
     return type_orders(read_order_text(spark, path, fmt, json_array))
 
@@ -92,7 +94,7 @@ def write_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def read_baskets(spark: SparkSession, path: str, fmt: str | None = None, json_array: bool = True) -> DataFrame:
+def read_baskets(spark: SparkSession, path: str, fmt: str | None = None, json_array: bool = False) -> DataFrame:
     """Transactions with an item list; empty baskets are dropped.
 
     JSON holds ``Items`` as an array, CSV as one comma-separated text.
@@ -105,7 +107,7 @@ def read_baskets(spark: SparkSession, path: str, fmt: str | None = None, json_ar
         )
         items = F.col("Items")
     elif fmt == "csv":
-        raw = spark.read.option("header", True).csv(path)
+        raw = spark.read.options(**CSV).csv(path)
         items = split_items(F.col("Items"))
     else:
         raw = spark.read.parquet(path)

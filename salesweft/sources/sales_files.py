@@ -69,7 +69,7 @@ def read_sales_file(spark: SparkSession, path: str) -> DataFrame:
     Columns are matched by header, so they are read as text and converted
     with ``try_`` functions; nothing is inferred from the data.
     """
-    raw = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    raw = spark.read.options(header=True, encoding="UTF-8", escape='"').csv(path)
     return type_sales(to_columns(raw))
 
 

@@ -69,31 +69,64 @@ def ingest_now(orders: DataFrame) -> DataFrame:
     return spark.read.parquet(out).drop("batch")
 
 
-def _latest_snapshot(spark: SparkSession, out: str) -> DataFrame:
-    """Last complete-mode result; each batch has its own folder."""
+def latest_snapshot(spark: SparkSession, out: str) -> DataFrame:
+    """The newest result that :func:`running` has written."""
     snapshots = spark.read.parquet(out)
-    newest = snapshots.agg(F.max("batch").alias("b")).scalar()
-    return snapshots.where(F.col("batch") == newest).drop("batch")
+    newest = snapshots.agg(F.max("_batch").alias("b")).scalar()
+    return snapshots.where(F.col("_batch") == newest).drop("_batch", "_slot")
 
 
 def _snapshot_writer(out: str) -> Callable[[DataFrame, int], None]:
+    """Each batch replaces the older of two snapshots, so the newest can be read meanwhile."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{out}/_slot={batch_id % 2}")
+
+    return write
+
+
+def _batch_writer(out: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id:010d}")
 
     return write
 
 
+def running(aggregated: DataFrame, out: str, checkpoint: str, continuous: str | None = None) -> StreamingQuery:
+    """Keep the whole result of an aggregation in two alternating snapshots below ``out``.
+
+    For results of bounded size, as counts per source are.
+    """
+    return _run(aggregated, _snapshot_writer(out), checkpoint, mode="complete", continuous=continuous)
+
+
 def _complete_now(aggregated: DataFrame, purpose: str) -> DataFrame:
     spark = aggregated.sparkSession
     out = new_work_dir(spark, purpose)
-    _drain(_run(aggregated, _snapshot_writer(out), new_work_dir(spark, f"{purpose}-state"), mode="complete"))
-    return _latest_snapshot(spark, out)
+    _drain(running(aggregated, out, new_work_dir(spark, f"{purpose}-state")))
+    return latest_snapshot(spark, out)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came behind the watermark, over the progress Spark still holds."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+
+
+def source_counts(orders: DataFrame, out: str, checkpoint: str, continuous: str | None = None) -> StreamingQuery:
+    """Running total, valid and invalid records per source; state is one row per source."""
+    return running(ingest.source_counts(ingest.validate(orders)), out, checkpoint, continuous)
 
 
 def source_counts_now(orders: DataFrame) -> DataFrame:
-    """Running total, valid and invalid records per source, drained."""
-    checked = ingest.validate(orders)
-    return _complete_now(ingest.source_counts(checked), "source-counts")
+    """Drained :func:`source_counts`."""
+    return _complete_now(ingest.source_counts(ingest.validate(orders)), "source-counts")
+
+
+def dated(orders: DataFrame, date_column: str, event_time: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with a readable date, with their event time, and the rest with a reason."""
+    timed = orders.withColumn(event_time, F.col(date_column).try_cast("timestamp"))
+    unread = timed.where(F.col(event_time).isNull()).drop(event_time)
+    return timed.where(F.col(event_time).isNotNull()), unread.withColumn("reject_reason", F.lit(f"Unreadable {date_column}"))
 
 
 def first_sightings(orders: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
@@ -101,14 +134,31 @@ def first_sightings(orders: DataFrame, key: str, event_time: str, delay: str) ->
     return orders.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
+def sightings(
+    orders: DataFrame, key: str, event_time: str, delay: str, out: str, checkpoint: str, continuous: str | None = None
+) -> StreamingQuery:
+    """:func:`first_sightings` into one folder per batch; keys leave the state behind the watermark."""
+    return _run(first_sightings(orders, key, event_time, delay), _batch_writer(out), checkpoint, continuous=continuous)
+
+
+def rejected(orders: DataFrame, out: str, checkpoint: str, continuous: str | None = None) -> StreamingQuery:
+    """Rejected rows, with their reason, into one folder per batch."""
+    return _run(orders, _batch_writer(out), checkpoint, continuous=continuous)
+
+
+def rejected_now(orders: DataFrame) -> DataFrame:
+    """Drained :func:`rejected`."""
+    spark = orders.sparkSession
+    out = new_work_dir(spark, "rejected")
+    _drain(rejected(orders, out, new_work_dir(spark, "rejected-state")))
+    return spark.read.parquet(out).drop("batch")
+
+
 def first_sightings_now(orders: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
     """Drained :func:`first_sightings`."""
     spark = orders.sparkSession
     out = new_work_dir(spark, "first-sightings")
-    query = _run(
-        first_sightings(orders, key, event_time, delay), _snapshot_writer(out), new_work_dir(spark, "first-sightings-state")
-    )
-    _drain(query)
+    _drain(sightings(orders, key, event_time, delay, out, new_work_dir(spark, "first-sightings-state")))
     return spark.read.parquet(out).drop("batch")
 
 
@@ -121,6 +171,13 @@ def daily_rollup(stream: DataFrame, event_time: str, amount: str, delay: str = "
     )
 
 
+def daily_totals(
+    stream: DataFrame, event_time: str, amount: str, out: str, checkpoint: str, delay: str = "1 day", continuous: str | None = None
+) -> StreamingQuery:
+    """:func:`daily_rollup` day by day as days close behind the watermark; state is the open days."""
+    return _run(daily_rollup(stream, event_time, amount, delay), _batch_writer(out), checkpoint, continuous=continuous)
+
+
 def daily_rollup_now(stream: DataFrame, event_time: str, amount: str) -> DataFrame:
     """Drained :func:`daily_rollup` with every day, open ones included."""
     return _complete_now(daily_rollup(stream, event_time, amount), "daily-rollup")

@@ -105,14 +105,19 @@ def deliveries(tmp_path):
 
 
 def test_offline_chain(spark, deliveries, tmp_path):
-    result = offline.ingest_files(spark, deliveries, str(tmp_path / "raw"))
+    result = offline.ingest_files(spark, deliveries, str(tmp_path / "raw"), json_array=True)
     stats = {r["source"]: (r["total"], r["valid"], r["invalid"]) for r in result.stats.collect()}
-    assert stats == {"POS": (6, 2, 4), "APP": (2, 2, 0), "ALL": (8, 4, 4)}
-    rejected = {r["Order_ID"]: r["reject_reason"] for r in spark.read.json(result.rejected_path).collect()}
+    assert stats == {"POS": (6, 2, 4), "APP": (2, 2, 0), "FAX": (6, 0, 6), "ALL": (14, 4, 10)}
+    assert {(r["source"], r["reason"]) for r in result.refused.collect()} == {("ERP", "Missing file"), ("FAX", "Unknown source type: FAX")}
+    stored = spark.read.json(result.rejected_path)
+    assert {r["reject_reason"] for r in stored.where("Source = 'FAX'").collect()} == {"Unknown source type: FAX"}
+    rejected = {r["Order_ID"]: r["reject_reason"] for r in stored.where("Source <> 'FAX'").collect()}
     assert rejected == {
         "O3": "Quantity must be at least 1", "O4": "Unit_Price cannot be negative",
         "O5": "Missing required field: Region", "O6": "Unreadable number: Quantity",
     }
+    again = offline.ingest_files(spark, deliveries, str(tmp_path / "raw"), json_array=True)
+    assert spark.read.json(again.rejected_path).count() == 10
     report = offline.clean_files(spark, result.valid_path, str(tmp_path / "clean"), fmt="json", json_array=False)
     facts = {(r["metric"], r["field"]): r["value"] for r in report.collect()}
     assert facts[("total_records", "")] == 4 and facts[("duplicates", "")] == 1
@@ -136,6 +141,11 @@ def test_null_fields_left_out(spark, tmp_path):
     assert json.loads(text) == {"Order_ID": "a"}
 
 
+def test_doubled_quotes_in_csv(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('Order_ID,Product_Name\nO1,"a ""b"", c"\n')
+    assert order_files.read_orders(spark, str(tmp_path / "q.csv")).first()["Product_Name"] == 'a "b", c'
+
+
 def test_unknown_format_is_rejected():
     with pytest.raises(ValueError):
         order_files.format_of("orders.xml")
@@ -146,7 +156,7 @@ def test_baskets_from_files(spark, tmp_path):
         {"Transaction_ID": "1", "Items": ["a", "b"]}, {"Transaction_ID": "2", "Items": []}, {"Transaction_ID": "3"},
     ]))
     (tmp_path / "b.csv").write_text('Transaction_ID,Items\n1,"a,b"\n2,c\n')
-    assert [r["Items"] for r in order_files.read_baskets(spark, str(tmp_path / "b.json")).collect()] == [["a", "b"]]
+    assert [r["Items"] for r in order_files.read_baskets(spark, str(tmp_path / "b.json"), json_array=True).collect()] == [["a", "b"]]
     assert [r["Items"] for r in order_files.read_baskets(spark, str(tmp_path / "b.csv")).collect()] == [["a", "b"], ["c"]]
 
 

@@ -65,3 +65,43 @@ def test_daily_rollup_keeps_open_days(spark, tmp_path):
     stream = S.file_stream(spark, path, spark.read.parquet(path).schema)
     got = sorted(map(tuple, S.daily_rollup_now(stream, "ts", "value").collect()))
     assert got == [("2024-01-01", 2, 3.25), ("2024-01-02", 1, 4.0)]
+
+
+def test_running_counts_go_on_after_a_restart(spark, tmp_path):
+    path, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    put(spark, path, [order(1), order(2, quantity="0")])
+    schema = spark.read.parquet(path).schema
+    for extra in ([], [order(3)], [order(4, "APP"), order(5, "APP", region="")]):
+        if extra:
+            put(spark, path, extra)
+        S.source_counts(S.file_stream(spark, path, schema), out, state).awaitTermination()
+    got = sorted(map(tuple, S.latest_snapshot(spark, out).collect()))
+    assert got == sorted(map(tuple, ingest.source_counts(ingest.validate(spark.read.parquet(path))).collect()))
+    assert len([p for p in (tmp_path / "out").iterdir() if p.name.startswith("_slot")]) == 2
+
+
+def test_sightings_remember_keys_after_a_restart(spark, tmp_path):
+    path, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for k in range(2):
+        rows = [("A", f"2024-01-0{k + 1}"), (f"B{k}", "2024-01-01"), (f"C{k}", "soon")]
+        spark.createDataFrame(rows, "Order_ID string, Order_Date string").coalesce(1).write.mode("append").parquet(path)
+        timed, undated = S.dated(S.file_stream(spark, path, spark.read.parquet(path).schema), "Order_Date", "at")
+        S.sightings(timed, "Order_ID", "at", "7 days", out, state).awaitTermination()
+        S.rejected(undated, out + "-rejected", state + "-rejected").awaitTermination()
+    assert sorted(r["Order_ID"] for r in spark.read.parquet(out).collect()) == ["A", "B0", "B1"]
+    refused = spark.read.parquet(out + "-rejected").collect()
+    assert {(r["Order_ID"], r["reject_reason"]) for r in refused} == {("C0", "Unreadable Order_Date"), ("C1", "Unreadable Order_Date")}
+
+
+def test_daily_totals_close_days_and_count_late_rows(spark, tmp_path):
+    path, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    days = [[(1, 1.0), (1, 2.0), (2, 4.0)], [(9, 8.0)], [(1, 16.0), (9, 32.0)]]
+    query = None
+    for rows in days:
+        frame = spark.createDataFrame([(dt.datetime(2024, 1, d), v) for d, v in rows], "ts timestamp, value double")
+        frame.coalesce(1).write.mode("append").parquet(path)
+        query = S.daily_totals(S.file_stream(spark, path, spark.read.parquet(path).schema), "ts", "value", out, state)
+        query.awaitTermination()
+    got = sorted(map(tuple, spark.read.parquet(out).drop("batch").collect()))
+    assert got == [("2024-01-01", 2, 3.0), ("2024-01-02", 1, 4.0)]
+    assert S.late_rows(query) == 1
