@@ -50,12 +50,12 @@ def base_counts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     text = F.coalesce(F.col(text_column), F.lit(""))
     plain = docs.select(F.col(id_column).alias("doc_id"), text.alias("t"), words(text).alias("w"), *keep)
     more = [c for c in plain.columns if c not in ("doc_id", "t", "w")]
-    lines = F.filter(F.split("t", "\n", -1), lambda x: F.translate(x, BLANKS, "") != "")
+    lines = F.filter(F.split("t", "\n", -1), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     windows = let(
         F.col("w"),
         lambda w: F.transform(
             F.slice(w, F.lit(1), F.greatest(F.lit(0), F.size(w) - 2)),
-            lambda x, i: F.struct(F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")),
+            lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)),
         ),
     )
     counted = plain.select(
@@ -64,11 +64,16 @@ def base_counts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         "t",
         "w",
         F.size("w").cast("long").alias("n_words"),
-        F.length(F.regexp_replace("t", r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
+        F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("t", r"[^#*$%&|<>]++", "")).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        F.sort_array(windows).alias("s"),
+        windows.alias("h"),
     )
+    # Most texts repeat no window; only the others are sorted.
+    none = F.array().cast("array<struct<h:bigint,i:int>>")
+    placed = F.transform("h", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    repeats = F.size(F.array_distinct("h")) < F.size("h")
+    counted = counted.select("*", F.when(repeats, F.sort_array(placed)).otherwise(none).alias("s"))
     # Windows in hash order: a window is repeated when a neighbour has the same hash.
     same = lambda s, i, x: F.coalesce(F.get(s, i)["h"] == x["h"], F.lit(False))
     repeated = let(F.col("s"), lambda s: F.filter(s, lambda x, i: same(s, i - 1, x) | same(s, i + 1, x)))
@@ -97,9 +102,11 @@ def common_counts(word_array: Column, vocabulary: list[str]) -> Column:
     """How often each vocabulary word stands in the words, as an array of doubles."""
     if not vocabulary:
         return F.array().cast("array<double>")
-    found = F.filter(F.transform(word_array, F.lower), lambda w: w.isin(vocabulary))
+    # Lower, capitalised and upper-case forms are looked up, so only the words found are lower-cased.
+    forms = sorted({f for v in vocabulary for f in (v, v.capitalize(), v.upper())})
+    found = F.filter(word_array, lambda w: w.isin(forms))
     terms = F.array(*[F.lit(v) for v in vocabulary])
-    spaced = F.concat(F.lit(" "), F.array_join(found, "  "), F.lit(" "))
+    spaced = F.concat(F.lit(" "), F.lower(F.array_join(found, "  ")), F.lit(" "))
     return let(
         spaced,
         lambda s: F.transform(terms, lambda v: ((F.length(s) - F.length(F.replace(s, F.concat(F.lit(" "), v, F.lit(" ")), F.lit("")))) / (F.length(v) + 2)).cast("double")),
