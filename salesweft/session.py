@@ -10,6 +10,9 @@ from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+MAX_BATCH_BYTES = 8 << 20
+
 # Folders that this process removes when it ends; on other file systems the
 # cluster's own clean-up of its checkpoint folder does it.
 _LOCAL: set[str] = set()
@@ -62,7 +65,10 @@ def importable(spark: SparkSession) -> None:
     """Let Python workers on this machine import the package from where it lies.
 
     Executors elsewhere need it installed or sent along (``--py-files``).
+    Batches of texts to Python are kept small, which bounds workers' memory.
     """
+    if int(spark.conf.get(BATCH_BYTES).rstrip("b")) > MAX_BATCH_BYTES:
+        spark.conf.set(BATCH_BYTES, MAX_BATCH_BYTES)
     home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
