@@ -1,7 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
 ``BENCH_SF_DIR`` (default sf0.1), ``BENCH_CPUS`` (default 8), ``BENCH_RUNS``
-timed runs after one warm-up run (default 1; the median counts) and
+timed runs after one warm-up run (default 3; the median counts) and
 ``BENCH_QUERIES`` (comma-separated names, or ``all``).
 """
 
@@ -20,7 +20,7 @@ HEADLINE = [
     "year_pruned_sales", "clean_orders", "quality_report", "dedup_first", "ingest_stats", "rollup_all",
     "rollup_region_date", "baskets_city_day", "frequent_itemsets", "assoc_rules", "fpgrowth_itemsets",
     "stocking_insights", "daily_series", "forecast_interval", "season_decompose", "behaviour_table",
-    "scaled_features", "db_score", "stream_ingest",
+    "scaled_features", "db_score", "stream_ingest", "frequent_products", "customer_portrait",
 ]
 
 
@@ -30,7 +30,7 @@ def main() -> None:
 
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     chosen = os.environ.get("BENCH_QUERIES", "")
     names = list(QUERIES) if chosen == "all" else [n for n in chosen.split(",") if n] or HEADLINE
     spark = build_session(

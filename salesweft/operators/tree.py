@@ -44,6 +44,20 @@ class Node:
         is_value = F.coalesce(F.col(self.column) == self.value, F.lit(False))
         return F.when(is_value, self.present.score()).otherwise(self.absent.score())
 
+    def leaves(self) -> list["Node"]:
+        if self.column is None:
+            return [self]
+        return self.absent.leaves() + self.present.leaves()
+
+    def leaf_number(self, first: int = 0) -> Column:
+        """Position of a row's leaf in :meth:`leaves`."""
+        if self.column is None:
+            return F.lit(first)
+        is_value = F.coalesce(F.col(self.column) == self.value, F.lit(False))
+        return F.when(is_value, self.present.leaf_number(first + len(self.absent.leaves()))).otherwise(
+            self.absent.leaf_number(first)
+        )
+
     def splits(self) -> list[tuple[str, float]]:
         if self.column is None:
             return []
@@ -130,6 +144,24 @@ def tree_metrics(features: DataFrame, tree: Node) -> DataFrame:
     return error_metrics(predict(features, tree)).withColumn("depth", F.lit(tree.depth()))
 
 
+def checks(features: DataFrame, tree: Node, min_leaf: int = MIN_LEAF, tolerance: float = 1e-6) -> DataFrame:
+    """``(check, value)``: rows and violations of what a kept tree promises."""
+    target = F.col(drivers.TARGET).cast("double")
+    leaves = predict(features, tree).groupBy(tree.leaf_number().alias("leaf")).agg(
+        F.count("*").alias("n"), F.avg(target).alias("mean"), F.max("prediction").alias("p"), F.min("prediction").alias("q")
+    )
+    numbered = features.sparkSession.createDataFrame([(i, leaf.rows) for i, leaf in enumerate(tree.leaves())], "leaf int, told double")
+    joined = numbered.join(leaves, "leaf", "left")
+    close = lambda a, b: F.abs(a - b) <= tolerance * F.greatest(F.lit(1.0), F.abs(b))
+    found = joined.agg(
+        F.sum("n").alias("rows"),
+        F.count_if(F.coalesce("n", F.lit(0)) < min_leaf).alias("small_leaves"),
+        F.count_if(~close(F.col("told"), F.coalesce("n", F.lit(0)))).alias("wrong_leaf_sizes"),
+        F.count_if(~close(F.col("p"), F.col("mean")) | (F.col("p") != F.col("q"))).alias("wrong_leaf_means"),
+    )
+    return found.unpivot([], found.columns, "check", "value")
+
+
 def importance(spark: SparkSession, tree: Node) -> DataFrame:
     """``(feature, importance)`` over the kept splits, shares of 1."""
     sums: dict[str, float] = {}

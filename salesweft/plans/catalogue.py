@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesweft.functions import dates, labels, numbers
@@ -638,6 +639,11 @@ def tree_predictions(spark, sf):
     return tree.prediction_sample(*_trained(spark, sf))
 
 
+@query
+def tree_checks(spark, sf):
+    return tree.checks(*_trained(spark, sf))
+
+
 # Forecast ------------------------------------------------------------------
 
 def _daily(spark, sf, keys=SERIES_KEYS):
@@ -744,6 +750,18 @@ def forecast_d1(spark, sf):
     return _shown_forecast(forecast.forecast(_daily(spark, sf), SERIES_KEYS, STEPS, order=(1, 1, 0)))
 
 
+@query
+def ar_fit_p3(spark, sf):
+    _, models = forecast.fit_models(_daily(spark, sf), SERIES_KEYS, (3, 1, 0))
+    shown = models.withColumn("phi3", F.get("phis", F.lit(2))).drop("phis")
+    return _rounded(shown, **{c: 6 for c in ("phi1", "phi2", "phi3", "rss", "sigma2", "aic", "bic")})
+
+
+@query
+def fitted_series_p3(spark, sf):
+    return _fitted(spark, sf, (3, 1, 0))
+
+
 def _fitted(spark, sf, order):
     rows, models = forecast.fit_models(_daily(spark, sf), SERIES_KEYS, order)
     return _rounded(_dated(forecast.fitted_values(rows, models, SERIES_KEYS)), y=2, x=6, fitted_x=6, fitted=2)
@@ -942,6 +960,33 @@ def kmeans_assignments(spark, sf):
     return analyses.run_segmentation(_behaviour(spark, sf), k=4).assignments
 
 
+@query
+def kmeans_checks(spark, sf):
+    prepared = written(segments.prepared_features(_behaviour(spark, sf)), "prepared")
+    assigned, model = segments.assign_segments(prepared, 4)
+    return segments.misplaced(assigned, [list(map(float, c)) for c in model.clusterCenters()])
+
+
+@query
+def silhouette_fixed(spark, sf):
+    """Silhouette of the fixed labels."""
+    labelled = segments.vectors(written(_scaled(spark, sf), "scaled-labels"))
+    numbered = StringIndexer(inputCol="cluster", outputCol="number").fit(labelled).transform(labelled)
+    value = segments.silhouette(numbered, "number")
+    return _rounded(spark.createDataFrame([(value,)], "silhouette double"), silhouette=6)
+
+
+@query
+def choose_k(spark, sf):
+    """Silhouette of every number of clusters tried, and the one chosen."""
+    vectored = segments.vectors(written(segments.prepared_features(_behaviour(spark, sf)), "prepared")).persist()
+    try:
+        best, scores = segments.choose_k(vectored, range(2, 6), range(42, 44))
+    finally:
+        vectored.unpersist()
+    return spark.createDataFrame([(k, s, k == best) for k, s in scores.items()], "k int, silhouette double, chosen boolean")
+
+
 # Streaming -----------------------------------------------------------------
 
 def _order_stream(spark, sf, *columns):

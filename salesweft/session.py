@@ -10,6 +10,9 @@ from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Codec of intermediate tables.
+CODEC = "zstd"
+
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 MAX_BATCH_BYTES = 8 << 20
 
@@ -96,8 +99,9 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 
     Used where a result feeds several later steps: the plan is cut, the work
     is done once, it outlives lost executors, and the table has a known size,
-    so Spark can tell by itself whether a later join may broadcast it.
+    so Spark can tell by itself whether a later join may broadcast it.  Zstd
+    buffers lie in the heap; Snappy's wait outside it for a garbage collection.
     """
     path = new_work_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", CODEC).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

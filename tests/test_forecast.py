@@ -132,11 +132,47 @@ def test_seeded_jitter_stays_in_range(spark):
 
 
 def test_bad_orders_are_refused():
-    for order in ((3, 1, 0), (1, 3, 0), (0, 1, 1)):
+    for order in ((1, 3, 0), (0, 1, 1), (2, 1, -1)):
         with pytest.raises(ValueError):
             Fc.check_order(order)
 
 
+def test_longer_orders_solve_all_lags(spark):
+    p = 4
+    rows, models = Fc.fit_models(frame(spark, **SHAPES), KEYS, (p, 1, 0))
+    got = {r["k"]: r for r in models.collect()}
+    paths = {}
+    for r in Fc.standardised_forecast(rows, models, KEYS, 6).orderBy("k", "step").collect():
+        paths.setdefault(r["k"], []).append(r["x_hat"])
+    fitted = {}
+    for r in Fc.fitted_values(rows, models, KEYS).orderBy("k", "ds").collect():
+        fitted.setdefault(r["k"], []).append(r["fitted_x"])
+    for k, y in SHAPES.items():
+        y = np.array(y[-180:])
+        x = np.diff((y - y.mean()) / y.std(ddof=1))
+        lags = np.stack([x[p - lag : len(x) - lag] for lag in range(1, p + 1)], axis=1)
+        phis = np.linalg.lstsq(lags, x[p:], rcond=None)[0]
+        assert np.allclose(got[k]["phis"], phis, atol=1e-8), k
+        assert np.allclose(fitted[k], lags @ phis, atol=1e-8), k
+        done = list(x)
+        for _ in range(6):
+            done.append(float(phis @ np.array(done[: -p - 1 : -1])))
+        assert np.allclose(paths[k], done[-6:], atol=1e-8), k
+
+
+def test_forecast_without_keys_is_one_series(spark):
+    df = frame(spark, a=noise(60))
+    one = [tuple(r) for r in Fc.forecast(df, KEYS, 5).drop("k").orderBy("step").collect()]
+    assert [tuple(r) for r in Fc.forecast(df.drop("k"), [], 5).orderBy("step").collect()] == one
+
+
+def test_series_without_a_model_are_listed(spark):
+    df = frame(spark, a=noise(60), b=noise(9))
+    rows, models = Fc.fit_models(df, KEYS, (2, 1, 4), minimum=5)
+    assert [r["k"] for r in models.collect()] == ["a"]
+    assert [(r["k"], r["points"]) for r in Fc.unmodelled_series(rows, models, KEYS).collect()] == [("b", 9)]
+
+
 def test_acf_and_moving_means(spark):
     y = noise(50, 9)
     df = frame(spark, a=y)

@@ -2,10 +2,13 @@
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from salesweft.functions import numbers
 from salesweft.operators import segments as G
 from salesweft.plans import analyses
 
@@ -93,3 +96,17 @@ def test_choose_k(spark):
     df = G.vectors(spark.createDataFrame(rows, "a double, b double"), ["a", "b"]).cache()
     k, scores = G.choose_k(df, ks=range(2, 5), seeds=(42, 43))
     assert k == 3 and set(scores) == {2, 3, 4}
+
+
+def test_equal_centroids_do_not_fail(spark):
+    rows = [(c, x, 1.0) for c in ("a", "b") for x in (0.0, 2.0)] + [("c", 9.0, 1.0), ("c", 9.0, 3.0)]
+    df = spark.createDataFrame(rows, "cluster string, f double, g double")
+    score = G.davies_bouldin(df, ["f", "g"]).first()[0]
+    far = (1 + 1) / (8**2 + 1) ** 0.5
+    assert abs(score - far) < 1e-9
+
+
+def test_wide_amounts_are_summed(spark):
+    df = spark.createDataFrame([(1e15,), (0.25,), (-1e20,), (None,), (float("inf"),)], "v double")
+    total = df.agg(numbers.money_total(F.col("v")).alias("t")).first()["t"]
+    assert total == Decimal("1000000000000000.25") - Decimal(10**20)
