@@ -45,7 +45,7 @@ def test_expected_tokens_match_the_targets(tables):
 
 
 def test_rates_clip_at_zero_like_plain_projected_gradient(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "ITERATIONS", 200)
+    monkeypatch.setattr(mixing, "ITERATIONS", 12)
     rng = np.random.default_rng(4)
     p = rng.dirichlet([0.6, 0.6, 0.6], 300)
     n = rng.integers(1, 100, 300).astype(float)
