@@ -33,7 +33,8 @@ from salesweft.session import written
 CAPACITY = 2048
 END = 0
 CHUNKS = 1024
-MEMO_WORDS = 200_000
+MEMO_WORDS = 400_000
+SLICE_BYTES = 1 << 22  # a word is looked up once per slice
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -107,7 +108,7 @@ def token_pieces(docs: DataFrame, path: str = TOKENIZER, capacity: int = CAPACIT
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _tokenizer(path)
         for batch in batches:
-            for part in hashing.slices(batch, "text"):
+            for part in hashing.slices(batch, "text", SLICE_BYTES):
                 ids, bounds = encode(pc.fill_null(part.column("text"), ""))
                 whole = np.full(len(ids) + part.num_rows, end, "<u4")
                 at = np.arange(len(ids)) + np.repeat(np.arange(part.num_rows), np.diff(bounds))
