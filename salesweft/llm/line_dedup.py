@@ -11,9 +11,10 @@ without a word do not count.  Documents are in order of their id.
    per document.  A link counts if the line lies in a run of shared lines that
    is long enough to be deleted.
 3. Each linked pair is aligned by patience diff: lines that are unique in both
-   anchor the alignment, which grows and recurses between them.
-4. Aligned blocks of consecutive lines with at least ``MIN_WORDS`` words in
-   all are deleted from the later document.  The first holder of a line has no
+   anchor the alignment, which grows and recurses between them.  Passages that
+   are repeated in a document, or moved, are then found by windows of lines.
+4. All runs of consecutive lines with at least ``MIN_WORDS`` words that both
+   hold are deleted from the later document.  The first holder of a line has no
    earlier partner with it, so one copy of every line always stays.
 
 Defined cases: a null or empty text has no lines; equal texts lose all their
@@ -24,8 +25,9 @@ result; extra columns are kept and not read.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -131,19 +133,42 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def windows(words: list[int], min_words: int) -> set[tuple[int, int]]:
+    """Start and end of the shortest runs of enough words that start or end at a line.
+
+    Every run with enough words is a union of such windows: the one at its
+    start, and for each line behind that the one which ends there.
+    """
+    total = [0, *accumulate(words)]
+    least = max(1, min_words)
+    found = {(start, bisect_left(total, at + least)) for start, at in enumerate(total) if at + least <= total[-1]}
+    found |= {(bisect_right(total, at - least) - 1, end) for end, at in enumerate(total) if at >= least}
+    return found
+
+
 def common_blocks(earlier: list[int], later: list[int], words: list[int], min_words: int = MIN_WORDS) -> list[int]:
-    """Positions in the later list of all aligned blocks with enough words."""
-    found: list[int] = []
+    """Positions in the later list of all runs with enough words that the earlier list holds in a row too."""
+    found: set[int] = set()
     block: list[int] = []
     last = None
     for i, j in [*patience(earlier, later), (-9, -9)]:
         if last is None or (i, j) != (last[0] + 1, last[1] + 1):
             if sum(words[k] for k in block) >= min_words:
-                found += block
+                found.update(block)
             block = []
         block.append(j)
         last = (i, j)
-    return found
+    known = set(earlier)
+    if any(k not in found and x in known for k, x in enumerate(later)):
+        # Repeated or moved passages, which one alignment leaves: every common
+        # run consists of shortest windows that stand in both lists.  A line
+        # that the later list lacks fills a window, which then matches nothing.
+        size = dict(zip(later, words))
+        held = {tuple(earlier[i:k]) for i, k in windows([size.get(x, max(1, min_words)) for x in earlier], min_words)}
+        for j, k in windows(words, min_words):
+            if tuple(later[j:k]) in held:
+                found.update(range(j, k))
+    return sorted(found)
 
 
 def _linked(link_words: int, min_words: int):

@@ -94,3 +94,46 @@ def test_patience_aligns(seed):
     if len(set(a)) == len(a) and len(set(b)) == len(b):
         best = sum(m.size for m in difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks())
         assert len(pairs) >= best
+
+
+def common_runs(earlier, later, words, min_words):
+    """Lines of the later list in any run that the earlier list holds too."""
+    gone = set()
+    for i in range(len(earlier)):
+        for j in range(len(later)):
+            n = 0
+            while i + n < len(earlier) and j + n < len(later) and earlier[i + n] == later[j + n]:
+                n += 1
+            if sum(words[j : j + n]) >= min_words:
+                gone |= set(range(j, j + n))
+    return sorted(gone)
+
+
+@pytest.mark.parametrize("earlier, later, gone", [
+    ("xPQyPQz", "uPQv", [1, 2]),
+    ("uPQv", "xPQyPQz", [1, 2, 4, 5]),
+    ("xPQyPQz", "uPQvPQw", [1, 2, 4, 5]),
+    ("PQabc", "aPQxbyc", [1, 2]),
+])
+def test_repeated_and_moved_passages_are_found(earlier, later, gone):
+    words = [15 if x in "PQ" else 2 for x in later]
+    assert line_dedup.common_blocks(list(earlier), list(later), words, 20) == gone
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_blocks_match_all_common_runs(seed):
+    rng = random.Random(seed)
+    size = [rng.randint(1, 12) for _ in range(8)]
+    a, b = ([rng.randrange(rng.choice([2, 8])) for _ in range(rng.randint(0, 40))] for _ in range(2))
+    words = [size[x] for x in b]
+    for least in (1, 8, 20):
+        assert line_dedup.common_blocks(a, b, words, least) == common_runs(a, b, words, least)
+
+
+def test_passage_repeated_in_one_document_is_cut(spark):
+    rng = random.Random(5)
+    x, y, z, u, v = (cases.sentence(rng, 9) for _ in range(5))
+    passage = "\n".join(cases.sentence(rng, 15) for _ in range(4))
+    rows = [(1, "\n".join([x, passage, y, passage, z])), (2, "\n".join([u, passage, v])), (3, "\n".join([v, passage, u, passage]))]
+    found = {r.doc_id: r.removed_words for r in line_dedup.removed_lines(cases.documents(spark, rows)).collect()}
+    assert found == {1: 0, 2: 60, 3: 129}
