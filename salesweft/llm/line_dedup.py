@@ -5,17 +5,18 @@ also after a full stop, question or exclamation mark before a blank; lines
 without a word do not count.  Documents are in order of their id.
 
 1. One pass hashes the lines of every document (a narrow profile per text).
-2. Lines of at least ``LINK_WORDS`` words that two or more documents hold link
-   every later holder to the first one; the rarer the line, the fewer such
-   links, and a line that a third of all documents hold still makes only one
-   per document.  A link counts if the line lies in a run of shared lines that
-   is long enough to be deleted.
+2. Windows of consecutive lines, the shortest ones of ``MIN_WORDS`` words, that
+   two or more documents hold link every later holder to the first one; the
+   rarer the window, the fewer such links, and a window that a third of all
+   documents hold still makes only one per document.  Every run that is long
+   enough consists of windows, so a link to each window's first holder finds
+   all that any earlier document holds.
 3. Each linked pair is aligned by patience diff: lines that are unique in both
    anchor the alignment, which grows and recurses between them.  Passages that
    are repeated in a document, or moved, are then found by windows of lines.
 4. All runs of consecutive lines with at least ``MIN_WORDS`` words that both
-   hold are deleted from the later document.  The first holder of a line has no
-   earlier partner with it, so one copy of every line always stays.
+   hold are deleted from the later document.  The first holder of a
+   window has no earlier partner with it; of every line one copy stays.
 
 Defined cases: a null or empty text has no lines; equal texts lose all their
 lines but in the first document; repeated rows are documents of their own, in
@@ -38,7 +39,6 @@ from salesweft.llm import hashing
 from salesweft.llm.columns import let
 from salesweft.session import written
 
-LINK_WORDS = 1
 MIN_WORDS = 20
 ROW = "__line_dedup_row"
 
@@ -171,26 +171,32 @@ def common_blocks(earlier: list[int], later: list[int], words: list[int], min_wo
     return sorted(found)
 
 
-def _linked(link_words: int, min_words: int):
+def window_hashes(hashes: np.ndarray, words: np.ndarray, cuts: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per window of :func:`windows`, in lists of lines between the cuts: its list's number and its hash."""
+    total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    at, least = np.arange(len(words)), max(1, min_words)
+    doc = hashing.owners(at, cuts)
+    ends = np.searchsorted(total, total[:-1] + least)
+    starts = np.searchsorted(total, total[1:] - least, side="right") - 1
+    whole, back = ends <= cuts[doc + 1], starts >= cuts[doc]
+    # Most windows that end at a line also are the shortest ones from their start.
+    back &= ends[np.maximum(starts, 0)] != at + 1
+    start, end = np.concatenate([at[whole], starts[back]]), np.concatenate([ends[whole], at[back] + 1])
+    out, open_, k = (end - start).astype(np.uint64), np.arange(len(start)), 0
+    while len(open_):
+        out[open_] = hashing.mix(out[open_] * np.uint64(0x9FB21C651E98DF25) + hashes[start[open_] + k])
+        k += 1
+        open_ = open_[start[open_] + k < end[open_]]
+    return np.concatenate([doc[whole], doc[back]]), out
+
+
+def _windowed(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, holders = [], []
-            for row, words, shared in zip(batch.column("row").to_pylist(), batch.column("words").to_pylist(), batch.column("shared").to_pylist()):
-                at = {s["at"]: s["holder"] for s in shared}
-                useful: set[int] = set()
-                run_words, run_holders = 0, set()
-                for k, n in enumerate([*words, None]):
-                    if n is None or n >= link_words and k not in at:
-                        if run_words >= min_words:
-                            useful |= run_holders
-                        run_words, run_holders = 0, set()
-                    else:
-                        run_words += n
-                        if k in at:
-                            run_holders.add(at[k])
-                rows += [row] * len(useful)
-                holders += sorted(useful)
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(holders, pa.int64())], names=["row", "holder"])
+            hashes, words = batch.column("hashes"), batch.column("words")
+            cuts = words.offsets.to_numpy().astype(np.int64)
+            doc, found = window_hashes(hashes.flatten().to_numpy().view(np.uint64), words.flatten().to_numpy(), cuts - cuts[0], min_words)
+            yield pa.RecordBatch.from_arrays([batch.column("row").take(pa.array(doc)), pa.array(found.view(np.int64))], names=["row", "hash"])
 
     return run
 
@@ -209,7 +215,7 @@ def _aligned(min_words: int):
     return run
 
 
-def removed_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", row: str | None = None, sentences: bool = True, min_words: int = MIN_WORDS, link_words: int = LINK_WORDS) -> DataFrame:
+def removed_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", row: str | None = None, sentences: bool = True, min_words: int = MIN_WORDS) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed, removed_words, removed_lines (numbers from 0) and its row."""
     narrow = docs.select(F.col(id_column).alias("id"), (F.col(row) if row else F.monotonically_increasing_id()).alias("source_row"), F.col(text_column).alias("text"))
     schema = f"id {narrow.schema['id'].dataType.simpleString()}, source_row long, hashes array<long>, words array<int>"
@@ -219,10 +225,9 @@ def removed_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = profiles.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     profiles = written(ordered.withColumn("row", F.monotonically_increasing_id()), "line-profiles-ordered")
-    lines = profiles.select("row", "words", F.posexplode("hashes").alias("at", "hash")).where(F.get("words", F.col("at")) >= link_words).select("row", "at", "hash")
-    holders = lines.groupBy("hash").agg(F.min("row").alias("holder"), F.max("row").alias("last")).where("last > holder").select("hash", "holder")
-    shared = lines.join(holders, "hash").where("holder < row").groupBy("row").agg(F.collect_list(F.struct("at", "holder")).alias("shared"))
-    links = profiles.select("row", "words").join(shared, "row").mapInArrow(_linked(link_words, min_words), "row long, holder long")
+    held = profiles.select("row", "hashes", "words").mapInArrow(_windowed(min_words), "row long, hash long")
+    holders = held.groupBy("hash").agg(F.min("row").alias("holder"), F.max("row").alias("last")).where("last > holder").select("hash", "holder")
+    links = held.join(holders, "hash").where("holder < row").select("row", "holder").distinct()
     earlier = profiles.select(F.col("row").alias("holder"), F.col("hashes").alias("earlier"))
     pairs = links.join(earlier, "holder").join(profiles.select("row", "hashes", "words"), "row")
     blocks = pairs.mapInArrow(_aligned(min_words), "row long, lines array<int>")

@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from salesweft.llm import line_dedup
@@ -137,3 +138,47 @@ def test_passage_repeated_in_one_document_is_cut(spark):
     rows = [(1, "\n".join([x, passage, y, passage, z])), (2, "\n".join([u, passage, v])), (3, "\n".join([v, passage, u, passage]))]
     found = {r.doc_id: r.removed_words for r in line_dedup.removed_lines(cases.documents(spark, rows)).collect()}
     assert found == {1: 0, 2: 60, 3: 129}
+
+
+def all_earlier(rows, sentences, min_words):
+    """Every document against every earlier one."""
+    order = sorted(range(len(rows)), key=lambda n: (rows[n][0] is None, rows[n][0] or 0, n))
+    found = [lines(rows[n][1], sentences) for n in order]
+    out = []
+    for k, part in enumerate(found):
+        words = [len(cases.words(x)) for x in part]
+        gone = set()
+        for before in found[:k]:
+            if set(before) & set(part):
+                gone |= set(common_runs(before, part, words, min_words))
+        out.append((rows[order[k]][0], len(part), str(sorted(gone)), sum(words[g] for g in gone)))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("sentences, min_words", [(False, 20), (True, 20), (False, 5)])
+def test_matches_every_earlier_document(spark, sentences, min_words):
+    rows = [r for r in cases.texts() + [(500 + i, t) for i, t in shared_rows()] if r[0] != 3]
+    found = line_dedup.removed_lines(cases.documents(spark, rows, 1), sentences=sentences, min_words=min_words).collect()
+    assert Counter((r.doc_id, r.n_lines, str(r.removed_lines), r.removed_words) for r in found) == all_earlier(rows, sentences, min_words)
+
+
+def test_passage_of_lines_first_seen_alone_is_cut(spark):
+    rng = random.Random(6)
+    passage = [cases.sentence(rng, 12) for _ in range(5)]
+    alone = [(k, f"{cases.sentence(rng, 9)}\n{line}\n{cases.sentence(rng, 9)}") for k, line in enumerate(passage)]
+    rows = [*alone, *((10 + k, "\n".join([cases.sentence(rng, 9), *passage, cases.sentence(rng, 9)])) for k in range(2))]
+    found = {r.doc_id: r.removed_words for r in line_dedup.removed_lines(cases.documents(spark, rows)).collect()}
+    assert found == {k: 60 if k == 11 else 0 for k, _ in rows}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_window_hashes_are_those_of_windows(seed):
+    rng = random.Random(seed)
+    lists = [[rng.randrange(6) for _ in range(rng.randint(0, 15))] for _ in range(6)]
+    size = [rng.randint(1, 9) for _ in range(6)]
+    cuts = np.cumsum([0, *map(len, lists)])
+    flat = [x for part in lists for x in part]
+    doc, found = line_dedup.window_hashes(np.array(flat, np.uint64), np.array([size[x] for x in flat], np.int32), cuts, 10)
+    want = [(k, tuple(part[i:j])) for k, part in enumerate(lists) for i, j in line_dedup.windows([size[x] for x in part], 10)]
+    assert Counter(doc.tolist()) == Counter(k for k, _ in want)
+    assert Counter(Counter(found.tolist()).values()) == Counter(Counter(w for _, w in want).values())
