@@ -981,7 +981,7 @@ def choose_k(spark, sf):
     """Silhouette of every number of clusters tried, and the one chosen."""
     vectored = segments.vectors(written(segments.prepared_features(_behaviour(spark, sf)), "prepared")).persist()
     try:
-        best, scores = segments.choose_k(vectored, range(2, 6), range(42, 44))
+        best, scores = segments.choose_k(vectored)
     finally:
         vectored.unpersist()
     return spark.createDataFrame([(k, s, k == best) for k, s in scores.items()], "k int, silhouette double, chosen boolean")

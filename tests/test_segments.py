@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from salesweft.functions import numbers
 from salesweft.operators import segments as G
-from salesweft.plans import analyses
+from salesweft.plans import analyses, catalogue
 
 LINES = "customer_id long, order_id long, order_date date, sales_amount double, category string, season string, region string"
 
@@ -98,6 +98,27 @@ def test_choose_k(spark):
     assert k == 3 and set(scores) == {2, 3, 4}
 
 
+def test_choose_k_query_tries_all(spark, data, monkeypatch):
+    tried = {}
+
+    class Model:
+        def __init__(self, k):
+            self.k = k
+
+        def transform(self, df):
+            return self.k
+
+    def fit(vectored, k, seeds):
+        tried[k] = list(seeds)
+        return Model(k)
+
+    monkeypatch.setattr(G, "best_kmeans", fit)
+    monkeypatch.setattr(G, "silhouette", lambda k, label: 1 - abs(k - 8) / 10)
+    found = {r["k"]: r["chosen"] for r in catalogue.choose_k(spark, data).collect()}
+    assert found == {k: k == 8 for k in range(2, 10)}
+    assert tried == {k: list(range(42, 52)) for k in range(2, 10)}
+
+
 def test_equal_centroids_do_not_fail(spark):
     rows = [(c, x, 1.0) for c in ("a", "b") for x in (0.0, 2.0)] + [("c", 9.0, 1.0), ("c", 9.0, 3.0)]
     df = spark.createDataFrame(rows, "cluster string, f double, g double")
