@@ -9,7 +9,8 @@ little, so each comparison has a least length below which it abstains.
 
 Defined cases: a null text is empty; an empty text has no words and fails the
 base rule; a document of unknown language is compared with all references;
-without references every document passes the comparison.
+without references every document passes the comparison, and so does a document
+whose language has none (no document of ``min_chars``).
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesweft.llm.columns import BLANKS, let, spread, words
+from salesweft.llm.columns import BLANKS, let, words
+from salesweft.session import written
 
 SYMBOLS = "#*$%&|<>"
 
@@ -41,8 +43,6 @@ class Limits:
     max_class_distance: float = 0.30
     max_word_distance: float = 0.65
     common_words: int = 12
-    reference_rows: int = 2000
-    max_languages: int = 32
 
 
 def base_counts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", *keep: Column) -> DataFrame:
@@ -140,47 +140,51 @@ class References:
     common: dict[str, list[float]]
 
 
-def language_references(docs: DataFrame, limits: Limits = Limits(), id_column: str = "doc_id", text_column: str = "text", language: str = "lang") -> References:
-    """References from at most about ``reference_rows`` documents of each language.
-
-    The rows are chosen by a hash of the id, at a rate that follows from the
-    language's row count.  What is collected is bounded by ``max_languages``
-    times ``common_words``.
-    """
-    counts = (
-        docs.where(F.col(language).isNotNull() & (F.length(text_column) >= limits.min_chars))
-        .groupBy(F.col(language).alias("lang")).agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "lang").limit(limits.max_languages).collect()
-    )
-    if not counts:
-        return References([], {}, {})
-    rate = reduce(lambda c, r: c.when(F.col(language) == r["lang"], F.lit(min(1.0, limits.reference_rows / r["n"]))), counts, F.when(F.lit(False), F.lit(0.0)))
-    sample = docs.where(
-        (F.length(text_column) >= limits.min_chars) & (spread(F.lit(9), F.col(id_column)) < F.coalesce(rate, F.lit(0.0)))
-    ).select(F.col(language).alias("lang"), F.col(text_column).alias("t"))
-    seen = sample.select("lang", F.explode(words(F.col("t"))).alias("w")).groupBy("lang", F.lower("w").alias("w")).agg(F.count("*").alias("n"))
+def vocabulary(docs: DataFrame, limits: Limits = Limits(), text_column: str = "text", language: str = "lang") -> list[str]:
+    """The ``common_words`` most frequent words of every language, over all its documents."""
+    texts = docs.where(F.col(language).isNotNull() & (F.length(text_column) >= limits.min_chars))
+    parts = F.split(F.translate(F.lower(text_column), BLANKS, " " * len(BLANKS)), " ", -1)
+    seen = texts.select(F.col(language).alias("lang"), F.explode(parts).alias("w")).where("w != ''").groupBy("lang", "w").agg(F.count("*").alias("n"))
     ranked = seen.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w"))).where(F.col("place") <= limits.common_words)
-    vocabulary = sorted({r["w"] for r in ranked.select("w").collect()})
-    word_chars = F.length(F.regexp_replace("t", r"[\x20\x09-\x0D]+", ""))
-    n, k = len(HISTOGRAM), len(vocabulary)
-    sums = (
-        sample.select("lang", class_counts(F.col("t"), word_chars).alias("c"), common_counts(words(F.col("t")), vocabulary).alias("v"))
-        .groupBy("lang").agg(*[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(n)], *[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(k)])
-        .collect()
-    )
+    return sorted({r["w"] for r in ranked.select("w").collect()})
+
+
+def measured(docs: DataFrame, terms: list[str], id_column: str = "doc_id", text_column: str = "text", language: str = "lang") -> DataFrame:
+    """Counts, histograms and language of every document, without its text."""
+    lang = F.col(language) if language in docs.columns else F.lit(None).cast("string")
+    return base_counts(docs, id_column, text_column, lang.alias("lang")).select(
+        "*", F.length("t").alias("n_chars"), class_counts(F.col("t"), F.col("word_chars")).alias("c"), common_counts(F.col("w"), terms).alias("v")
+    ).drop("t", "w")
+
+
+def summed(counts: DataFrame, terms: list[str], limits: Limits = Limits()) -> References:
+    """References from the histograms of :func:`measured`; what is collected grows with the number of languages only."""
+    long = counts.where(F.col("lang").isNotNull() & (F.col("n_chars") >= limits.min_chars))
+    sums = long.select("lang", F.posexplode(F.concat("c", "v"))).groupBy("lang", "pos").agg(F.sum("col").alias("n")).collect()
+    found: dict[str, list[float]] = {}
+    for r in sums:
+        found.setdefault(r["lang"], [0.0] * (len(HISTOGRAM) + len(terms)))[r["pos"]] = r["n"]
 
-    def shares(row: object, kind: str, size: int) -> list[float]:
-        values = [row[f"{kind}{i}"] or 0.0 for i in range(size)]
+    def shares(values: list[float]) -> list[float]:
         return [x / (sum(values) or 1.0) for x in values]
 
-    return References(vocabulary, {r["lang"]: shares(r, "c", n) for r in sums}, {r["lang"]: shares(r, "v", k) for r in sums})
+    n = len(HISTOGRAM)
+    return References(terms, {k: shares(v[:n]) for k, v in found.items()}, {k: shares(v[n:]) for k, v in found.items()})
 
 
-def judged(docs: DataFrame, references: References, limits: Limits = Limits(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def language_references(docs: DataFrame, limits: Limits = Limits(), id_column: str = "doc_id", text_column: str = "text", language: str = "lang") -> References:
+    """References of every language, from all its documents of ``min_chars``."""
+    terms = vocabulary(docs, limits, text_column, language)
+    return summed(measured(docs, terms, id_column, text_column, language), terms, limits)
+
+
+def judged(docs: DataFrame, references: References, limits: Limits = Limits(), id_column: str = "doc_id", text_column: str = "text", language: str = "lang") -> DataFrame:
     """Counts, distances to the nearest language and the verdict, per document."""
-    base = base_counts(docs, id_column, text_column).select(
-        "*", F.length("t").alias("n_chars"), class_counts(F.col("t"), F.col("word_chars")).alias("c"), common_counts(F.col("w"), references.vocabulary).alias("v")
-    )
+    return verdicts(measured(docs, references.vocabulary, id_column, text_column, language), references, limits)
+
+
+def verdicts(base: DataFrame, references: References, limits: Limits = Limits()) -> DataFrame:
+    """The same, from the rows of :func:`measured`."""
     totals = base.select("*", _total(F.col("c")).alias("n_classed"), _total(F.col("v")).alias("n_common"))
     shared = totals.select("*", _share(F.col("c"), F.col("n_classed")).alias("cs"), _share(F.col("v"), F.col("n_common")).alias("vs"))
     class_guard, word_guard = F.col("n_chars") < limits.min_chars, F.col("n_common") < limits.min_common
@@ -196,11 +200,12 @@ def judged(docs: DataFrame, references: References, limits: Limits = Limits(), i
         .when(word_guard, F.exists("ds", lambda d: d["c"] <= limits.max_class_distance))
         .otherwise(F.exists("ds", lambda d: (d["c"] <= limits.max_class_distance) & (d["v"] <= limits.max_word_distance)))
     )
+    foreign = F.col("lang").isNotNull() & ~F.col("lang").isin(languages)
     failed = (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > limits.repeat_percent * F.col("n_words"))
     return per.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"),
-        (~failed & ((F.size("ds") == 0) | fits)).alias("kept"),
+        (~failed & ((F.size("ds") == 0) | foreign | fits)).alias("kept"),
         F.when(~class_guard, F.array_min(F.transform("ds", lambda d: d["c"]))).alias("class_distance"),
         F.when(~word_guard, F.array_min(F.transform("ds", lambda d: d["v"]))).alias("word_distance"),
     )
@@ -208,4 +213,6 @@ def judged(docs: DataFrame, references: References, limits: Limits = Limits(), i
 
 def quality_rules(docs: DataFrame, limits: Limits = Limits(), **columns: str) -> DataFrame:
     """Fit the references on the documents and judge all of them."""
-    return judged(docs, language_references(docs, limits, **columns), limits)
+    terms = vocabulary(docs, limits, **{k: v for k, v in columns.items() if k != "id_column"})
+    counts = written(measured(docs, terms, **columns), "quality-counts")
+    return verdicts(counts, summed(counts, terms, limits), limits)

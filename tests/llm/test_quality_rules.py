@@ -50,3 +50,25 @@ def test_no_language_and_empty_table(spark):
     docs = cases.documents(spark)
     assert quality_rules.quality_rules(docs.withColumn("lang", F.lit(None).cast("string"))).count() == docs.count()
     assert quality_rules.quality_rules(docs.limit(0)).count() == 0
+
+
+def test_references_cover_all_documents_and_languages(spark):
+    rng = random.Random(7)
+    words = [f"w{k}" for k in range(30)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(80)), "en") for i in range(3000)]
+    rows += [(5000 + i, " ".join(f"{i}x{rng.randrange(9)}" for _ in range(80)), f"l{i}") for i in range(36)]
+    found = quality_rules.language_references(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(found.classes) == {r[2] for r in rows}
+    seen = Counter(w for _, t, lang in rows if lang == "en" for w in t.split())
+    top = {w for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:12]}
+    total = sum(seen[w] for w in found.vocabulary)
+    assert top <= set(found.vocabulary)
+    assert all(abs(p - seen[w] / total) < 1e-12 for w, p in zip(found.vocabulary, found.common["en"]))
+
+
+def test_language_without_reference_abstains(spark):
+    docs = spark.createDataFrame([(1, " ".join(f"{k}#{k}$%" for k in range(120)), lang) for lang in ("en", "xx", None)], "doc_id long, text string, lang string")
+    references = quality_rules.References([], {"en": [0.0, 0.0, 0.0, 0.0, 0.2, 0.0, 0.8]}, {"en": []})
+    found = {r.kept for r in quality_rules.judged(docs.where("lang = 'xx'"), references).collect()}
+    assert found == {True}
+    assert not any(r.kept for r in quality_rules.judged(docs.where("lang = 'en' OR lang IS NULL"), references).collect())
