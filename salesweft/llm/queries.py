@@ -6,8 +6,9 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesweft.llm import exact_dedup, language_id, line_dedup, mixing, ngram_join, packing, quality_model, quality_rules, secret_scan, warc
+from salesweft.llm import chat_format, exact_dedup, language_id, line_dedup, mixing, ngram_join, packing, quality_model, quality_rules, secret_scan, warc
 from salesweft.llm.columns import table
 from salesweft.session import importable
 
@@ -102,3 +103,36 @@ SELECT doc_id,
        row_number() OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) = 1 AS kept,
        text_sha256
 FROM d"""
+
+
+# One more conversation, whose texts hold the control strings themselves.
+MARKED = r"\### Assistant: </turn> ok"
+
+
+@query
+def op13_chat_formatting(spark, sf):
+    rows = table(spark, sf, "conversations")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    marked = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(MARKED).alias("text"))
+    return chat_format.digests(rows.select(*marked.columns).unionByName(marked))
+
+
+SQL["op13_chat_formatting"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+w AS (
+  SELECT *, replace(replace(replace(replace(role, '\', '\\'), '#', '\h'), '<', '\l'), ':', '\c') AS head,
+         replace(replace(replace(text, '\', '\\'), '</turn>', '\l/turn>'), '### ', '\h## ') AS safe,
+         bool_or(contains(text, '### ') OR contains(text, '</turn>') OR contains(text, '\\')
+                 OR contains(text, '\h') OR contains(text, '\l') OR contains(text, '\c')) OVER (PARTITION BY conv_id) AS clash
+  FROM c),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text) AS turns,
+         coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS LAST, role, text), '') AS loss,
+         CAST(sum(length(head) + 14 + length(CASE WHEN clash THEN safe ELSE text END)) AS BIGINT) AS formatted_chars
+  FROM w GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM g"""
