@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesweft.llm import chat_format, exact_dedup, language_id, line_dedup, mixing, ngram_join, packing, quality_model, quality_rules, secret_scan, warc
+from salesweft.llm import chat_format, exact_dedup, language_id, line_dedup, mixing, ngram_join, packing, quality_model, quality_rules, ranked_search, secret_scan, warc
 from salesweft.llm.columns import table
 from salesweft.session import importable
 
@@ -105,6 +105,36 @@ SELECT doc_id,
 FROM d"""
 
 
+@query
+def op11_ranked_search(spark, sf):
+    return ranked_search.ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+SQL["op11_ranked_search"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents WHERE text IS NOT NULL),
+c AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d WHERE len(terms) > 0),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE text IS NOT NULL),
+o AS (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d),
+t AS (SELECT doc_id, n, term, count(*) AS tf FROM o WHERE term IN (SELECT term FROM i) GROUP BY doc_id, n, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS weight
+  FROM (SELECT term, count(*) AS df FROM t GROUP BY term), c),
+p AS (
+  SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)) AS impact
+  FROM t, c),
+s AS (
+  SELECT item_id, doc_id, CAST(sum(weight * impact) AS BIGINT) AS score
+  FROM i JOIN p USING (term) JOIN w USING (term) GROUP BY item_id, doc_id HAVING sum(weight * impact) > 0),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10"""
+
+
 # One more conversation, whose texts hold the control strings themselves.
 MARKED = r"\### Assistant: </turn> ok"
 
