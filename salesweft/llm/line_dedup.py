@@ -11,12 +11,16 @@ without a word do not count.  Documents are in order of their id.
    documents hold still makes only one per document.  Every run that is long
    enough consists of windows, so a link to each window's first holder finds
    all that any earlier document holds.
-3. Each linked pair is aligned by patience diff: lines that are unique in both
-   anchor the alignment, which grows and recurses between them.  Passages that
-   are repeated in a document, or moved, are then found by windows of lines.
-4. All runs of consecutive lines with at least ``MIN_WORDS`` words that both
-   hold are deleted from the later document.  The first holder of a
-   window has no earlier partner with it; of every line one copy stays.
+3. Each linked pair is aligned, the later document with the lines of the first
+   holder from its first to its last shared window: patience sorting deals the
+   lines that are unique in both to chains that rise in both documents.  The
+   longest chain is the diff, the others are passages that moved.  All chains
+   grow to both sides over equal lines.  Stretches of lines that repeat, where
+   no line can anchor an alignment, are aligned exactly: every line with the
+   longest run that ends there and that the earlier document holds.
+4. All aligned blocks with at least ``MIN_WORDS`` words are deleted from the
+   later document.  The first holder of a window has no earlier partner with
+   it; of every line one copy stays.
 
 Defined cases: a null or empty text has no lines; equal texts lose all their
 lines but in the first document; repeated rows are documents of their own, in
@@ -27,6 +31,7 @@ result; extra columns are kept and not read.
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -84,53 +89,89 @@ def _profiled(sentences: bool):
     return run
 
 
-def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Aligned positions of two line lists, increasing in both."""
+def patience(a: list[int], b: list[int]) -> list[list[tuple[int, int]]]:
+    """Chains of positions, rising in both lists, of all lines that are unique in both; the longest chain first.
+
+    Patience sorting puts each line, in order of the second list, on the chain
+    that ends nearest before it in the first; no fewer chains would hold all.
+    """
+    at_a: dict[int, int] = {}
+    for i, x in enumerate(a):
+        at_a[x] = -1 if x in at_a else i
+    at_b: dict[int, int] = {}
+    for j, x in enumerate(b):
+        at_b[x] = -1 if x in at_b else j
+    chains: list[list[tuple[int, int]]] = []
+    ends: list[int] = []  # negative last positions of the chains, rising
+    for x, j in at_b.items():
+        i = at_a.get(x, -1)
+        if j < 0 or i < 0:
+            continue
+        k = bisect_right(ends, -i)
+        if k == len(chains):
+            chains.append([])
+            ends.append(0)
+        chains[k].append((i, j))
+        ends[k] = -i
+    return sorted(chains, key=len, reverse=True)
+
+
+def grown(a: list[int], b: list[int], chain: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Start and end in ``b`` of the blocks of equal lines around a chain's lines."""
     out: list[tuple[int, int]] = []
-    todo = [(0, len(a), 0, len(b))]
-    while todo:
-        a0, a1, b0, b1 = todo.pop()
-        while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
-            out.append((a0, b0))
-            a0, b0 = a0 + 1, b0 + 1
-        while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
-            a1, b1 = a1 - 1, b1 - 1
-            out.append((a1, b1))
-        if a0 == a1 or b0 == b1:
+    shift = end = None
+    for i, j in chain:
+        if shift == j - i and j < end:
             continue
-        at_a: dict[int, int] = {}
-        for i in range(a0, a1):
-            at_a[a[i]] = -1 if a[i] in at_a else i
-        at_b: dict[int, int] = {}
-        for j in range(b0, b1):
-            at_b[b[j]] = -1 if b[j] in at_b else j
-        both = [(at_a[x], j) for x, j in at_b.items() if j >= 0 and at_a.get(x, -1) >= 0]
-        both.sort(key=lambda p: p[1])
-        # Longest increasing run of positions in a, by patience sorting.
-        tops: list[int] = []
-        piles: list[int] = []
-        back: list[int] = []
-        for k, (i, _) in enumerate(both):
-            pile = bisect_left(tops, i)
-            back.append(piles[pile - 1] if pile else -1)
-            if pile == len(tops):
-                tops.append(i)
-                piles.append(k)
+        shift, start, end = j - i, j, j + 1
+        while start and start > shift and a[start - 1 - shift] == b[start - 1]:
+            start -= 1
+        while end < len(b) and end - shift < len(a) and a[end - shift] == b[end]:
+            end += 1
+        out.append((start, end))
+    return out
+
+
+def longest_runs(a: list[int], b: list[int]) -> list[int]:
+    """For every place of ``b`` the length of the longest run ending there that ``a`` holds too.
+
+    The states of a suffix automaton of ``a`` are its runs by their ends, so the
+    cost is linear, however often lines repeat.
+    """
+    step: list[dict[int, int]] = [{}]
+    link, length, last = [-1], [0], 0
+    for x in a:
+        new, length_new = len(step), length[last] + 1
+        step.append({})
+        link.append(0)
+        length.append(length_new)
+        p = last
+        while p >= 0 and x not in step[p]:
+            step[p][x] = new
+            p = link[p]
+        if p >= 0:
+            q = step[p][x]
+            if length[q] == length[p] + 1:
+                link[new] = q
             else:
-                tops[pile], piles[pile] = i, k
-        anchors, k = [], piles[-1] if piles else -1
-        while k >= 0:
-            anchors.append(both[k])
-            k = back[k]
-        if not anchors:
-            continue
-        anchors.reverse()
-        out.extend(anchors)
-        before = (a0 - 1, b0 - 1)
-        for i, j in [*anchors, (a1, b1)]:
-            todo.append((before[0] + 1, i, before[1] + 1, j))
-            before = (i, j)
-    return sorted(out)
+                copy = len(step)
+                step.append(dict(step[q]))
+                link.append(link[q])
+                length.append(length[p] + 1)
+                while p >= 0 and step[p].get(x) == q:
+                    step[p][x] = copy
+                    p = link[p]
+                link[q] = link[new] = copy
+        last = new
+    out, state, n = [], 0, 0
+    for x in b:
+        while state and x not in step[state]:
+            state = link[state]
+            n = length[state]
+        if x in step[state]:
+            state, n = step[state][x], n + 1
+        out.append(n)
+    return out
 
 
 def windows(words: list[int], min_words: int) -> set[tuple[int, int]]:
@@ -147,32 +188,38 @@ def windows(words: list[int], min_words: int) -> set[tuple[int, int]]:
 
 
 def common_blocks(earlier: list[int], later: list[int], words: list[int], min_words: int = MIN_WORDS) -> list[int]:
-    """Positions in the later list of all runs with enough words that the earlier list holds in a row too."""
+    """Positions in the later list of all aligned blocks with enough words.
+
+    A block with a line that is unique in both lists is found around that line.
+    Any other lies within a stretch of lines that both lists hold and that
+    repeat in one of them, and is found by the exact alignment of the stretch.
+    """
+    total = [0, *accumulate(words)]
     found: set[int] = set()
-    block: list[int] = []
-    last = None
-    for i, j in [*patience(earlier, later), (-9, -9)]:
-        if last is None or (i, j) != (last[0] + 1, last[1] + 1):
-            if sum(words[k] for k in block) >= min_words:
-                found.update(block)
-            block = []
-        block.append(j)
-        last = (i, j)
-    known = set(earlier)
-    if any(k not in found and x in known for k, x in enumerate(later)):
-        # Repeated or moved passages, which one alignment leaves: every common
-        # run consists of shortest windows that stand in both lists.  A line
-        # that the later list lacks fills a window, which then matches nothing.
-        size = dict(zip(later, words))
-        held = {tuple(earlier[i:k]) for i, k in windows([size.get(x, max(1, min_words)) for x in earlier], min_words)}
-        for j, k in windows(words, min_words):
-            if tuple(later[j:k]) in held:
-                found.update(range(j, k))
+    anchored: set[int] = set()
+    for chain in patience(earlier, later):
+        anchored.update(j for _, j in chain)
+        for start, end in grown(earlier, later, chain):
+            if total[end] - total[start] >= min_words:
+                found.update(range(start, end))
+    held, seen = set(earlier), Counter(later)
+    known = {x for x, n in Counter(earlier).items() if n > 1}
+    repeats = [x in held and (x in known or seen[x] > 1) and j not in anchored for j, x in enumerate(later)]
+    start = 0
+    while start < len(later):
+        end = start
+        while end < len(later) and repeats[end]:
+            end += 1
+        if total[end] - total[start] >= max(1, min_words) and not found.issuperset(range(start, end)):
+            for k, n in enumerate(longest_runs(earlier, later[start:end]), start + 1):
+                if n and total[k] - total[k - n] >= min_words:
+                    found.update(range(k - n, k))
+        start = end + 1
     return sorted(found)
 
 
-def window_hashes(hashes: np.ndarray, words: np.ndarray, cuts: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per window of :func:`windows`, in lists of lines between the cuts: its list's number and its hash."""
+def window_hashes(hashes: np.ndarray, words: np.ndarray, cuts: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per window of :func:`windows`, in lists of lines between the cuts: its list's number, hash, start and end."""
     total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
     at, least = np.arange(len(words)), max(1, min_words)
     doc = hashing.owners(at, cuts)
@@ -187,7 +234,8 @@ def window_hashes(hashes: np.ndarray, words: np.ndarray, cuts: np.ndarray, min_w
         out[open_] = hashing.mix(out[open_] * np.uint64(0x9FB21C651E98DF25) + hashes[start[open_] + k])
         k += 1
         open_ = open_[start[open_] + k < end[open_]]
-    return np.concatenate([doc[whole], doc[back]]), out
+    owner = np.concatenate([doc[whole], doc[back]])
+    return owner, out, start - cuts[owner], end - cuts[owner]
 
 
 def _windowed(min_words: int):
@@ -195,8 +243,11 @@ def _windowed(min_words: int):
         for batch in batches:
             hashes, words = batch.column("hashes"), batch.column("words")
             cuts = words.offsets.to_numpy().astype(np.int64)
-            doc, found = window_hashes(hashes.flatten().to_numpy().view(np.uint64), words.flatten().to_numpy(), cuts - cuts[0], min_words)
-            yield pa.RecordBatch.from_arrays([batch.column("row").take(pa.array(doc)), pa.array(found.view(np.int64))], names=["row", "hash"])
+            doc, found, start, end = window_hashes(hashes.flatten().to_numpy().view(np.uint64), words.flatten().to_numpy(), cuts - cuts[0], min_words)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row").take(pa.array(doc)), pa.array(found.view(np.int64)), pa.array(start, pa.int32()), pa.array(end, pa.int32())],
+                names=["row", "hash", "start", "end"],
+            )
 
     return run
 
@@ -225,11 +276,14 @@ def removed_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = profiles.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     profiles = written(ordered.withColumn("row", F.monotonically_increasing_id()), "line-profiles-ordered")
-    held = profiles.select("row", "hashes", "words").mapInArrow(_windowed(min_words), "row long, hash long")
-    holders = held.groupBy("hash").agg(F.min("row").alias("holder"), F.max("row").alias("last")).where("last > holder").select("hash", "holder")
-    links = held.join(holders, "hash").where("holder < row").select("row", "holder").distinct()
-    earlier = profiles.select(F.col("row").alias("holder"), F.col("hashes").alias("earlier"))
-    pairs = links.join(earlier, "holder").join(profiles.select("row", "hashes", "words"), "row")
+    held = profiles.select("row", "hashes", "words").mapInArrow(_windowed(min_words), "row long, hash long, start int, end int")
+    first = F.min(F.struct("row", "start", "end")).alias("first")
+    holders = held.groupBy("hash").agg(first, F.max("row").alias("last")).where("last > first.row").select("hash", F.col("first.row").alias("holder"), F.col("first.start").alias("start"), F.col("first.end").alias("end"))
+    links = held.select("row", "hash").join(holders, "hash").where("holder < row").groupBy("row", "holder").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    # Of the holder only the lines from the first to the last shared window move on.
+    lines = profiles.select(F.col("row").alias("holder"), F.col("hashes").alias("lines"))
+    earlier = F.slice("lines", F.col("start") + 1, F.col("end") - F.col("start")).alias("earlier")
+    pairs = links.join(lines, "holder").select("row", earlier).join(profiles.select("row", "hashes", "words"), "row")
     blocks = pairs.mapInArrow(_aligned(min_words), "row long, lines array<int>")
     removed = blocks.groupBy("row").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("removed"))
     lines_out = F.coalesce("removed", F.array().cast("array<int>"))

@@ -1,4 +1,3 @@
-import difflib
 import random
 import re
 from collections import Counter
@@ -15,24 +14,6 @@ def lines(text, sentences):
     return [x for x in (p.strip(" \t\n\x0b\x0c\r") for p in parts) if x]
 
 
-def brute(rows, sentences, min_words):
-    """Every document against the first holder of each of its lines."""
-    order = sorted(range(len(rows)), key=lambda n: (rows[n][0] is None, rows[n][0] or 0, n))
-    found = [lines(rows[n][1], sentences) for n in order]
-    first: dict[str, int] = {}
-    for k, part in enumerate(found):
-        for x in part:
-            first.setdefault(x, k)
-    out = []
-    for k, part in enumerate(found):
-        words = [len(cases.words(x)) for x in part]
-        gone = set()
-        for holder in {first[x] for x in part if first[x] < k}:
-            gone |= set(line_dedup.common_blocks(found[holder], part, words, min_words))
-        out.append((rows[order[k]][0], len(part), sorted(gone), sum(words[g] for g in gone)))
-    return out
-
-
 def shared_rows(seed=3):
     rng = random.Random(seed)
     passages = [[cases.sentence(rng, rng.randint(1, 30)) for _ in range(rng.randint(1, 6))] for _ in range(8)]
@@ -47,15 +28,6 @@ def shared_rows(seed=3):
     return rows
 
 
-@pytest.mark.parametrize("sentences, min_words", [(False, 20), (True, 20), (False, 5)])
-def test_matches_brute_force(spark, sentences, min_words):
-    rows = [r for r in cases.texts() + [(500 + i, t) for i, t in shared_rows()] if r[0] != 3]
-    found = line_dedup.removed_lines(cases.documents(spark, rows, 1), sentences=sentences, min_words=min_words).collect()
-    want = Counter((i, n, str(gone), words) for i, n, gone, words in brute(rows, sentences, min_words))
-    assert Counter((r.doc_id, r.n_lines, str(r.removed_lines), r.removed_words) for r in found) == want
-    assert any(r.n_removed for r in found)
-
-
 def test_texts_are_cut_and_columns_stay(spark):
     passage = cases.sentence(random.Random(1), 60)
     rows = [(1, f"Intro one.\n{passage}\nend"), (2, f"é other intro\n{passage}\nlast é line"), (3, "Intro one.\nnothing else"), (4, None), (5, passage)]
@@ -85,16 +57,43 @@ def test_empty_table(spark):
 
 
 @pytest.mark.parametrize("seed", range(40))
-def test_patience_aligns(seed):
+def test_patience_deals_unique_lines_to_chains(seed):
     rng = random.Random(seed)
     a = [rng.randint(0, rng.choice([5, 200])) for _ in range(rng.randint(0, 60))]
     b = [x for x in a if rng.random() < 0.8] + [rng.randint(0, 200) for _ in range(rng.randint(0, 10))]
-    pairs = line_dedup.patience(a, b)
-    assert all(a[i] == b[j] for i, j in pairs)
-    assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
-    if len(set(a)) == len(a) and len(set(b)) == len(b):
-        best = sum(m.size for m in difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks())
-        assert len(pairs) >= best
+    if seed % 4 == 0:
+        rng.shuffle(b)
+    chains = line_dedup.patience(a, b)
+    unique = {x for x in a if a.count(x) == 1 == b.count(x)}
+    assert sorted(a[i] for c in chains for i, _ in c) == sorted(unique) and all(a[i] == b[j] for c in chains for i, j in c)
+    assert all(p[0] < q[0] and p[1] < q[1] for c in chains for p, q in zip(c, c[1:]))
+    # As few chains as the longest falling run needs.
+    places = [a.index(x) for x in b if x in unique]
+    best = [1] * len(places)
+    for n, i in enumerate(places):
+        best[n] = 1 + max((best[m] for m in range(n) if places[m] > i), default=0)
+    assert len(chains) == max(best, default=0)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_longest_runs(seed):
+    rng = random.Random(seed)
+    a, b = ([rng.randrange(3) for _ in range(rng.randint(0, 30))] for _ in range(2))
+    held = {tuple(a[i:k]) for i in range(len(a)) for k in range(i + 1, len(a) + 1)}
+    want = [max((n for n in range(1, j + 2) if tuple(b[j + 1 - n : j + 1]) in held), default=0) for j in range(len(b))]
+    assert line_dedup.longest_runs(a, b) == want
+
+
+def test_alignment_carries_the_result(monkeypatch):
+    """Without its chains, passages of unique lines stay; without the exact part, those of repeated lines."""
+    a, b = list("abcdxyzPQPQ"), list("uxyzvabcdwPQPQ")
+    words = [10] * len(b)
+    assert line_dedup.common_blocks(a, b, words, 30) == [1, 2, 3, 5, 6, 7, 8, 10, 11, 12, 13]
+    monkeypatch.setattr(line_dedup, "longest_runs", lambda a, b: [0] * len(b))
+    assert line_dedup.common_blocks(a, b, words, 30) == [1, 2, 3, 5, 6, 7, 8]
+    monkeypatch.undo()
+    monkeypatch.setattr(line_dedup, "patience", lambda a, b: [])
+    assert line_dedup.common_blocks(a, b, words, 30) == [10, 11, 12, 13]
 
 
 def common_runs(earlier, later, words, min_words):
@@ -178,7 +177,18 @@ def test_window_hashes_are_those_of_windows(seed):
     size = [rng.randint(1, 9) for _ in range(6)]
     cuts = np.cumsum([0, *map(len, lists)])
     flat = [x for part in lists for x in part]
-    doc, found = line_dedup.window_hashes(np.array(flat, np.uint64), np.array([size[x] for x in flat], np.int32), cuts, 10)
+    doc, found, start, end = line_dedup.window_hashes(np.array(flat, np.uint64), np.array([size[x] for x in flat], np.int32), cuts, 10)
     want = [(k, tuple(part[i:j])) for k, part in enumerate(lists) for i, j in line_dedup.windows([size[x] for x in part], 10)]
     assert Counter(doc.tolist()) == Counter(k for k, _ in want)
     assert Counter(Counter(found.tolist()).values()) == Counter(Counter(w for _, w in want).values())
+    spans = {(k, i, j) for k, part in enumerate(lists) for i, j in line_dedup.windows([size[x] for x in part], 10)}
+    assert set(zip(doc.tolist(), start.tolist(), end.tolist())) == spans
+
+
+def test_long_first_holder_sends_the_shared_lines_only(spark):
+    rng = random.Random(8)
+    passage = [cases.sentence(rng, 12) for _ in range(3)]
+    long = [cases.sentence(rng, 6) for _ in range(400)]
+    rows = [(0, "\n".join([*long[:200], *passage, *long[200:]])), *((k, "\n".join([cases.sentence(rng, 9), *passage])) for k in range(1, 30))]
+    found = line_dedup.removed_lines(cases.documents(spark, rows), sentences=False).collect()
+    assert {r.doc_id: r.removed_words for r in found} == {k: 36 if k else 0 for k in range(30)}
