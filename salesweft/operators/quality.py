@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from salesweft.functions import dates, numbers
 from salesweft.operators import quantiles, selection
+from salesweft.session import written
 from salesweft.sources import schemas
 
 Bounds = dict[str, tuple[float, float]]
@@ -69,12 +70,12 @@ def null_outliers(df: DataFrame, bounds: Bounds = schemas.QUALITY_BOUNDS) -> Dat
     })
 
 
-def fill_medians(df: DataFrame, fields: list[str]) -> DataFrame:
-    """Null numbers become the column median (exact, interpolated)."""
+def fill_medians(df: DataFrame, fields: list[str], stored: bool = False) -> DataFrame:
+    """Null numbers become the column median (exact, interpolated); ``stored`` frames are read again, not copied."""
     fields = [f for f in fields if f in df.columns]
     if not fields:
         return df
-    known = quantiles.with_quantiles(df, df, fields, {"p50": 0.5})
+    known = quantiles.with_quantiles(df, df, fields, {"p50": 0.5}, stored=stored)
     filled = {f: F.coalesce(F.col(f).cast("double"), F.col("_q").getField(f"{f}_p50")) for f in fields}
     return known.withColumns(filled).drop("_q")
 
@@ -112,15 +113,15 @@ def clean_orders(
     position: str = "input_position",
     stamp: bool = True,
 ) -> DataFrame:
-    """Whole cleaning as one lazy plan.
+    """Required fields, out-of-bound values to null, medians, enum fill, types, first record per order, cleaning time.
 
-    Required fields, out-of-bound values to null, medians, enum fill, types,
-    first record per order, cleaning time.
+    The usable rows are written once: the medians and the cleaning both read
+    that table, and what the rows come from is computed once.
     """
     numeric = list(bounds)
     typed = df.withColumns({f: numbers.number_or_null(F.col(f)) for f in numeric if f in df.columns})
     kept = null_outliers(require_fields(typed), bounds)
-    filled = fill_unknown(fill_medians(kept, numeric))
+    filled = fill_unknown(fill_medians(written(kept, "cleaning"), numeric, stored=True))
     cleaned = keep_first(normalise_types(filled), position=position).drop(position)
     return cleaned.withColumn("cleaned_at", F.current_timestamp()) if stamp else cleaned
 

@@ -19,6 +19,8 @@ from salesweft.session import written
 FEATURES = [
     "Total_Orders", "Total_Spend", "Avg_Order_Value", "Purchase_Frequency", "Days_Since_Last_Purchase",
 ]
+# The most frequent value of each, ties by name.
+TASTES = {"category": "Favorite_Category", "season": "Favorite_Season", "region": "Preferred_Region"}
 # Smallest radar axis per measure.
 RADAR_FLOORS = {
     "avg_total_orders": 10.0,
@@ -33,49 +35,31 @@ def behaviour_table(lines: DataFrame) -> DataFrame:
     """One row per customer from order lines.
 
     Needs ``customer_id, order_id, order_date, sales_amount, category,
-    season, region``.  Lines are summed once, per order and taste, and all
-    else follows from those sums (Spark reuses their exchange), so a customer
-    with a large share of all lines is spread over many tasks.
+    season, region``.  All measures come from one grouping by customer, and the
+    favourites from counts per value that are merged like sums, so the lines
+    are read once and what moves is partial results of orders.  A customer with
+    a large share of all lines is spread over tasks by order.  The result, one
+    narrow row per customer, is written: every later step reads that.
     """
-    summed = lines.groupBy("customer_id", "order_id", "category", "season", "region").agg(
-        numbers.money_total(F.col("sales_amount")).alias("spend"), F.count("*").alias("n"),
-        F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"),
-    )
-    newest = summed.agg(F.max("last_date").alias("day")).scalar()
-    present = selection.present_keys(summed, ["customer_id", "order_id"])
-    orders = present.groupBy("customer_id", "order_id").agg(
-        F.sum("spend").alias("spend"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"),
-    )
-    customers = orders.groupBy("customer_id").agg(
-        F.count("*").alias("Total_Orders"), F.sum("spend").cast("double").alias("Total_Spend"),
-        F.min("first_date").alias("_first"), F.max("last_date").alias("Last_Purchase_Date"),
+    known = F.col("customer_id").isNotNull() & F.col("order_id").isNotNull()
+    of = lambda column: F.when(known, F.col(column))
+    grouped = lines.groupBy("customer_id").agg(
+        F.count_distinct(of("order_id")).alias("Total_Orders"),
+        numbers.money_total(of("sales_amount")).cast("double").alias("Total_Spend"),
+        F.min(of("order_date")).alias("_first"), F.max(of("order_date")).alias("Last_Purchase_Date"),
+        F.max("order_date").alias("_newest"),
+        *[F.mode(of(column), True).alias(name) for column, name in TASTES.items()],
     )
+    customers = written(grouped, "behaviour")
+    newest = customers.agg(F.max("_newest")).scalar()
     months = F.greatest(dates.whole_months(F.col("_first"), F.col("Last_Purchase_Date")), F.lit(1))
-    measured = customers.select(
+    return customers.where("Total_Orders > 0").select(
         "customer_id", "Total_Orders", "Total_Spend",
         numbers.per_count_or_zero(F.col("Total_Spend"), F.col("Total_Orders")).alias("Avg_Order_Value"),
         (F.col("Total_Orders") / months).alias("Purchase_Frequency"),
         "Last_Purchase_Date",
         F.datediff(newest, "Last_Purchase_Date").cast("long").alias("Days_Since_Last_Purchase"),
-    )
-    return measured.join(favourites(present), "customer_id", "left")
-
-
-def favourites(summed: DataFrame) -> DataFrame:
-    """Most frequent category, season and region per customer, ties by name; ``n`` counts the lines of a row."""
-    tastes = {"category": "Favorite_Category", "season": "Favorite_Season", "region": "Preferred_Region"}
-    counted = (
-        summed.groupBy("customer_id", *tastes).agg(F.sum("n").alias("n"))
-        .unpivot(["customer_id", "n"], list(tastes), "taste", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("customer_id", "taste", "value").agg(F.sum("n").alias("n"))
-    )
-    # Smallest (-count, name) is the most frequent value, first by name.
-    best = counted.groupBy("customer_id", "taste").agg(
-        F.min(F.struct((-F.col("n")).alias("rank"), "value")).getField("value").alias("value")
-    )
-    return best.groupBy("customer_id").agg(
-        *[F.max(F.when(F.col("taste") == t, F.col("value"))).alias(name) for t, name in tastes.items()]
+        *TASTES.values(),
     )
 
 
@@ -84,9 +68,9 @@ def fill_features(df: DataFrame, features: list[str] = FEATURES) -> DataFrame:
     return df.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features})
 
 
-def clip_outliers(df: DataFrame, features: list[str] = FEATURES, reach: float = 1.5) -> DataFrame:
+def clip_outliers(df: DataFrame, features: list[str] = FEATURES, reach: float = 1.5, stored: bool = False) -> DataFrame:
     """Clip to the quartiles widened by ``reach`` times their distance."""
-    known = quantiles.with_quantiles(df, df, features, {"q1": 0.25, "q3": 0.75})
+    known = quantiles.with_quantiles(df, df, features, {"q1": 0.25, "q3": 0.75}, stored=stored)
 
     def clipped(f: str) -> Column:
         q1, q3 = F.col("_q").getField(f"{f}_q1"), F.col("_q").getField(f"{f}_q3")
@@ -117,7 +101,7 @@ def prepared_features(behaviour: DataFrame, features: list[str] = FEATURES) -> D
     narrow row per customer instead of the order lines again.
     """
     filled = written(fill_features(behaviour.select("customer_id", *features), features), "features-filled")
-    return scale(written(clip_outliers(filled, features), "features-clipped"), features)
+    return scale(written(clip_outliers(filled, features, stored=True), "features-clipped"), features)
 
 
 def vectors(df: DataFrame, features: list[str] = FEATURES) -> DataFrame:

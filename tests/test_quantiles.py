@@ -1,7 +1,10 @@
 """Exact quantiles and cleaning steps on literal frames."""
 
+import math
 import random
 
+import pytest
+
 from salesweft.operators import quality, quantiles
 
 
@@ -16,14 +19,48 @@ def test_same_as_percentile(spark):
         assert all(abs(got[(f, p)] - w) < 1e-9 for p, w in zip(probs, want))
 
 
-def test_many_slices(spark):
-    """More slices than one: same answer when Spark does not merge them."""
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        df = spark.range(1, 1001).selectExpr("CAST(id AS double) AS v")
-        got = quantiles.exact_quantiles(df, ["v"], [0.25, 0.5]).orderBy("probability").collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+def columns(n=4000):
+    """Columns that are hard to narrow down: copies, constants, outliers, NaN, infinities, nulls."""
+    rng = random.Random(11)
+    return [
+        (rng.gauss(0, 1), 7.0, rng.choice([1.0, 1.0, 1.0, 2.0]), 1e300 if i == 5 else float(i % 100), float("nan") if i % 7 == 0 else float(-i),
+         rng.choice([float("-inf"), float("inf"), 0.0]), None if i % 3 else rng.expovariate(1) ** 9, float(i) if i < 3 else None)
+        for i in range(n)
+    ]
+
+
+PROBABILITIES = [0.0, 0.001, 0.25, 0.5, 0.75, 0.999, 1.0]
+
+
+@pytest.mark.parametrize("small, accuracy", [(1 << 18, 10_000), (3, 10_000), (3, 30), (1, 100)])
+def test_narrowing_gives_percentiles(spark, monkeypatch, small, accuracy):
+    """Gaps of one value and very rough ends still end at the exact ranks."""
+    monkeypatch.setattr(quantiles, "SMALL", small)
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    monkeypatch.setattr(quantiles, "MARGIN", 2 / accuracy)
+    names = list("abcdefgh")
+    df = spark.createDataFrame(columns(), ", ".join(f"{n} double" for n in names))
+    got = {(r["field"], r["probability"]): r["value"] for r in quantiles.exact_quantiles(df, names, PROBABILITIES).collect()}
+    want = df.selectExpr(*[f"percentile({n}, array({', '.join(f'{p}D' for p in PROBABILITIES)})) AS {n}" for n in names]).first()
+    for n in names:
+        for p, w in zip(PROBABILITIES, want[n]):
+            v = got[(n, p)]
+            assert v == w or (math.isnan(v) and math.isnan(w)) or abs(v - w) <= 1e-9 * max(1.0, abs(w)), (n, p, v, w)
+
+
+def test_no_task_orders_more_than_a_small_gap(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "SMALL", 300)
+    seen = []
+    ranked = quantiles._ranked
+    monkeypatch.setattr(quantiles, "_ranked", lambda long, gaps: seen.extend(gaps) or ranked(long, gaps))
+    df = spark.range(200_000).selectExpr("CAST(pmod(hash(id), 1000003) AS double) AS v", "CAST(id % 3 AS double) AS w")
+    quantiles.exact_quantiles(df, ["v", "w"], [0.25, 0.5, 0.75]).count()
+    assert seen and all(g.count <= 300 for g in seen)
+
+
+def test_values_close_to_each_other(spark):
+    df = spark.range(1, 1001).selectExpr("CAST(id AS double) AS v")
+    got = quantiles.exact_quantiles(df, ["v"], [0.25, 0.5]).orderBy("probability").collect()
     assert [r["value"] for r in got] == [250.75, 500.5]
 
 
