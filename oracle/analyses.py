@@ -136,10 +136,15 @@ _add("one_hot_long", *FEATURES, body=" UNION ALL ".join(
     f"SELECT Region, Season, Category, Price_Range, '{c}_' || {c} AS feature FROM features"
     for c in ("Region", "Season", "Category", "Price_Range")
 ))
+# The wide form has a column per value, so its SQL names the values of the given tables.
+ENCODED = {
+    "Region": tuple(f"NATION_{n}" for n in range(25)),
+    "Season": ("春季", "夏季", "秋季", "冬季"),
+    "Category": ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"),
+    "Price_Range": ("Low", "Mid", "High"),
+}
 _FLAGS = ", ".join(
-    f"CAST(CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS INTEGER) AS \"{c}_{v}\""
-    for c, found in (("Season", ("春季", "夏季", "秋季", "冬季")), ("Price_Range", ("Low", "Mid", "High")))
-    for v in found
+    f"CAST(CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS INTEGER) AS \"{c}_{v}\"" for c, found in ENCODED.items() for v in found
 )
 _add("one_hot_wide", *FEATURES, body=f"SELECT Region, Season, Category, Price_Range, Sales_Volume, {_FLAGS} FROM features")
 _add("decision_rules", *FEATURES, body=f"""
@@ -159,6 +164,65 @@ _add("insight_filter", *FEATURES, "combos", "insights", body=f"SELECT {INSIGHT_O
 _add("heatmap_cells", *FEATURES, "combos", "insights", body=f"""
 SELECT Region, Category, {r('MAX(insights.expected_sales)', 4)} AS expected_sales FROM insights GROUP BY 1, 2""")
 
+# Trees: 0 over all rows, f + 1 over all but fold f.  Every level groups the rows
+# of a node by column and value and takes the split with the largest gain.
+TREE_COLUMNS = ("Region", "Season", "Category", "Price_Range")
+TREE_DEPTH, TREE_SPLIT, TREE_LEAF = 5, 20, 5
+_TREE = [
+    """fold_rank AS (SELECT *, ROW_NUMBER() OVER (ORDER BY Region, Season, Category, Price_Range) - 1 AS rk, COUNT(*) OVER () AS every FROM features)""",
+    """folded AS (SELECT *, CAST(Sales_Volume AS DOUBLE) AS y, CASE WHEN rk < (every % 5) * (every // 5 + 1) THEN rk // (every // 5 + 1)
+  ELSE every % 5 + (rk - (every % 5) * (every // 5 + 1)) // GREATEST(every // 5, 1) END AS fold FROM fold_rank)""",
+    """level0 AS (SELECT t.tree, 1 AS node, t.tree = 0 OR t.tree - 1 <> fold AS seen, folded.* FROM folded, (SELECT unnest(range(6)) AS tree) t)""",
+]
+for _d in range(TREE_DEPTH):
+    _pairs = " UNION ALL ".join(
+        f"SELECT tree, node, {i} AS place, {c} AS val, COUNT(*) AS n, SUM(y) AS s FROM level{_d} WHERE seen GROUP BY tree, node, {c}"
+        for i, c in enumerate(TREE_COLUMNS)
+    )
+    _TREE += [
+        f"stat{_d} AS ({_pairs})",
+        f"whole{_d} AS (SELECT tree, node, COUNT(*) AS all_n, SUM(y) AS all_s FROM level{_d} WHERE seen GROUP BY tree, node)",
+        f"""split{_d} AS (SELECT tree, node, place, val, all_n, all_s,
+  (s * all_n - all_s * n) * (s * all_n - all_s * n) / (CAST(all_n AS DOUBLE) * n * (all_n - n)) AS gain
+  FROM stat{_d} JOIN whole{_d} USING (tree, node)
+  WHERE val IS NOT NULL AND n >= {TREE_LEAF} AND all_n - n >= {TREE_LEAF} AND all_n >= {TREE_SPLIT} AND s * all_n <> all_s * n
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY tree, node ORDER BY gain DESC, place, val) = 1)""",
+        f"""level{_d + 1} AS (SELECT l.* REPLACE (l.node * 2 + CASE WHEN CASE place {' '.join(f'WHEN {i} THEN {c}' for i, c in enumerate(TREE_COLUMNS))} END = val
+  THEN 1 ELSE 0 END AS node) FROM level{_d} l JOIN split{_d} USING (tree, node))""",
+    ]
+_TREE += [
+    "ended AS (" + " UNION ALL ".join(
+        f"SELECT * FROM level{d} l WHERE NOT EXISTS (SELECT 1 FROM split{d} p WHERE p.tree = l.tree AND p.node = l.node)" for d in range(TREE_DEPTH)
+    ) + f" UNION ALL SELECT * FROM level{TREE_DEPTH})",
+    "leaves AS (SELECT tree, node, AVG(y) AS p FROM ended WHERE seen GROUP BY tree, node)",
+    "splits AS (" + " UNION ALL ".join(f"SELECT * FROM split{d}" for d in range(TREE_DEPTH)) + ")",
+    "scored AS (SELECT ended.*, p FROM ended JOIN leaves USING (tree, node))",
+    f"named AS (SELECT *, CASE place {' '.join(f'WHEN {i} THEN {c!r}' for i, c in enumerate(TREE_COLUMNS))} END || '_' || val AS feature FROM splits)",
+    """figures AS (SELECT SQRT(AVG((y - p) * (y - p))) AS rmse, AVG(ABS(y - p)) AS mae, 1 - SUM((y - p) * (y - p)) / (VAR_POP(y) * COUNT(*)) AS r2,
+  CAST((SELECT MAX(FLOOR(LOG2(node))) + 1 FROM splits WHERE tree = 0) AS INTEGER) AS depth FROM scored WHERE tree = 0)""",
+    "held_out AS (SELECT fold, COUNT(*) AS n, AVG((y - p) * (y - p)) AS mse FROM scored WHERE NOT seen GROUP BY fold)",
+]
+_add("tree_splits", *FEATURES, more=tuple(_TREE), body=f"""
+SELECT CAST(tree AS INTEGER) AS tree, node, feature, all_n AS rows, {r('all_s / all_n', 6)} AS mean, {r('gain', 3)} AS gain FROM named""")
+_add("tree_importance", *FEATURES, more=tuple(_TREE), body=f"""
+SELECT feature, {r('g / SUM(g) OVER ()', 9)} AS importance, regexp_replace(feature, '^(Region|Season|Category|Price_Range)_', '') AS name
+FROM (SELECT feature, SUM(gain) AS g FROM named WHERE tree = 0 GROUP BY 1) ORDER BY g DESC, feature LIMIT 8""")
+_add("tree_metrics", *FEATURES, more=tuple(_TREE), body=f"""
+SELECT {r('rmse', 6)} AS rmse, {r('mae', 6)} AS mae, {r('r2', 9)} AS r2, depth FROM figures""")
+_add("tree_predictions", *FEATURES, more=tuple(_TREE), body="""
+SELECT 'Region_' || Region || '+Season_' || Season || '+Category_' || Category || '+Price_Range_' || Price_Range AS features,
+  Sales_Volume AS actual_sales, CAST(TRUNC(p) AS BIGINT) AS predicted_sales, CAST(TRUNC(ABS(y - p)) AS BIGINT) AS error
+FROM scored WHERE tree = 0 ORDER BY md5('42|' || Region || '|' || Season || '|' || Category || '|' || Price_Range) LIMIT 10""")
+_add("cv_mse", *FEATURES, more=tuple(_TREE), body=f"SELECT CAST(fold AS INTEGER) AS fold, n AS rows, {r('mse', 4)} AS mse FROM held_out")
+_add("driver_analysis", *FEATURES, "combos", more=tuple(_TREE), body=f"""
+SELECT {r('rmse', 6)} AS rmse, {r('mae', 6)} AS mae, {r('r2', 9)} AS r2, depth,
+  (SELECT COUNT(DISTINCT Region) FROM features) AS regions, (SELECT COUNT(DISTINCT Category) FROM features) AS categories,
+  (SELECT COUNT(DISTINCT Season) FROM features) AS seasons, {r('(SELECT AVG(mse) FROM held_out)', 4)} AS cv_mse,
+  CAST(LEAST(20, (SELECT COUNT(*) FROM (SELECT DISTINCT Region, Season, Category FROM features))) AS INTEGER) AS rules,
+  CAST(LEAST(50, (SELECT COUNT(*) FROM combos)) AS INTEGER) AS insights, CAST(LEAST(10, (SELECT COUNT(*) FROM features)) AS INTEGER) AS sample,
+  CAST((SELECT COUNT(DISTINCT feature) FROM named WHERE tree = 0) AS INTEGER) AS used_features
+FROM figures""")
+
 # Forecast ------------------------------------------------------------------
 
 KEY = "region, category"

@@ -48,6 +48,13 @@ def one_hot_long(features: DataFrame, columns: list[str] = FEATURE_COLUMNS) -> D
     return features.select(*columns, F.explode(active_features(columns)).alias("feature"))
 
 
+def encoded_values(features: DataFrame, columns: list[str] = FEATURE_COLUMNS) -> dict[str, list[str]]:
+    """The distinct values of every encoded column, in order: the columns of the wide form, so few."""
+    long = features.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns])).alias("x"))
+    rows = long.select("x.c", "x.v").where("v IS NOT NULL").distinct().collect()
+    return {c: sorted(r["v"] for r in rows if r["c"] == c) for c in columns}
+
+
 def one_hot_wide(features: DataFrame, values: dict[str, list[str]]) -> DataFrame:
     """0/1 columns ``<column>_<value>`` for the given values."""
     flags = [

@@ -1,32 +1,37 @@
-"""Regression tree over the driver features.
-
-Growing is MLlib's.  MLlib has no minimum node size for splitting; since a
-node's split depends only on its own rows, refusing the split of a small node
-is the same as folding it back afterwards, which is done on the saved node
-table (at most 2^(depth+1) rows).  Scores are one CASE expression.
+"""Regression trees over the driver features, grown level by level from grouped statistics.
+
+A split sends the rows whose column holds one value to one side and all others
+to the other, as a 0/1 column of a one-hot encoding would.  One aggregation per
+level counts and sums the target by tree, node, column and value; both sides of
+every possible split follow from these sums, so rows are never moved or
+gathered, and a level costs the same for one tree as for many.  Several trees,
+such as those of a cross-validation, therefore grow in the same passes.
+
+The best split has the largest reduction of the squared error; equal ones are
+taken by column order, then value.  The choice depends on sums of whole numbers
+only, so it is the same whatever the partitioning.  What reaches the driver is
+one row per node: at most ``2 ** max_depth`` for each tree.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from salesweft.operators import drivers, selection
-from salesweft.session import new_work_dir, written
+from salesweft.session import written
 
 MIN_LEAF = 5
+FOLDS = 5
 
 
 @dataclass(frozen=True)
 class Node:
-    """A kept node; ``column`` is None at a leaf."""
+    """A node; ``column`` is None at a leaf.  ``gain`` is the reduction of the sum of squared errors."""
 
     prediction: float
-    rows: float
+    rows: int
     gain: float
     column: str | None = None
     value: str | None = None
@@ -61,66 +66,94 @@ class Node:
     def splits(self) -> list[tuple[str, float]]:
         if self.column is None:
             return []
-        here = [(f"{self.column}_{self.value}", self.gain * self.rows)]
+        here = [(f"{self.column}_{self.value}", self.gain)]
         return here + self.absent.splits() + self.present.splits()
 
+    def listed(self, number: int = 1) -> list[tuple[int, "Node"]]:
+        """All nodes with their numbers; node n has the children 2n (absent) and 2n + 1 (present)."""
+        if self.column is None:
+            return [(number, self)]
+        return [(number, self), *self.absent.listed(2 * number), *self.present.listed(2 * number + 1)]
 
-def encoder(columns: list[str] = drivers.FEATURE_COLUMNS) -> Pipeline:
-    """One-hot encoding of every value (none dropped), values in name order."""
-    indexers = [
-        StringIndexer(inputCol=c, outputCol=f"{c}_i", stringOrderType="alphabetAsc", handleInvalid="keep")
-        for c in columns
-    ]
-    hot = OneHotEncoder(inputCols=[f"{c}_i" for c in columns], outputCols=[f"{c}_v" for c in columns], dropLast=False)
-    join = VectorAssembler(inputCols=[f"{c}_v" for c in columns], outputCol="features")
-    return Pipeline(stages=[*indexers, hot, join])
-
-
-def _slots(pipeline_model, columns: list[str]) -> list[tuple[str, str]]:
-    """(column, value) of every vector position; position of 'unseen' included."""
-    return [
-        (c, v) for c, stage in zip(columns, pipeline_model.stages) for v in [*stage.labels, "__unseen__"]
-    ]
 
+def _of(columns: list[str], name: Column) -> Column:
+    """The row's value of the column with that name."""
+    out = F.lit(None).cast("string")
+    for c in columns:
+        out = F.when(name == c, F.col(c)).otherwise(out)
+    return out
 
-def _kept_tree(spark: SparkSession, model, slots, min_samples_split: int) -> Node:
-    path = new_work_dir(spark, "tree-model")
-    model.write().save(path)
-    # One row per node: bounded by the tree depth.
-    saved = {r["id"]: r for r in spark.read.parquet(f"{path}/data").collect()}
 
-    def build(at: int) -> Node:
-        r = saved[at]
-        rows = float(r["impurityStats"][0])
-        if r["leftChild"] < 0 or rows < min_samples_split:
-            return Node(r["prediction"], rows, 0.0)
-        split = r["split"]
-        column, value = slots[split["featureIndex"]]
-        # One-hot columns are binary categories: the left side lists its values.
-        listed = list(split["leftCategoriesOrThreshold"])
-        one_is_left = 1.0 in listed if split["numCategories"] > 0 else listed[0] >= 1.0
-        left, right = build(r["leftChild"]), build(r["rightChild"])
-        absent, present = (right, left) if one_is_left else (left, right)
-        return Node(r["prediction"], rows, r["gain"], column, value, absent, present)
+def _best_splits(state: DataFrame, columns: list[str], min_samples_split: int, min_leaf: int) -> DataFrame:
+    """Per tree and node its rows and sum, and its best split with the rows, sum and gain of the present side.
 
-    return build(0)
+    The gain of a split is the difference of both sides' means, squared, times
+    ``n (N - n) / N``; written with sums it is exactly 0 where the means agree.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.col(c).cast("string").alias("value")) for i, c in enumerate(columns)]))
+    stats = state.select("tree", "node", "y", pairs.alias("p")).groupBy("tree", "node", F.col("p.place").alias("place"), F.col("p.value").alias("value")).agg(
+        F.count("*").alias("n"), F.sum("y").alias("s")
+    )
+    whole = Window.partitionBy("tree", "node", "place")
+    sided = stats.withColumn("all_n", F.sum("n").over(whole)).withColumn("all_s", F.sum("s").over(whole))
+    n, total = F.col("n").cast("double"), F.col("all_n").cast("double")
+    apart = F.col("s") * total - F.col("all_s") * n
+    gain = apart * apart / (total * n * (total - n))
+    fits = F.col("value").isNotNull() & (F.col("n") >= min_leaf) & (F.col("all_n") - F.col("n") >= min_leaf) & (F.col("all_n") >= min_samples_split) & (gain > 0)
+    split = F.when(fits, F.struct((-gain).alias("loss"), "place", "value", "n", "s"))
+    return sided.groupBy("tree", "node").agg(F.max("all_n").alias("rows"), F.max(F.when(F.col("place") == 0, F.col("all_s"))).alias("total"), F.min(split).alias("best"))
 
 
-def train_tree(
+def grow(
     features: DataFrame,
+    trees: Column,
     max_depth: int = 5,
     min_samples_split: int = 20,
     min_leaf: int = MIN_LEAF,
-    seed: int = 42,
     columns: list[str] = drivers.FEATURE_COLUMNS,
-) -> Node:
-    """Fit on the feature table and return the kept tree."""
-    pipeline = encoder(columns).fit(features)
-    encoded = pipeline.transform(features).withColumn("label", F.col(drivers.TARGET).cast("double"))
-    model = DecisionTreeRegressor(
-        maxDepth=max_depth, minInstancesPerNode=min_leaf, seed=seed, maxBins=32
-    ).fit(encoded.select("features", "label"))
-    return _kept_tree(features.sparkSession, model, _slots(pipeline, columns), min_samples_split)
+) -> dict[int, Node]:
+    """Trees by number; ``trees`` is an array column with the numbers of those that a row belongs to.
+
+    ``features`` should be a written table: every level reads it once.
+    """
+    spark = features.sparkSession
+    y = F.col(drivers.TARGET).cast("double").alias("y")
+    state = features.where(F.col(drivers.TARGET).isNotNull()).select(*columns, y, F.explode(trees).alias("tree"), F.lit(1).cast("long").alias("node"))
+    sums: dict[tuple[int, int], tuple[int, float]] = {}
+    splits: dict[tuple[int, int], tuple] = {}
+    for depth in range(max_depth):
+        found = _best_splits(state, columns, min_samples_split, min_leaf).collect()
+        level = []
+        for r in found:
+            tree, node, best = r["tree"], r["node"], r["best"]
+            if depth == 0:
+                sums[tree, node] = (r["rows"], r["total"])
+            if best is None:
+                continue
+            rows, total = sums[tree, node]
+            sums[tree, 2 * node] = (rows - best["n"], total - best["s"])
+            sums[tree, 2 * node + 1] = (best["n"], best["s"])
+            splits[tree, node] = (columns[best["place"]], best["value"], -best["loss"])
+            level.append((tree, node, columns[best["place"]], best["value"]))
+        if not level:
+            break
+        taken = spark.createDataFrame(level, "tree int, node long, s_column string, s_value string")
+        present = F.coalesce((_of(columns, F.col("s_column")).cast("string") == F.col("s_value")).cast("long"), F.lit(0))
+        state = state.join(F.broadcast(taken), ["tree", "node"]).select(*columns, "y", "tree", (F.col("node") * 2 + present).alias("node"))
+
+    def build(tree: int, node: int) -> Node:
+        rows, total = sums[tree, node]
+        if (tree, node) not in splits:
+            return Node(total / rows, rows, 0.0)
+        column, value, gain = splits[tree, node]
+        return Node(total / rows, rows, gain, column, value, build(tree, 2 * node), build(tree, 2 * node + 1))
+
+    return {tree: build(tree, 1) for tree, node in sums if node == 1}
+
+
+def train_tree(features: DataFrame, **options) -> Node:
+    """One tree over all rows; an empty table gives a leaf of 0."""
+    return grow(features, F.array(F.lit(0)), **options).get(0, Node(0.0, 0, 0.0))
 
 
 def predict(features: DataFrame, tree: Node) -> DataFrame:
@@ -140,17 +173,17 @@ def error_metrics(scored: DataFrame, label: str = drivers.TARGET, prediction: st
 
 
 def tree_metrics(features: DataFrame, tree: Node) -> DataFrame:
-    """In-sample metrics and the depth of the kept tree."""
+    """In-sample metrics and the depth of the tree."""
     return error_metrics(predict(features, tree)).withColumn("depth", F.lit(tree.depth()))
 
 
 def checks(features: DataFrame, tree: Node, min_leaf: int = MIN_LEAF, tolerance: float = 1e-6) -> DataFrame:
-    """``(check, value)``: rows and violations of what a kept tree promises."""
+    """``(check, value)``: rows and violations of what a tree promises."""
     target = F.col(drivers.TARGET).cast("double")
     leaves = predict(features, tree).groupBy(tree.leaf_number().alias("leaf")).agg(
         F.count("*").alias("n"), F.avg(target).alias("mean"), F.max("prediction").alias("p"), F.min("prediction").alias("q")
     )
-    numbered = features.sparkSession.createDataFrame([(i, leaf.rows) for i, leaf in enumerate(tree.leaves())], "leaf int, told double")
+    numbered = features.sparkSession.createDataFrame([(i, float(leaf.rows)) for i, leaf in enumerate(tree.leaves())], "leaf int, told double")
     joined = numbered.join(leaves, "leaf", "left")
     close = lambda a, b: F.abs(a - b) <= tolerance * F.greatest(F.lit(1.0), F.abs(b))
     found = joined.agg(
@@ -163,7 +196,7 @@ def checks(features: DataFrame, tree: Node, min_leaf: int = MIN_LEAF, tolerance:
 
 
 def importance(spark: SparkSession, tree: Node) -> DataFrame:
-    """``(feature, importance)`` over the kept splits, shares of 1."""
+    """``(feature, importance)`` over the splits, shares of 1."""
     sums: dict[str, float] = {}
     for feature, gain in tree.splits():
         sums[feature] = sums.get(feature, 0.0) + gain
@@ -197,26 +230,44 @@ def with_folds(features: DataFrame, folds: int = 5, columns: list[str] = drivers
     return ranked.select(*features.columns, fold.cast("int").alias("fold"))
 
 
-def cross_validated_mse(features: DataFrame, folds: int = 5, **tree_options) -> float:
+def cross_validation(features: DataFrame, folds: int = FOLDS, columns: list[str] = drivers.FEATURE_COLUMNS, **options) -> tuple[dict[int, Node], DataFrame]:
+    """``(trees, errors)``: tree 0 is over all rows, tree ``f + 1`` over all but fold ``f``.
+
+    All trees grow in the same passes.  The errors are one row per fold: its
+    rows and their mean squared error under the tree that has not seen them.
+    """
+    folded = written(with_folds(features, folds, columns), "folds")
+    seen = F.concat(F.array(F.lit(0)), F.filter(F.array(*[F.lit(f + 1) for f in range(folds)]), lambda t: t != F.col("fold") + 1))
+    trees = grow(folded, seen, columns=columns, **options)
+    score = F.lit(None).cast("double")
+    for f in range(folds):
+        if f + 1 in trees:
+            score = F.when(F.col("fold") == f, trees[f + 1].score()).otherwise(score)
+    error = F.col(drivers.TARGET).cast("double") - score
+    return trees, folded.groupBy("fold").agg(F.count("*").alias("rows"), F.avg(error * error).alias("mse"))
+
+
+def cross_validated_mse(features: DataFrame, folds: int = FOLDS, **tree_options) -> float:
     """Mean of the held-out mean squared errors."""
-    folded = with_folds(features, folds).persist()
-    try:
-        errors = []
-        for fold in range(folds):
-            tree = train_tree(folded.where(F.col("fold") != fold), **tree_options)
-            held = error_metrics(predict(folded.where(F.col("fold") == fold), tree))
-            errors.append(held.first()["rmse"] ** 2)
-    finally:
-        folded.unpersist()
-    return sum(errors) / folds
+    _, errors = cross_validation(features, folds, **tree_options)
+    return errors.agg(F.avg("mse")).first()[0]
+
+
+def split_table(spark: SparkSession, trees: dict[int, Node]) -> DataFrame:
+    """``(tree, node, feature, rows, mean, gain)`` of every split."""
+    rows = [
+        (tree, number, f"{node.column}_{node.value}", node.rows, node.prediction, node.gain)
+        for tree, root in sorted(trees.items()) for number, node in root.listed() if node.column is not None
+    ]
+    return spark.createDataFrame(rows, "tree int, node long, feature string, rows long, mean double, gain double")
 
 
 def prediction_sample(features: DataFrame, tree: Node, n: int = 10, seed: int = 42) -> DataFrame:
     """Some rows with active columns, actual and predicted volume.
 
-    The draw is a hash of key columns and seed, whatever the partitioning.
+    The draw is a digest of seed and key columns, whatever the partitioning.
     """
-    draw = F.xxhash64(F.lit(seed), *drivers.FEATURE_COLUMNS)
+    draw = F.md5(F.concat_ws("|", F.lit(seed), *drivers.FEATURE_COLUMNS))
     picked = selection.top(features.withColumn("_draw", draw), n, F.asc("_draw"), *map(F.asc, drivers.FEATURE_COLUMNS)).drop("_draw")
     actual, predicted = F.col(drivers.TARGET), F.col("prediction")
     return predict(picked, tree).select(

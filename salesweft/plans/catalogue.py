@@ -590,10 +590,9 @@ def one_hot_long(spark, sf):
 
 @query
 def one_hot_wide(spark, sf):
-    flagged = drivers.one_hot_wide(
-        _features(spark, sf), {"Season": list(dates.SEASONS_ZH), "Price_Range": schemas.PRICE_RANGES}
-    )
-    return flagged.drop("amount", "profit")
+    table = written(_features(spark, sf), "driver-features")
+    found = drivers.encoded_values(table)
+    return drivers.one_hot_wide(table, found).drop("amount", "profit")
 
 
 @query
@@ -626,17 +625,18 @@ def _trained(spark, sf):
 
 @query
 def tree_metrics(spark, sf):
-    return tree.tree_metrics(*_trained(spark, sf))
+    return _rounded(tree.tree_metrics(*_trained(spark, sf)), rmse=6, mae=6, r2=9)
 
 
 @query
 def tree_importance(spark, sf):
-    return drivers.top_features(tree.importance(spark, _trained(spark, sf)[1]))
+    return _rounded(drivers.top_features(tree.importance(spark, _trained(spark, sf)[1])), importance=9)
 
 
 @query
 def tree_predictions(spark, sf):
-    return tree.prediction_sample(*_trained(spark, sf))
+    picked = tree.prediction_sample(*_trained(spark, sf))
+    return picked.withColumn("features", F.array_join("features", "+"))
 
 
 @query
@@ -644,6 +644,34 @@ def tree_checks(spark, sf):
     return tree.checks(*_trained(spark, sf))
 
 
+def _cross_validated(spark, sf):
+    return tree.cross_validation(_features(spark, sf))
+
+
+@query
+def tree_splits(spark, sf):
+    """Every split of the tree over all rows and of the five that leave out a fold."""
+    return _rounded(tree.split_table(spark, _cross_validated(spark, sf)[0]), mean=6, gain=3)
+
+
+@query
+def cv_mse(spark, sf):
+    """Rows and held-out error of every fold."""
+    return _rounded(_cross_validated(spark, sf)[1], mse=4)
+
+
+@query
+def driver_analysis(spark, sf):
+    """Headline figures of the whole driver analysis."""
+    sales = star.sales(spark, sf, "city", "category", "season", "sales_amount", "order_count", "profit")
+    result = analyses.run_drivers(sales, low=TIERS[0], mid=TIERS[1])
+    figures = result.metrics.crossJoin(result.sizes).withColumn("cv_mse", F.lit(result.cross_validated_mse))
+    counts = {"rules": result.rules, "insights": result.insights, "sample": result.sample, "used_features": result.importance}
+    for name, frame in counts.items():
+        figures = figures.withColumn(name, F.lit(frame.count()))
+    return _rounded(figures, rmse=6, mae=6, r2=9, cv_mse=4)
+
+
 # Forecast ------------------------------------------------------------------
 
 def _daily(spark, sf, keys=SERIES_KEYS):

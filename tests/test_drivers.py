@@ -63,7 +63,7 @@ def reference_tree(x, y, depth, split, leaf):
 
 
 @pytest.mark.parametrize("split", [2, 20, 60, 1000])
-def test_folded_tree_equals_refused_splits(table, split):
+def test_tree_equals_greedy_tree(table, split):
     fitted = T.train_tree(table, max_depth=4, min_samples_split=split)
     rows = T.predict(table, fitted).collect()
     values = sorted({(c, r[c]) for r in rows for c in D.FEATURE_COLUMNS})
@@ -88,6 +88,43 @@ def test_metrics_and_importance(spark, table):
     assert len(sample) == 10 and all(len(r["features"]) == 4 for r in sample)
 
 
+def test_equal_splits_go_by_column_then_value(spark):
+    rows = [("a" if i % 2 else "b", "a" if i % 2 else "b", "c", None, 10 + 90 * (i % 2)) for i in range(40)]
+    df = spark.createDataFrame(rows, "Region string, Season string, Category string, Price_Range string, Sales_Volume long")
+    fitted = T.train_tree(df)
+    assert (fitted.column, fitted.value, fitted.depth()) == ("Region", "a", 1)
+    assert (fitted.absent.prediction, fitted.present.prediction, fitted.rows) == (10.0, 100.0, 40)
+    assert fitted.gain == 20 * 45.0**2 * 2
+
+
+def test_nulls_stay_on_the_absent_side(spark):
+    rows = [(None if i < 20 else "x", None, "c", "Low", 5 if i < 20 else 50) for i in range(40)] + [("x", "s", "c", "Low", None)]
+    df = spark.createDataFrame(rows, "Region string, Season string, Category string, Price_Range string, Sales_Volume long")
+    fitted = T.train_tree(df)
+    assert (fitted.value, fitted.rows, fitted.absent.prediction, fitted.present.prediction) == ("x", 40, 5.0, 50.0)
+    assert [r["feature"] for r in T.split_table(spark, {0: fitted}).collect()] == ["Region_x"]
+
+
+def test_empty_and_constant_tables(spark, table):
+    empty = T.train_tree(table.limit(0))
+    assert (empty.prediction, empty.rows, empty.depth()) == (0.0, 0, 0)
+    constant = T.train_tree(table.withColumn("Sales_Volume", F.lit(7).cast("long")))
+    assert (constant.prediction, constant.rows, constant.depth()) == (7.0, 144, 0)
+    assert T.importance(spark, constant).count() == 0
+
+
+def test_folds_in_one_pass_equal_separate_trainings(table):
+    spread = table.withColumn("Sales_Volume", F.col("Sales_Volume") + F.pmod(F.hash(*D.FEATURE_COLUMNS, "Sales_Volume"), F.lit(60)))
+    trees, errors = T.cross_validation(spread, 4)
+    folded = T.with_folds(spread, 4)
+    assert set(trees) == set(range(5)) and trees[0] == T.train_tree(spread)
+    for r in errors.collect():
+        alone = T.train_tree(folded.where(F.col("fold") != r["fold"]))
+        assert trees[r["fold"] + 1] == alone
+        held = T.error_metrics(T.predict(folded.where(F.col("fold") == r["fold"]), alone)).first()
+        assert r["rows"] == 36 and np.isclose(r["mse"], held["rmse"] ** 2)
+
+
 def test_contiguous_folds(table):
     sizes = [r["n"] for r in T.with_folds(table.limit(13), 5).groupBy("fold").agg(F.count("*").alias("n")).orderBy("fold").collect()]
     assert sizes == [3, 3, 3, 2, 2]
