@@ -65,6 +65,6 @@ CTES: dict[str, str] = {
 
 
 def with_(names: tuple[str, ...], body: str, *more: str) -> str:
-    """Named CTEs, then extra ones, then the query."""
+    """Named CTEs, then extra ones (which may be recursive), then the query."""
     parts = [CTES[n] for n in names] + list(more)
-    return (f"WITH {', '.join(parts)} " if parts else "") + body.strip()
+    return (f"WITH RECURSIVE {', '.join(parts)} " if parts else "") + body.strip()

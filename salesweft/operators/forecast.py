@@ -7,8 +7,6 @@ partitioning by the series keys.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from salesweft.functions import dates, holidays
@@ -139,31 +137,64 @@ def select_order(fitted: DataFrame, keys: list[str], p: int | None = None, q: in
     ).where(F.col("n") > F.col("p") + q + 5)
 
 
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
+
+
+def least_norm(matrix: Column, target: Column, size: int) -> Column:
+    """The solution of least norm of symmetric normal equations, as an array.
+
+    Conjugate gradients from 0 stay in the span of the equations, so collinear
+    lags give the solution of least norm without a rank decision; what is left
+    of the target at 1e-13 of its length counts as solved.
+    """
+    zeros = F.array(*[F.lit(0.0)] * size)
+    start = _dot(target, target)
+    state = F.struct(zeros.alias("phi"), target.alias("r"), target.alias("d"), start.alias("rr"))
+
+    def step(s: Column, _: Column) -> Column:
+        image = F.transform(matrix, lambda row: _dot(row, s["d"]))
+        held = F.struct(s["phi"].alias("phi"), s["r"].alias("r"), s["d"].alias("d"), s["rr"].alias("rr"), image.alias("g"), _dot(image, s["d"]).alias("dg"))
+        return F.transform(F.array(held), moved)[0]
+
+    def moved(s: Column) -> Column:
+        length = s["rr"] / s["dg"]
+        phi = F.zip_with(s["phi"], s["d"], lambda a, b: a + length * b)
+        rest = F.zip_with(s["r"], s["g"], lambda a, b: a - length * b)
+        there = F.transform(F.array(F.struct(rest.alias("r"), _dot(rest, rest).alias("rr"))), lambda n: F.struct(
+            phi.alias("phi"), n["r"].alias("r"), F.zip_with(n["r"], s["d"], lambda a, b: a + n["rr"] / s["rr"] * b).alias("d"), n["rr"].alias("rr")
+        ))[0]
+        stay = F.struct(s["phi"].alias("phi"), s["r"].alias("r"), s["d"].alias("d"), s["rr"].alias("rr"))
+        return F.when((s["rr"] > start * 1e-26) & (s["dg"] > 0), there).otherwise(stay)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(3 * size)), state, step, lambda s: s["phi"])
+
+
 def fit_long(rows: DataFrame, keys: list[str], p: int, q: int = 0) -> DataFrame:
     """Models of any order p: least squares on p lags, no intercept, least norm when collinear.
 
-    A system of p equations has no closed form in columns, so numpy solves it
-    per series, on at most one fit window of rows.
+    One aggregation gives the normal equations of all series; residuals are
+    formed from the data in a second one, so a close fit keeps its precision.
     """
-    fields = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    schema = ", ".join(f"`{k}` {fields[k]}" for k in keys) + (
-        ", p int, d int, q int, n long, phis array<double>, rss double, sigma2 double"
+    lags = [f"l{n}" for n in range(1, p + 1)]
+    lagged = rows.select(*keys, "ds", "d", "x", *[F.lag("x", n).over(S.by_day(keys)).alias(f"l{n}") for n in range(1, p + 1)])
+    known = F.col(lags[-1]).isNotNull() & F.col("x").isNotNull()
+    total = lambda a, b: F.coalesce(F.sum(F.when(known, F.col(a) * F.col(b))), F.lit(0.0)).alias(f"{a}_{b}")
+    pairs = [(a, b) for i, a in enumerate(lags) for b in lags[i:]]
+    sums = lagged.groupBy(*keys).agg(F.first("d").alias("d"), F.count("x").alias("n"), *[total(a, b) for a, b in pairs], *[total("x", a) for a in lags])
+    row = lambda a: F.array(*[F.col(f"{a}_{b}" if (a, b) in pairs else f"{b}_{a}") for b in lags])
+    equations = sums.where(F.col("n") > p + q + 5).select(
+        *keys, "d", "n", F.array(*[row(a) for a in lags]).alias("matrix"), F.array(*[F.col(f"x_{a}") for a in lags]).alias("target")
+    )
+    solved = equations.select(*keys, "d", "n", least_norm(F.col("matrix"), F.col("target"), p).alias("phis"))
+    rest = F.col("x") - sum((F.get("phis", F.lit(i)) * F.col(a) for i, a in enumerate(lags)), F.lit(0.0))
+    judged = lagged.drop("d").join(solved, keys).withColumn("rest", F.when(known, rest)).groupBy(*keys).agg(
+        *[F.first(c).alias(c) for c in ("d", "n", "phis")], F.sum(F.col("rest") * F.col("rest")).alias("rss"), F.var_pop("rest").alias("sigma2"),
     )
-
-    def solve(key: tuple, series: pd.DataFrame) -> pd.DataFrame:
-        x = series.sort_values("ds")["x"].dropna().to_numpy()
-        columns = [x[p - lag : len(x) - lag] for lag in range(1, p + 1)]
-        if len(x) <= p + q + 5:
-            return pd.DataFrame()
-        lags = np.stack(columns, axis=1)
-        phis = np.linalg.lstsq(lags, x[p:], rcond=None)[0]
-        rest = x[p:] - lags @ phis
-        return pd.DataFrame([(*key, p, int(series["d"].iloc[0]), q, len(x), phis.tolist(), float(rest @ rest), float(rest.var()))])
-
-    fitted = rows.select(*keys, "ds", "d", "x").groupBy(*keys).applyInPandas(solve, schema)
     k, n, rss = p + q + 1, F.col("n"), F.col("rss")
-    return fitted.select(
-        *keys, "p", "d", "q", "n", F.get("phis", F.lit(0)).alias("phi1"), F.coalesce(F.get("phis", F.lit(1)), F.lit(0.0)).alias("phi2"),
+    return judged.select(
+        *keys, F.lit(p).alias("p"), "d", F.lit(q).alias("q"), "n",
+        F.get("phis", F.lit(0)).alias("phi1"), F.coalesce(F.get("phis", F.lit(1)), F.lit(0.0)).alias("phi2"),
         "rss", "sigma2", criterion(rss, n, k, F.lit(2.0 * k)).alias("aic"), criterion(rss, n, k, k * F.ln(n)).alias("bic"), "phis",
     )
 

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
@@ -109,22 +106,6 @@ def vectors(df: DataFrame, features: list[str] = FEATURES) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="features").transform(df)
 
 
-def best_kmeans(
-    vectored: DataFrame, k: int, seeds=range(42, 52), max_iter: int = 300, parallelism: int = 4
-) -> KMeansModel:
-    """Lowest training cost over several seeds; expects a cached input.
-
-    The restarts are independent jobs, so some run side by side.  A fit ends
-    when no centre moves further than 0.005, that is when the squared moves
-    of unit-variance features sum up to 1e-4.
-    """
-    fit = inheritable_thread_target(vectored.sparkSession)(
-        lambda seed: KMeans(k=k, seed=seed, maxIter=max_iter, tol=5e-3).fit(vectored)
-    )
-    with ThreadPoolExecutor(parallelism) as pool:
-        return min(pool.map(fit, seeds), key=lambda m: m.summary.trainingCost)
-
-
 def silhouette(assigned: DataFrame, label: str = "cluster") -> float:
     """Mean silhouette (squared Euclidean, linear cost)."""
     return ClusteringEvaluator(featuresCol="features", predictionCol=label).evaluate(assigned)
@@ -137,26 +118,12 @@ def misplaced(assigned: DataFrame, centres: list[list[float]], features: list[st
     return distances.agg(F.count("*").alias("customers"), F.count_if(F.get("d", F.col("c")) > F.array_min("d") + 1e-9).alias("misplaced"))
 
 
-def choose_k(vectored: DataFrame, ks=range(2, 10), seeds=range(42, 52)) -> tuple[int, dict[int, float]]:
-    """``k`` with the best silhouette, and all silhouettes."""
-    scores = {
-        k: silhouette(best_kmeans(vectored, k, seeds).transform(vectored), "prediction") for k in ks
-    }
-    return max(scores, key=lambda k: (scores[k], -k)), scores
-
-
-def assign_segments(
-    prepared: DataFrame, k: int | None = None, seeds=range(42, 52), features: list[str] = FEATURES
-) -> tuple[DataFrame, KMeansModel]:
-    """``(customers with cluster, model)``; the training set is cached meanwhile."""
-    vectored = vectors(prepared, features).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if k is None:
-            k, _ = choose_k(vectored, seeds=seeds)
-        model = best_kmeans(vectored, k, seeds)
-    finally:
-        vectored.unpersist()
-    return model.transform(vectors(prepared, features)).withColumnRenamed("prediction", "cluster"), model
+def moved(assigned: DataFrame, centres: list[list[float]], tolerance: float, features: list[str] = FEATURES, cluster: str = "cluster") -> DataFrame:
+    """``(clusters, moved)``: centres with members, and how many lie further from their members' mean than a settled one may."""
+    means = assigned.groupBy(cluster).agg(*[F.avg(f).alias(f) for f in features])
+    told = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
+    apart = sum(((F.col(f) - F.get(F.get(told, F.col(cluster)), F.lit(i))) ** 2 for i, f in enumerate(features)), F.lit(0.0))
+    return means.agg(F.count("*").alias("clusters"), F.count_if(apart > tolerance).alias("moved"))
 
 
 def cluster_profile(labelled: DataFrame, cluster: str = "cluster") -> DataFrame:

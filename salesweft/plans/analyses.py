@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from salesweft.operators import baskets, drivers, forecast, segments, selection, series, tree
+from salesweft.operators import baskets, drivers, forecast, kmeans, segments, selection, series, tree
 from salesweft.session import written
 
 
@@ -71,26 +71,25 @@ class SegmentResult:
     k: int
 
 
-def run_segmentation(behaviour: DataFrame, k: int | None = 4, seeds=range(42, 52)) -> SegmentResult:
+def run_segmentation(behaviour: DataFrame, k: int | None = 4, seeds=kmeans.SEEDS) -> SegmentResult:
     """K-means segments of a behaviour table; ``k=None`` picks k by silhouette."""
     spark = behaviour.sparkSession
     behaviour = written(behaviour, "behaviour")
     prepared = written(segments.prepared_features(behaviour), "features")
-    assigned, model = segments.assign_segments(prepared, k, seeds)
+    model = kmeans.choose(prepared, seeds=seeds)[0] if k is None else kmeans.best_of(kmeans.fit(prepared, [k], seeds))[k]
     # The model's labels are kept as a table: every later step reads the same.
-    labels = written(assigned.select("customer_id", "cluster"), "labels")
+    labels = written(kmeans.assigned(prepared, model).select("customer_id", "cluster"), "labels")
     scaled = prepared.join(labels, "customer_id")
     labelled = behaviour.join(labels, "customer_id")
     profile = written(segments.cluster_profile(labelled), "profile")
     centroids = spark.createDataFrame(
-        [tuple(float(v) for v in c) for c in model.clusterCenters()],
-        ", ".join(f"{f} double" for f in segments.FEATURES),
+        model.centres, ", ".join(f"{f} double" for f in segments.FEATURES)
     )
     metrics = {
         "silhouette": segments.silhouette(segments.vectors(scaled)),
         "calinski_harabasz": segments.calinski_harabasz(scaled).first()[0],
         "davies_bouldin": segments.davies_bouldin(scaled).first()[0],
-        "inertia": model.summary.trainingCost,
+        "inertia": model.inertia,
     }
     return SegmentResult(
         profile=profile,
@@ -99,7 +98,7 @@ def run_segmentation(behaviour: DataFrame, k: int | None = 4, seeds=range(42, 52
         labelled=labelled,
         metrics=metrics,
         weights=segments.feature_weights(centroids),
-        k=model.summary.k,
+        k=model.k,
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesweft.functions import dates, labels, numbers
 from salesweft.operators import (
-    baskets, drivers, forecast, ingest, quality, quantiles, rollups, segments, selection, series, tree,
+    baskets, drivers, forecast, ingest, kmeans, quality, quantiles, rollups, segments, selection, series, tree,
 )
 from salesweft.plans import analyses, offline
 from salesweft.session import new_work_dir, written
@@ -983,16 +983,30 @@ def segment_share(spark, sf):
     return _rounded(segments.segment_shares(_profile(spark, sf)), share=6)
 
 
+def _prepared(spark, sf):
+    return written(segments.prepared_features(_behaviour(spark, sf)), "prepared")
+
+
 @query
 def kmeans_assignments(spark, sf):
     return analyses.run_segmentation(_behaviour(spark, sf), k=4).assignments
 
 
+@query
+def kmeans_restarts(spark, sf):
+    """Iterations and inertia of every number of clusters and seed."""
+    models = kmeans.fit(_prepared(spark, sf))
+    rows = [(m.k, m.seed, m.iterations, m.inertia) for m in models]
+    return _rounded(spark.createDataFrame(rows, "k int, seed int, iterations int, inertia double"), inertia=4)
+
+
 @query
 def kmeans_checks(spark, sf):
-    prepared = written(segments.prepared_features(_behaviour(spark, sf)), "prepared")
-    assigned, model = segments.assign_segments(prepared, 4)
-    return segments.misplaced(assigned, [list(map(float, c)) for c in model.clusterCenters()])
+    """Customers, those nearer to another centre, and centres away from the mean of their members."""
+    prepared = _prepared(spark, sf)
+    model = kmeans.best_of(kmeans.fit(prepared, [4]))[4]
+    placed = kmeans.assigned(prepared, model)
+    return segments.misplaced(placed, model.centres).crossJoin(segments.moved(placed, model.centres, kmeans.TOL))
 
 
 @query
@@ -1007,12 +1021,9 @@ def silhouette_fixed(spark, sf):
 @query
 def choose_k(spark, sf):
     """Silhouette of every number of clusters tried, and the one chosen."""
-    vectored = segments.vectors(written(segments.prepared_features(_behaviour(spark, sf)), "prepared")).persist()
-    try:
-        best, scores = segments.choose_k(vectored)
-    finally:
-        vectored.unpersist()
-    return spark.createDataFrame([(k, s, k == best) for k, s in scores.items()], "k int, silhouette double, chosen boolean")
+    chosen, best = kmeans.choose(_prepared(spark, sf))
+    rows = [(k, m.silhouette, k == chosen.k) for k, m in best.items()]
+    return _rounded(spark.createDataFrame(rows, "k int, silhouette double, chosen boolean"), silhouette=6)
 
 
 # Streaming -----------------------------------------------------------------

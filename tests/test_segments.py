@@ -1,6 +1,8 @@
 """Behaviour table, scaling, segment quality, k-means invariants."""
 
 import datetime as dt
+import hashlib
+import math
 import random
 from decimal import Decimal
 
@@ -9,8 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesweft.functions import numbers
-from salesweft.operators import segments as G
-from salesweft.plans import analyses, catalogue
+from salesweft.operators import kmeans, segments as G
+from salesweft.plans import analyses
 
 LINES = "customer_id long, order_id long, order_date date, sales_amount double, category string, season string, region string"
 
@@ -91,32 +93,63 @@ def test_segments_found(result):
     assert result.favourites.where("field = 'Favorite_Category' AND rank = 1").count() == 3
 
 
-def test_choose_k(spark):
-    rows = [(float(c) + (i % 5) / 50, float(c)) for i in range(60) for c in (0, 10, 20)]
-    df = G.vectors(spark.createDataFrame(rows, "a double, b double"), ["a", "b"]).cache()
-    k, scores = G.choose_k(df, ks=range(2, 5), seeds=(42, 43))
-    assert k == 3 and set(scores) == {2, 3, 4}
-
-
-def test_choose_k_query_tries_all(spark, data, monkeypatch):
-    tried = {}
-
-    class Model:
-        def __init__(self, k):
-            self.k = k
-
-        def transform(self, df):
-            return self.k
-
-    def fit(vectored, k, seeds):
-        tried[k] = list(seeds)
-        return Model(k)
-
-    monkeypatch.setattr(G, "best_kmeans", fit)
-    monkeypatch.setattr(G, "silhouette", lambda k, label: 1 - abs(k - 8) / 10)
-    found = {r["k"]: r["chosen"] for r in catalogue.choose_k(spark, data).collect()}
-    assert found == {k: k == 8 for k in range(2, 10)}
-    assert tried == {k: list(range(42, 52)) for k in range(2, 10)}
+def blobs(spark, parts=3):
+    rows = [(i * 3 + n, float(c) + (i % 5) / 50, float(c) + (i % 7) / 40) for i in range(60) for n, c in enumerate((0, 10, 20))]
+    return spark.createDataFrame(rows, "customer_id long, a double, b double").repartition(parts), np.array(rows)
+
+
+def plain_starts(rows, k, seed):
+    chosen = []
+    for step in range(k):
+        best = None
+        for i, *x in rows:
+            h = int(hashlib.md5(f"{seed}|{step}|{int(i)}".encode()).hexdigest()[:13], 16)
+            far = min((sum((p - q) ** 2 for p, q in zip(x, c)) for c in chosen), default=1.0)
+            time = -math.log((h + 0.5) / 2**52) / far if far > 0 else math.inf
+            best = min(best or (math.inf, math.inf, ()), (time, i, tuple(x)))
+        chosen.append(best[2])
+    return chosen
+
+
+def plain_lloyd(rows, centres):
+    x, c, steps = rows[:, 1:], np.array(centres), 0
+    while True:
+        near = ((x[:, None] - c[None]) ** 2).sum(axis=2).argmin(axis=1)
+        new = np.array([x[near == j].mean(axis=0) if (near == j).any() else c[j] for j in range(len(c))])
+        steps, shift, c = steps + 1, ((new - c) ** 2).sum(), new
+        if shift <= kmeans.TOL:
+            return c, steps, ((x[:, None] - c[None]) ** 2).sum(axis=2).min(axis=1).sum()
+
+
+def test_stacked_fits_equal_single_ones(spark):
+    points, rows = blobs(spark)
+    models = kmeans.fit(points, ks=[2, 3, 5], seeds=[1, 2, 3])
+    assert [(m.k, m.seed) for m in models] == [(k, s) for k in (2, 3, 5) for s in (1, 2, 3)]
+    for m in models:
+        centres, steps, inertia = plain_lloyd(rows, plain_starts(rows, m.k, m.seed))
+        assert np.allclose(m.centres, centres) and m.iterations == steps and np.isclose(m.inertia, inertia) and m.settled
+    again = kmeans.fit(blobs(spark, 7)[0], ks=[2, 3, 5], seeds=[1, 2, 3])
+    assert all(np.allclose(a.centres, b.centres) for a, b in zip(models, again))
+
+
+def test_choose_k_and_silhouettes(spark):
+    points, _ = blobs(spark)
+    chosen, best = kmeans.choose(points, ks=range(2, 6), seeds=(42, 43))
+    assert chosen.k == 3 and set(best) == {2, 3, 4, 5}
+    for m in best.values():
+        placed = G.vectors(kmeans.assigned(points, m), ["a", "b"])
+        assert np.isclose(m.silhouette, G.silhouette(placed))
+        assert tuple(G.misplaced(placed, m.centres, ["a", "b"]).first()) == (180, 0)
+        assert tuple(G.moved(placed, m.centres, kmeans.TOL, ["a", "b"]).first()) == (m.k, 0)
+
+
+def test_fewer_points_than_clusters(spark):
+    points = spark.createDataFrame([(1, 1.0), (2, 1.0), (3, 5.0)], "customer_id long, a double")
+    model = kmeans.best_of(kmeans.fit(points, [3], [1, 2]))[3]
+    assert model.inertia == 0 and sorted(set(model.centres)) == [(1.0,), (5.0,)]
+    assert kmeans.silhouettes(points, [model]) == [2 / 3]
+    one = kmeans.fit(points.limit(1), [2], [1])
+    assert len(one) == 1 and len(kmeans.fit(points.limit(0), [2], [1])) == 0
 
 
 def test_equal_centroids_do_not_fail(spark):
