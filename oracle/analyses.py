@@ -318,10 +318,6 @@ EXPLICIT = (*STD, "dif", "mod1", "phi", "fit", "best2")
 FORWARD = ("state", "path", "zhat", "effects", "holidays", "ahead")
 
 
-def _recursive(sql: str) -> str:
-    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
-
-
 _add("daily_series", "sales", body=f"""
 SELECT category, city, strftime(order_date, '%Y-%m-%d') AS ds, {r(m('sales_amount'), 2)} AS y FROM sales
 WHERE category IS NOT NULL AND city IS NOT NULL AND order_date IS NOT NULL GROUP BY category, city, order_date""")
@@ -450,8 +446,6 @@ SELECT {KEY}, {DT}, kind, {r('v', 2)} AS value FROM (
   UNION ALL SELECT {KEY}, ds, 'upper', y FROM daily QUALIFY ROW_NUMBER() OVER ({PART} ORDER BY ds DESC) <= 1
   UNION ALL SELECT region, category, ds, 'forecast', value FROM banded
   UNION ALL SELECT region, category, ds, 'upper', upper FROM banded)""")
-for name in ("forecast_total", "forecast_d0", "forecast_d1", "ar_forecast", "forecast_interval", "forecast_explicit_order", "chart_series"):
-    SQL[name] = _recursive(SQL[name])
 
 # Segments ------------------------------------------------------------------
 

@@ -7,6 +7,8 @@ partitioning by the series keys.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from salesweft.functions import dates, holidays
@@ -141,6 +143,15 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
 
 
+def _scaled(a: Column | str, factor: Column) -> Column:
+    return F.transform(a, lambda x: factor * x)
+
+
+def _less(a: Column | str, factor: Column, b: Column | str) -> Column:
+    """The array a - factor * b."""
+    return F.zip_with(a, b, lambda x, y: x - factor * y)
+
+
 def least_norm(matrix: Column, target: Column, size: int) -> Column:
     """The solution of least norm of symmetric normal equations, as an array.
 
@@ -170,32 +181,55 @@ def least_norm(matrix: Column, target: Column, size: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(3 * size)), state, step, lambda s: s["phi"])
 
 
+def _least_squares(df: DataFrame, p: int) -> DataFrame:
+    """Add ``phis`` and the residuals ``rest``; ``y`` and ``l1`` to ``lp`` are arrays of one length.
+
+    Lag by lag, the rest of the other lags and of the series is made
+    orthogonal to it (modified Gram-Schmidt, as stable as the reflections of
+    numeric libraries), and back substitution gives the coefficients.  A lag of
+    which nothing is left is a combination of the earlier ones; then the
+    normal equations give the solution of least norm.
+    """
+    lags = [f"l{i}" for i in range(1, p + 1)]
+    plain = df.select("*", *[F.col(c).alias(f"v_{c}") for c in (*lags, "y")], *[F.sqrt(_dot(F.col(c), F.col(c))).alias(f"size_{c}") for c in lags])
+    for i, lag in enumerate(lags):
+        left = F.sqrt(_dot(F.col(f"v_{lag}"), F.col(f"v_{lag}")))
+        plain = plain.withColumn(f"r_{lag}", F.when(left > F.col(f"size_{lag}") * 1e-13, left).otherwise(F.lit(0.0)))
+        plain = plain.withColumn("q", _scaled(f"v_{lag}", F.when(F.col(f"r_{lag}") > 0, 1 / F.col(f"r_{lag}")).otherwise(F.lit(0.0))))
+        others = [*lags[i + 1 :], "y"]
+        plain = plain.withColumns({f"r_{lag}_{o}": _dot(F.col("q"), F.col(f"v_{o}")) for o in others})
+        plain = plain.withColumns({f"v_{o}": _less(f"v_{o}", F.col(f"r_{lag}_{o}"), "q") for o in others})
+    for i in reversed(range(p)):
+        above = sum((F.col(f"r_{lags[i]}_{o}") * F.col(f"phi_{o}") for o in lags[i + 1 :]), F.lit(0.0))
+        plain = plain.withColumn(f"phi_{lags[i]}", (F.col(f"r_{lags[i]}_y") - above) / F.nullif(F.col(f"r_{lags[i]}"), F.lit(0.0)))
+    matrix = F.array(*[F.array(*[_dot(F.col(a), F.col(b)) for b in lags]) for a in lags])
+    target = F.array(*[_dot(F.col(a), F.col("y")) for a in lags])
+    full = reduce(lambda a, b: a & b, [F.col(f"r_{c}") > 0 for c in lags])
+    phis = F.when(full, F.array(*[F.col(f"phi_{c}") for c in lags])).otherwise(least_norm(matrix, target, p))
+    rest = F.col("y")
+    for i, c in enumerate(lags):
+        rest = _less(rest, F.get("phis", F.lit(i)), c)
+    return plain.withColumn("phis", phis).withColumn("rest", rest).select(*df.columns, "phis", "rest")
+
+
 def fit_long(rows: DataFrame, keys: list[str], p: int, q: int = 0) -> DataFrame:
     """Models of any order p: least squares on p lags, no intercept, least norm when collinear.
 
-    One aggregation gives the normal equations of all series; residuals are
-    formed from the data in a second one, so a close fit keeps its precision.
+    A series is one fit window at most, so it is one array, and all that
+    follows are array expressions on it.
     """
-    lags = [f"l{n}" for n in range(1, p + 1)]
-    lagged = rows.select(*keys, "ds", "d", "x", *[F.lag("x", n).over(S.by_day(keys)).alias(f"l{n}") for n in range(1, p + 1)])
-    known = F.col(lags[-1]).isNotNull() & F.col("x").isNotNull()
-    total = lambda a, b: F.coalesce(F.sum(F.when(known, F.col(a) * F.col(b))), F.lit(0.0)).alias(f"{a}_{b}")
-    pairs = [(a, b) for i, a in enumerate(lags) for b in lags[i:]]
-    sums = lagged.groupBy(*keys).agg(F.first("d").alias("d"), F.count("x").alias("n"), *[total(a, b) for a, b in pairs], *[total("x", a) for a in lags])
-    row = lambda a: F.array(*[F.col(f"{a}_{b}" if (a, b) in pairs else f"{b}_{a}") for b in lags])
-    equations = sums.where(F.col("n") > p + q + 5).select(
-        *keys, "d", "n", F.array(*[row(a) for a in lags]).alias("matrix"), F.array(*[F.col(f"x_{a}") for a in lags]).alias("target")
-    )
-    solved = equations.select(*keys, "d", "n", least_norm(F.col("matrix"), F.col("target"), p).alias("phis"))
-    rest = F.col("x") - sum((F.get("phis", F.lit(i)) * F.col(a) for i, a in enumerate(lags)), F.lit(0.0))
-    judged = lagged.drop("d").join(solved, keys).withColumn("rest", F.when(known, rest)).groupBy(*keys).agg(
-        *[F.first(c).alias(c) for c in ("d", "n", "phis")], F.sum(F.col("rest") * F.col("rest")).alias("rss"), F.var_pop("rest").alias("sigma2"),
-    )
+    line = F.transform(F.sort_array(F.collect_list(F.when(F.col("x").isNotNull(), F.struct("ds", "x")))), lambda r: r["x"])
+    series = rows.groupBy(*keys).agg(F.first("d").alias("d"), line.alias("line")).withColumn("n", F.size("line").cast("long")).where(F.col("n") > p + q + 5)
+    part = lambda start: F.slice("line", F.lit(start), F.size("line") - p)
+    solved = _least_squares(series.select(*keys, "d", "n", part(p + 1).alias("y"), *[part(p - i + 1).alias(f"l{i}") for i in range(1, p + 1)]), p)
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v)
+    judged = solved.withColumn("rss", _dot(F.col("rest"), F.col("rest"))).withColumn("mean", total("rest") / F.size("rest"))
+    spread = total(F.transform("rest", lambda v: (v - F.col("mean")) * (v - F.col("mean")))) / F.size("rest")
     k, n, rss = p + q + 1, F.col("n"), F.col("rss")
     return judged.select(
         *keys, F.lit(p).alias("p"), "d", F.lit(q).alias("q"), "n",
         F.get("phis", F.lit(0)).alias("phi1"), F.coalesce(F.get("phis", F.lit(1)), F.lit(0.0)).alias("phi2"),
-        "rss", "sigma2", criterion(rss, n, k, F.lit(2.0 * k)).alias("aic"), criterion(rss, n, k, k * F.ln(n)).alias("bic"), "phis",
+        "rss", spread.alias("sigma2"), criterion(rss, n, k, F.lit(2.0 * k)).alias("aic"), criterion(rss, n, k, k * F.ln(n)).alias("bic"), "phis",
     )
 
 

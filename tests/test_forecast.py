@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from salesweft.operators import forecast as Fc, series as S
 from salesweft.plans import analyses
@@ -160,6 +161,30 @@ def test_longer_orders_solve_all_lags(spark):
         assert np.allclose(paths[k], done[-6:], atol=1e-8), k
 
 
+@pytest.mark.parametrize("p", [1, 3, 6])
+def test_least_norm_solves_regular_and_collinear_equations(spark, p):
+    rng = np.random.default_rng(p)
+    rows, want = [], []
+    for rank in [*range(p + 1), p, p]:
+        lags = rng.normal(size=(40, rank)) @ rng.normal(size=(rank, p))
+        y = rng.normal(size=40)
+        rows.append((len(rows), (lags.T @ lags).tolist(), (lags.T @ y).tolist()))
+        want.append(np.linalg.lstsq(lags, y, rcond=1e-10)[0])
+    df = spark.createDataFrame(rows, "i int, matrix array<array<double>>, target array<double>")
+    got = df.select("i", Fc.least_norm(F.col("matrix"), F.col("target"), p).alias("phi")).orderBy("i").collect()
+    for r in got:
+        assert np.allclose(r["phi"], want[r["i"]], atol=1e-7), r["i"]
+
+
+def test_long_orders_of_collinear_series_run_without_python(spark):
+    y = [100.0 + 10 * (-1) ** i for i in range(60)]  # every lag is plus or minus the first
+    rows, models = Fc.fit_models(frame(spark, a=y), KEYS, (4, 0, 0))
+    plan = Fc.fit_long(rows, KEYS, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+    found = models.first()
+    assert np.allclose(found["phis"], [-0.25, 0.25, -0.25, 0.25]) and found["rss"] < 1e-18
+
+
 def test_forecast_without_keys_is_one_series(spark):
     df = frame(spark, a=noise(60))
     one = [tuple(r) for r in Fc.forecast(df, KEYS, 5).drop("k").orderBy("step").collect()]
