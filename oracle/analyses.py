@@ -19,6 +19,10 @@ FROM sales WHERE order_date IS NOT NULL AND city IS NOT NULL AND category IS NOT
 _add("baskets_order", "sales", body="""
 SELECT order_id, string_agg(DISTINCT product, '+' ORDER BY product) AS items, CAST(COUNT(DISTINCT product) AS INTEGER) AS size
 FROM sales WHERE product IS NOT NULL GROUP BY order_id""")
+_add("first_baskets", "sales", body="""
+SELECT order_id, string_agg(DISTINCT product, '+' ORDER BY product) AS items
+FROM sales WHERE product IS NOT NULL GROUP BY order_id ORDER BY order_id LIMIT 5000""")
+_add("first_baskets_whole", "sales", body="SELECT COUNT(DISTINCT order_id) AS baskets, MAX(order_id) AS last_order FROM sales WHERE product IS NOT NULL")
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 _add("basket_matrix", "sales", body="SELECT order_id, " + ", ".join(
     f"CAST(MAX(CASE WHEN category = '{t}' THEN 1 ELSE 0 END) AS INTEGER) AS \"{t}\"" for t in TYPES
@@ -619,4 +623,6 @@ SELECT Source, COUNT(*) AS total, COUNT(*) FILTER (reject_reason IS NULL) AS val
 _add("stream_daily_sales", body=f"""
 SELECT strftime(ts, '%Y-%m-%d') AS date, COUNT(*) AS orders,
   {r("CAST(SUM(CAST(ROUND(value, 4) AS DECIMAL(18,4))) AS DOUBLE)", 2)} AS revenue FROM events GROUP BY 1""")
+_add("stream_first_records", body="""
+SELECT user_id, event_id, event_type FROM events QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts NULLS LAST, event_id) = 1""")
 _add("stream_first_sightings", "raw", body="SELECT DISTINCT Order_ID, Order_Date FROM raw WHERE Order_Date <> 'soon'")

@@ -57,6 +57,10 @@ CTES: dict[str, str] = {
   CAST({AMOUNT} AS DOUBLE) AS Total_Amount, {AMOUNT} AS money, 'CUST-' || o_custkey AS Customer_ID,
   CASE WHEN o_custkey % 17 = 0 THEN 'X' WHEN o_custkey % 13 = 0 THEN NULL WHEN o_custkey % 3 = 0 THEN 'Male'
     WHEN o_custkey % 3 = 1 THEN 'Female' ELSE 'Unknown' END AS Gender,
+  CASE WHEN l_partkey % 61 = 0 THEN 'Barter' WHEN l_partkey % 67 = 0 THEN NULL ELSE CASE l_suppkey % 5 WHEN 0 THEN 'Cash'
+    WHEN 1 THEN 'Credit_Card' WHEN 2 THEN 'Alipay' WHEN 3 THEN 'WeChat_Pay' WHEN 4 THEN 'Member_Card' END END AS Payment_Method,
+  CASE WHEN o_custkey % 19 = 0 THEN 'Old' WHEN o_custkey % 23 = 0 THEN NULL ELSE CASE o_custkey % 6 WHEN 0 THEN '<18' WHEN 1 THEN '18-25'
+    WHEN 2 THEN '26-35' WHEN 3 THEN '36-45' WHEN 4 THEN '46-55' WHEN 5 THEN '>55' END END AS Age_Group,
   l_partkey AS p1, l_suppkey AS p2, l_quantity AS p3, l_extendedprice AS p4, l_discount AS p5, l_shipdate AS p6
   FROM {JOINED})""",
     "typed": """typed AS (SELECT * REPLACE (TRY_CAST(Quantity AS DOUBLE) AS Quantity,

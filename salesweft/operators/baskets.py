@@ -32,8 +32,8 @@ def baskets_from_sales(df: DataFrame, keys=("order_date", "city"), item: str = "
 
 
 def limit_baskets(baskets: DataFrame, n: int | None, *order: str) -> DataFrame:
-    """First ``n`` baskets in key order; all of them by default."""
-    return baskets if n is None else selection.top(baskets, n, *[F.asc(c) for c in order])
+    """First ``n`` baskets in key order, however many they are; all of them by default."""
+    return baskets if n is None else selection.first_rows(baskets, n, [F.asc(c) for c in order])
 
 
 def long_baskets(baskets: DataFrame, keys: list[str], items: str = "items") -> DataFrame:

@@ -6,15 +6,24 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from salesweft.functions import numbers
 from salesweft.sources import order_files, schemas
 
+AMOUNTS = ("Unit_Price", "Discount", "Total_Amount")
+
 
 def unreadable(field: str) -> Column:
     """A value is there but is no number."""
     return F.col(field).isNotNull() & F.col(field).try_cast("double").isNull()
 
 
-def reject_reason(required: list[str] = schemas.REQUIRED_FIELDS) -> Column:
+def unusable(field: str) -> Column:
+    """A number that no exact sum can hold: not finite, or of 1e26 and more."""
+    number = F.col(field).try_cast("double")
+    return number.isNotNull() & ~(numbers.is_finite(number) & (F.abs(number) < F.lit(1e26)))
+
+
+def reject_reason(required: list[str] = schemas.REQUIRED_FIELDS, amounts: tuple[str, ...] = ("Unit_Price",)) -> Column:
     """First failing rule of a record; null when the record is valid.
 
     A date only has to be present here; cleaning judges whether it is one.
@@ -29,6 +38,7 @@ def reject_reason(required: list[str] = schemas.REQUIRED_FIELDS) -> Column:
         F.when(F.col("Quantity").try_cast("double") < 1, "Quantity must be at least 1"),
         F.when(unreadable("Unit_Price"), "Unreadable number: Unit_Price"),
         F.when(F.col("Unit_Price").try_cast("double") < 0, "Unit_Price cannot be negative"),
+        *[F.when(unusable(f), f"Number out of range: {f}") for f in amounts],
     )
 
 
@@ -44,7 +54,8 @@ def validate(df: DataFrame, sources: list[str] = schemas.SOURCES) -> DataFrame:
     Takes records as they came, numbers as text or typed.
     """
     filled = order_files.fill_defaults(df)
-    judged = filled.withColumn("reject_reason", F.coalesce(unknown_source(sources), reject_reason()))
+    amounts = tuple(f for f in AMOUNTS if f in filled.columns)
+    judged = filled.withColumn("reject_reason", F.coalesce(unknown_source(sources), reject_reason(amounts=amounts)))
     return order_files.type_numbers(judged)
 
 

@@ -219,18 +219,31 @@ def rollup_season_category(df: DataFrame) -> DataFrame:
     return rollup_orders(df, DIMENSION_SETS["Season_Category"])
 
 
+def _all_dims(sets: dict[str, list[str]]) -> list[str]:
+    return list(dict.fromkeys(d for s in sets.values() for d in s))
+
+
+def partial_sums(df: DataFrame, sets: dict[str, list[str]] = DIMENSION_SETS) -> DataFrame:
+    """Order count, quantity and amount at the finest grain the sets need; such sums can be added up."""
+    return df.groupBy(*_all_dims(sets)).agg(
+        F.count("Order_ID").alias("n"),
+        F.sum("Quantity").alias("q"),
+        numbers.money_total(F.col("Total_Amount")).alias("a"),
+    )
+
+
 def rollup_all(df: DataFrame, sets: dict[str, list[str]] = DIMENSION_SETS) -> DataFrame:
     """Every roll-up in one pass, with its name in ``dimension``.
 
     Rows are summed once at the finest grain the sets need; the grouping
     sets then expand that small frame, not the order records.
     """
-    dims = list(dict.fromkeys(d for s in sets.values() for d in s))
-    base = df.groupBy(*dims).agg(
-        F.count("Order_ID").alias("n"),
-        F.sum("Quantity").alias("q"),
-        numbers.money_total(F.col("Total_Amount")).alias("a"),
-    )
+    return rollup_partials(partial_sums(df, sets), sets)
+
+
+def rollup_partials(base: DataFrame, sets: dict[str, list[str]] = DIMENSION_SETS) -> DataFrame:
+    """Every roll-up from partial sums; a group may come in several parts."""
+    dims = _all_dims(sets)
     grouped = base.groupingSets([[F.col(d) for d in s] for s in sets.values()], *[F.col(d) for d in dims]).agg(
         F.grouping_id().alias("gid"), *_order_sums(F.sum("q"), F.sum("a"), F.sum("n"))
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from salesweft.session import written
 from salesweft.sources import schemas
 from salesweft.sources.star import year_range
 
@@ -60,6 +61,28 @@ def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def placed(df: DataFrame, order: list[Column], name: str = "place") -> DataFrame:
+    """Add every row's place in the order, from 0, and the number of rows as ``<name>_of``.
+
+    Rows are range-sorted and written; a place is the count of the slices
+    before a row's own plus the place in it, so no task orders the table.
+    """
+    cut = f"_{name}_slice"
+    sliced = written(df.repartitionByRange(*order).withColumn(cut, F.spark_partition_id()), "slices")
+    counts = sliced.groupBy(cut).agg(F.count("*").alias("_n"))
+    before = counts.select(
+        cut, (F.sum("_n").over(Window.orderBy(cut)) - F.col("_n")).alias("_before"),
+        F.sum("_n").over(Window.partitionBy()).alias(f"{name}_of"),
+    )
+    here = F.row_number().over(Window.partitionBy(cut).orderBy(*order)) - 1
+    return sliced.withColumn("_here", here).join(F.broadcast(before), cut).withColumn(name, F.col("_before") + F.col("_here")).drop(cut, "_here", "_before")
+
+
+def first_rows(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
+    """The first ``n`` rows of a total order, for an ``n`` too large for one task."""
+    return placed(df, order, "_place").where(F.col("_place") < n).drop("_place", "_place_of")
+
+
 def first_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
     """First ``n`` rows of each group with their rank.
 

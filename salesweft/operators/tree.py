@@ -208,20 +208,9 @@ def importance(spark: SparkSession, tree: Node) -> DataFrame:
 def with_folds(features: DataFrame, folds: int = 5, columns: list[str] = drivers.FEATURE_COLUMNS) -> DataFrame:
     """Contiguous, unshuffled folds of equal size in key order.
 
-    Rows are range-sorted and written; a row's rank is the count of the
-    slices before its own plus its place in it, so no task orders the table.
     The first folds take one row more when the count does not divide.
     """
-    order = [F.asc(c) for c in columns]
-    sliced = features.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id())
-    sliced = written(sliced, "fold-slices")
-    counts = sliced.groupBy("_slice").agg(F.count("*").alias("_n"))
-    before = counts.select(
-        "_slice", (F.sum("_n").over(Window.orderBy("_slice")) - F.col("_n")).alias("_before"),
-        F.sum("_n").over(Window.partitionBy()).alias("_total"),
-    )
-    place = F.row_number().over(Window.partitionBy("_slice").orderBy(*order)) - 1
-    ranked = sliced.withColumn("_place", place).join(before, "_slice").withColumn("_rank", F.col("_before") + F.col("_place"))
+    ranked = selection.placed(features, [F.asc(c) for c in columns], "_rank").withColumnRenamed("_rank_of", "_total")
     share, more = F.floor(F.col("_total") / folds), F.col("_total") % folds
     long = more * (share + 1)
     fold = F.when(F.col("_rank") < long, F.floor(F.col("_rank") / (share + 1))).otherwise(

@@ -6,7 +6,9 @@ text and item lists as ``A+B`` so that results compare across engines.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,9 +17,9 @@ from salesweft.functions import dates, labels, numbers
 from salesweft.operators import (
     baskets, drivers, forecast, ingest, kmeans, quality, quantiles, rollups, segments, selection, series, tree,
 )
-from salesweft.plans import analyses, offline
+from salesweft.plans import analyses, ledger, offline, upkeep
 from salesweft.session import new_work_dir, written
-from salesweft.sources import order_files, sales_files, schemas, star
+from salesweft.sources import layout, order_files, sales_files, schemas, star
 from salesweft.streaming import orders as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +33,7 @@ BOUNDS = {**schemas.QUALITY_BOUNDS, "Discount": (0, 5000)}
 # The product types of the star schema, one of them left out on purpose.
 ENUMS = {**schemas.ENUMS, "Category": ["STANDARD", "ECONOMY", "SMALL", "LARGE", "MEDIUM"]}
 STEPS = 30
+BASKET_CAP = 5000
 
 
 def query(fn: Query) -> Query:
@@ -137,6 +140,14 @@ def year_pruned_sales(spark, sf):
     ))
 
 
+@query
+def laid_out_year_sales(spark, sf):
+    """One year of the fact, read from tables laid out by year and order key."""
+    fact = layout.lay_out(spark, sf)
+    columns = ["order_date", "sales_amount", "profit", "order_count", "customer_count"]
+    return rollups.sales_by_month(layout.sales(spark, fact, *columns, year=1998))
+
+
 @query
 def union_of_years(spark, sf):
     """The yearly files of the fact, written as such, united and summed up."""
@@ -221,6 +232,45 @@ def ingest_rejects(spark, sf):
     return counted(rejected, "record").unionByName(counted(listed, "delivery"))
 
 
+@query
+def ingest_ledger(spark, sf):
+    """Three runs over growing deliveries in two formats: every file is taken once, a repeated run takes nothing."""
+    folder, out = new_work_dir(spark, "ledger-deliveries"), new_work_dir(spark, "ledger")
+    columns = ["Order_ID", "Region", "Order_Date", "Season", "Category", "Product_Code", "Quantity", "Unit_Price"]
+    raw = written(star.raw_orders(spark, sf, "Source", *columns), "ledger-orders")
+    raw.where("Source IN ('ERP', 'POS', 'FAX')").write.partitionBy("Source").json(f"{folder}/json")
+    raw.where("Source NOT IN ('ERP', 'POS', 'FAX')").write.partitionBy("Source").option("header", True).csv(f"{folder}/csv")
+    first = [(s, f"{folder}/json/Source={s}") for s in ("ERP", "FAX")]
+    later = [("POS", f"{folder}/json/Source=POS"), *[(s, f"{folder}/csv/Source={s}") for s in ("ONLINE_EC", "APP", "MINI_PROGRAM")], ("APP", f"{folder}/nothing.csv")]
+    runs = [ledger.take(spark, deliveries, out) for deliveries in (first, first + later, first + later)]
+    taken = reduce(DataFrame.unionByName, [r.taken for r in runs])
+    found = ledger.records(spark, out).join(taken.select("run", ledger.folder_of("file").alias("delivery")), "delivery")
+    counted = found.groupBy("run", "Source", "reject_reason").agg(F.count("*").alias("records"))
+    refused = reduce(DataFrame.unionByName, [r.refused.select(F.lit(r.run).alias("run"), F.col("source").alias("Source"), F.col("reason").alias("reject_reason"), F.lit(0).cast("long").alias("records")) for r in runs])
+    return counted.unionByName(refused)
+
+
+@query
+def kept_rollups(spark, sf):
+    """All roll-ups from the partial sums of two deliveries, the second of them added twice."""
+    out = new_work_dir(spark, "kept-rollups")
+    orders = _typed_orders(spark, sf, "Order_ID", "Region", "Order_Date", "Category", "Season", "Quantity", "Total_Amount")
+    for delivery, rest in ((1, 0), (2, 1), (2, 1)):
+        upkeep.add_delivery(orders.where(F.pmod(F.split("Order_ID", "-")[0].cast("long"), F.lit(2)) == rest), out, delivery)
+    return _dated(upkeep.kept_rollups(spark, out), "Order_Date")
+
+
+@query
+def cleaning_stamps(spark, sf):
+    """Cleaned orders, and how many carry a cleaning time outside the bounds of the run."""
+    raw = star.raw_orders(spark, sf)
+    before = datetime.datetime.now(datetime.timezone.utc).timestamp()
+    stamps = written(quality.clean_orders(raw, BOUNDS).select("cleaned_at"), "stamps")
+    after = datetime.datetime.now(datetime.timezone.utc).timestamp()
+    at = F.col("cleaned_at").cast("double")
+    return stamps.agg(F.count("*").alias("orders"), F.count_if(at.isNull() | ~at.between(before - 1, after + 1)).alias("outside"), F.count_distinct("cleaned_at").alias("stamps"))
+
+
 @query
 def cleaned_round_trip(spark, sf):
     """Cleaned orders, written by year and read back from the whole tree."""
@@ -277,7 +327,8 @@ def outlier_counts(spark, sf):
 @query
 def enum_violations(spark, sf):
     return quality.enum_violations(
-        star.raw_orders(spark, sf, "Source", "Season", "Category", "Size", "Gender"), ENUMS
+        star.raw_orders(spark, sf, "Source", "Season", "Category", "Size", "Gender", "Age_Group", "Payment_Method"),
+        {**ENUMS, "Payment_Method": schemas.PAYMENT_METHODS},
     )
 
 
@@ -285,7 +336,7 @@ def enum_violations(spark, sf):
 def schema_violations(spark, sf):
     columns = [
         "Order_ID", "Source", "Region", "Order_Date", "Season", "Category", "Product_Code", "Size", "Gender",
-        "Quantity", "Unit_Price", "Discount", "Total_Amount",
+        "Quantity", "Unit_Price", "Discount", "Total_Amount", "Age_Group", "Payment_Method",
     ]
     return quality.schema_violations(_typed_orders(spark, sf, *columns))
 
@@ -450,6 +501,23 @@ def baskets_order(spark, sf):
     return built.select("order_id", baskets.set_text("items").alias("items"), F.size("items").alias("size"))
 
 
+def _limited_baskets(spark, sf, n):
+    built = baskets.baskets_from_sales(star.sales(spark, sf, "order_id", "product"), ["order_id"], "product")
+    return baskets.limit_baskets(built, n, "order_id").select("order_id", baskets.set_text("items").alias("items"))
+
+
+@query
+def first_baskets(spark, sf):
+    """The first baskets in key order, up to the analysis' cap."""
+    return _limited_baskets(spark, sf, BASKET_CAP)
+
+
+@query
+def first_baskets_whole(spark, sf):
+    """A cap beyond the table keeps every basket."""
+    return _limited_baskets(spark, sf, 1 << 40).agg(F.count("*").alias("baskets"), F.max("order_id").alias("last_order"))
+
+
 @query
 def basket_matrix(spark, sf):
     types = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -1073,6 +1141,16 @@ def stream_first_sightings(spark, sf):
     return seen.select("Order_ID", "Order_Date")
 
 
+@query
+def stream_first_records(spark, sf):
+    """The first event of every user over many batches in any order of time."""
+    folder = new_work_dir(spark, "event-files")
+    events = star.table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
+    events.withColumn("ts", F.col("ts").cast("timestamp")).repartition(5, F.col("event_id") % 5).write.parquet(folder)
+    stream = streams.file_stream(spark, folder, spark.read.parquet(folder).schema, files_per_batch=2)
+    return streams.first_records_now(stream, "user_id", ["ts", "event_id"]).select("user_id", "event_id", "event_type")
+
+
 @query
 def stream_undated(spark, sf):
     _, undated = streams.dated(_order_stream(spark, sf, "Order_ID", "Order_Date"), "Order_Date", "at")

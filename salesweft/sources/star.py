@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from salesweft.functions import dates, numbers
+from salesweft.sources import schemas
 
 # column -> tables it needs besides the order lines
 FACT_TABLES = {
@@ -88,28 +89,46 @@ def _expressions() -> dict[str, Column]:
     }
 
 
+def _with_places(spark: SparkSession, folder: str, orders: DataFrame, needed: set[str]) -> DataFrame:
+    # Each dimension is joined by itself, so that Spark judges its size by
+    # itself: a join of dimensions would be estimated as their product.
+    if "customer" in needed:
+        customer = table(spark, folder, "customer")
+        orders = orders.join(customer, orders.o_custkey == customer.c_custkey)
+        if "nation" in needed:
+            nation = table(spark, folder, "nation")
+            orders = orders.join(nation, orders.c_nationkey == nation.n_nationkey)
+            if "region" in needed:
+                region = table(spark, folder, "region")
+                orders = orders.join(region, orders.n_regionkey == region.r_regionkey)
+    return orders
+
+
+def _with_part(spark: SparkSession, folder: str, line: DataFrame, needed: set[str]) -> DataFrame:
+    if "part" in needed:
+        part = table(spark, folder, "part")
+        line = line.join(part, line.l_partkey == part.p_partkey)
+    return line
+
+
 def _join_tables(spark: SparkSession, folder: str, needed: set[str], year: int | None, lines: DataFrame | None):
     line = lines if lines is not None else table(spark, folder, "lineitem")
     if "orders" in needed:
         orders = table(spark, folder, "orders")
         if year:
             orders = orders.where(year_range(F.col("o_orderdate").cast("date"), year))
-        # Each dimension is joined by itself, so that Spark judges its size by
-        # itself: a join of dimensions would be estimated as their product.
-        if "customer" in needed:
-            customer = table(spark, folder, "customer")
-            orders = orders.join(customer, orders.o_custkey == customer.c_custkey)
-            if "nation" in needed:
-                nation = table(spark, folder, "nation")
-                orders = orders.join(nation, orders.c_nationkey == nation.n_nationkey)
-                if "region" in needed:
-                    region = table(spark, folder, "region")
-                    orders = orders.join(region, orders.n_regionkey == region.r_regionkey)
+        orders = _with_places(spark, folder, orders, needed)
         line = line.join(orders, line.l_orderkey == orders.o_orderkey)
-    if "part" in needed:
-        part = table(spark, folder, "part")
-        line = line.join(part, line.l_partkey == part.p_partkey)
-    return line
+    return _with_part(spark, folder, line, needed)
+
+
+def fact_of(spark: SparkSession, folder: str, lines_and_orders: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The wanted columns of the fact over lines that are joined with their orders already."""
+    columns = columns or tuple(FACT_TABLES)
+    needed = {t for c in columns for t in FACT_TABLES[c]}
+    joined = _with_part(spark, folder, _with_places(spark, folder, lines_and_orders, needed), needed)
+    expressions = _expressions()
+    return joined.select(*[expressions[c].alias(c) for c in columns])
 
 
 def year_range(day: Column, year: int) -> Column:
@@ -180,6 +199,14 @@ def _raw_expressions() -> dict[str, tuple[tuple[str, ...], Column]]:
         ),
         "Discount": ((), numbers.half_even(F.col("l_extendedprice") * F.col("l_discount"), 4)),
         "Total_Amount": ((), numbers.half_even(amount, 4)),
+        "Payment_Method": (
+            (),
+            F.when(part % 61 == 0, "Barter").when(part % 67 != 0, _choice(F.col("l_suppkey") % 5, dict(enumerate(schemas.PAYMENT_METHODS)))),
+        ),
+        "Age_Group": (
+            ("orders",),
+            F.when(customer % 19 == 0, "Old").when(customer % 23 != 0, _choice(customer % 6, dict(enumerate(schemas.ENUMS["Age_Group"])))),
+        ),
         "Customer_ID": (("orders",), F.concat(F.lit("CUST-"), customer.cast("string"))),
         "Gender": (
             ("orders",),

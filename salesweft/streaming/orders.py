@@ -13,7 +13,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from salesweft.functions import dates, numbers
 from salesweft.operators import ingest
-from salesweft.session import new_work_dir
+from salesweft.session import new_work_dir, written
 
 
 def file_stream(
@@ -162,6 +162,57 @@ def first_sightings_now(orders: DataFrame, key: str, event_time: str, delay: str
     return spark.read.parquet(out).drop("batch")
 
 
+def first_records(stream: DataFrame, key: str, order: list[str], out: str, checkpoint: str, parts: int = 64, continuous: str | None = None) -> StreamingQuery:
+    """Keep the first record of every key, by the order columns, whenever its repeats arrive.
+
+    The records so far are a snapshot split into parts by a digest of the key.
+    A batch is first cut down to one record per key; the parts it touches are
+    read, merged and written as those parts' versions of this batch, the others
+    stay as they are.  A batch that is run again starts from the versions before
+    it and overwrites its own, so the result does not depend on failures.
+    Unlike a stream's own state, the snapshot has no time limit.
+    """
+
+    def first(records: DataFrame) -> DataFrame:
+        place = F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in order], F.xxhash64(*records.columns))
+        return records.groupBy(key).agg(F.min_by(F.struct(*records.columns), place).alias("r")).select("r.*")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        new = written(first(batch).withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")), "first-records")
+        touched = [r["part"] for r in new.select("part").distinct().collect()]
+        before = current_records(spark, out, batch_id)
+        if before is not None:
+            new = new.unionByName(before.where(F.col("part").isin(touched)))
+        merged = first(new).withColumn("batch", F.lit(batch_id).cast("long"))
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part", "batch").parquet(out)
+
+    return _run(stream, write, checkpoint, continuous=continuous)
+
+
+def current_records(spark: SparkSession, out: str, before: int | None = None) -> DataFrame | None:
+    """The snapshot of :func:`first_records`, with its part; None when there is none.
+
+    Of every part the newest version counts (of those before a batch).
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(out)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return None
+    versions = spark.read.parquet(out).withColumn("batch", F.col("batch").cast("long"))
+    if before is not None:
+        versions = versions.where(F.col("batch") < before)
+    newest = versions.groupBy("part").agg(F.max("batch").alias("batch"))
+    return versions.join(F.broadcast(newest), ["part", "batch"]).drop("batch")
+
+
+def first_records_now(stream: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Drained :func:`first_records`."""
+    spark = stream.sparkSession
+    out = new_work_dir(spark, "first-records")
+    _drain(first_records(stream, key, order, out, new_work_dir(spark, "first-records-state")))
+    return current_records(spark, out).drop("part")
+
+
 def daily_rollup(stream: DataFrame, event_time: str, amount: str, delay: str = "1 day") -> DataFrame:
     """Count and amount per day, kept up to date behind a watermark."""
     return (
