@@ -68,9 +68,10 @@ def importable(spark: SparkSession) -> None:
     """Let Python workers on this machine import the package from where it lies.
 
     Executors elsewhere need it installed or sent along (``--py-files``).
-    Batches of texts to Python are kept small, which bounds workers' memory.
+    Batches of texts to Python are kept small, which bounds workers' memory,
+    unless the session has a size of its own.
     """
-    if int(spark.conf.get(BATCH_BYTES).rstrip("b")) > MAX_BATCH_BYTES:
+    if BATCH_BYTES not in spark.conf.getAll:
         spark.conf.set(BATCH_BYTES, MAX_BATCH_BYTES)
     home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     environment = spark.sparkContext.environment
