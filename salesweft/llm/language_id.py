@@ -3,9 +3,10 @@
 Letters are lower-cased, everything else in ASCII counts as a blank.  Counts
 per language and bucket come from at most about ``rows_per_language`` training
 documents of each language, chosen by a hash of the id; they are summed by
-Spark.  The log-probability matrix (``2**BITS`` times the languages, of which
-the ``max_languages`` most frequent are learned) is broadcast, and whole texts
-are scored in numpy batches.
+Spark.  The log-probability matrix (``2**BITS`` times the languages, 256 KB for
+each) is broadcast, and whole texts are scored in numpy batches.  Every language
+is learned; more than ``MAX_LANGUAGES``, which the matrix would be too large
+for, raise an error.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 ties go to the first language in order; without training rows every text is
@@ -30,7 +31,7 @@ from salesweft.llm.columns import fold, spread
 BITS = 16
 SIZES = (1, 2, 3)
 ROWS_PER_LANGUAGE = 2500
-MAX_LANGUAGES = 64
+MAX_LANGUAGES = 512
 SMOOTHING = 0.5
 SLICE_BYTES = 1 << 19
 UNKNOWN = "und"
@@ -84,12 +85,14 @@ class Model:
     logs: np.ndarray
 
 
-def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", language: str = "lang", rows: int = ROWS_PER_LANGUAGE, languages: int = MAX_LANGUAGES) -> Model:
+def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", language: str = "lang", rows: int = ROWS_PER_LANGUAGE) -> Model:
     """Fit on the rows of known language."""
     known = docs.where(F.col(language).isNotNull() & F.col(text_column).isNotNull()).select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(language).alias("lang")
     )
-    counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
+    counts = known.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages: the broadcast matrix holds 256 KB for each")
     if not counts:
         return Model([], np.zeros(((1 << BITS) + 1, 0), np.float32))
     rate = reduce(lambda c, r: c.when(F.col("lang") == r["lang"], F.lit(rows / r["n"])), counts, F.when(F.lit(False), F.lit(0.0)))

@@ -4,12 +4,19 @@ A classifier trained on a labelled table (hashed words, multinomial logistic
 regression of Spark ML) gives every document a posterior over the domains.
 Document rates r >= 0 are then fitted so that the expected tokens of every
 domain, ``sum(rate * tokens * posterior)``, match the targets: least squares,
-by projected gradient from all rates at 1.  The gradient is taken in the
-metric of the documents' tokens and the residuals are weighted by the inverse
-of the domains' Gram matrix, so the step length is 1 and the first step is
-exact wherever no rate is clipped at zero.  A rate depends only on a
-document's posterior and the residuals so far; an iteration is one
-aggregation, and what comes to the driver is one number per domain.
+by projected gradient from all rates at 1, in the metric of the documents'
+tokens.  Projection is lazy: the steps add up to one vector over the domains,
+and a rate is 1 less the document's posterior times that vector, clipped at
+zero, so it depends on nothing else, however many steps there were.  A step is
+the residual times the inverse of the domains' Gram matrix over the documents
+whose rate is not clipped, exact while no further rate clips.  Several lengths
+are tried in one pass, and the one that leaves the least residual is taken.  An
+iteration is two aggregations of a few numbers per pair of domains.
+
+The fit ends when the targets are reached.  Targets that are not reached (all
+tokens in one domain, say, while every document also holds some of another)
+raise an error that tells what was aimed at and what was reached.  Every domain
+is learned; more than ``MAX_DOMAINS`` raise an error.
 
 Everything on the way is DataFrame functions and Spark ML; there is no Python
 on the executors.
@@ -38,18 +45,20 @@ from salesweft.session import written
 
 FEATURES = 1 << 14
 MAX_ROWS = 8000
-MAX_DOMAINS = 16
-ITERATIONS = 25
+MAX_DOMAINS = 64
+ITERATIONS = 60
 TOLERANCE = 1e-4
+LENGTHS = (16.0, 4.0, 1.0, 0.5, 0.25, 0.06, 0.015)
 PRE = "__mix_"
 
 
 @dataclass(frozen=True)
 class Rates:
-    """The fitted rates: residual steps, and expected tokens before, aimed at and reached."""
+    """The fitted rates: the sum of the steps, and expected tokens before, aimed at and reached."""
 
     domains: list[str]
-    steps: list[list[float]]
+    moved: list[float]
+    steps: int
     before: list[float]
     targets: list[float]
     reached: list[float]
@@ -68,7 +77,9 @@ def _terms(text: Column) -> Column:
 def train(docs: DataFrame, labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text", max_rows: int = MAX_ROWS) -> tuple[list[str], PipelineModel | None]:
     """Domains in order and the model, from at most about ``max_rows`` labelled rows."""
     known = labelled.groupBy("id").agg(F.min("domain").alias("domain"))
-    counts = known.groupBy("domain").count().orderBy(F.desc("count"), "domain").limit(MAX_DOMAINS).collect()
+    counts = known.groupBy("domain").count().limit(MAX_DOMAINS + 1).collect()
+    if len(counts) > MAX_DOMAINS:
+        raise ValueError(f"more than {MAX_DOMAINS} domains: a pass sums the pairs of all of them")
     domains = sorted(r["domain"] for r in counts)
     if len(domains) < 2:
         return domains or ["all"], None
@@ -102,12 +113,9 @@ def with_posteriors(docs: DataFrame, domains: list[str], model: PipelineModel |
     return written(scored.select(*keep, tokens, *posteriors), "mixing-posteriors")
 
 
-def _rate(steps: list[list[float]]) -> Column:
-    rate = F.lit(1.0)
-    for step in steps:
-        move = sum((F.col(f"{PRE}p{i}") * F.lit(y) for i, y in enumerate(step)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - move)
-    return rate
+def _rate(moved: list[float]) -> Column:
+    move = sum((F.col(f"{PRE}p{i}") * F.lit(float(y)) for i, y in enumerate(moved)), F.lit(0.0))
+    return F.greatest(F.lit(0.0), F.lit(1.0) - move)
 
 
 def fit_rates(posteriors: DataFrame, domains: list[str], targets: dict[str, float], anchor: str | None = None) -> Rates:
@@ -120,12 +128,23 @@ def fit_rates(posteriors: DataFrame, domains: list[str], targets: dict[str, floa
     n = len(domains)
     p = [F.col(f"{PRE}p{i}") for i in range(n)]
     tokens = F.col(f"{PRE}tokens")
+    pairs = [(i, j) for i in range(n) for j in range(i, n)]
 
-    def sums(*values: Column) -> list[float]:
-        return [float(x or 0.0) for x in posteriors.agg(*[F.sum(tokens * v) for v in values]).first()]
+    def sums(*values: Column) -> np.ndarray:
+        return np.array([float(x or 0.0) for x in posteriors.agg(*[F.sum(v) for v in values]).first()])
 
-    first = sums(*p, *[p[i] * p[j] for i in range(n) for j in range(n)])
-    before, gram = np.array(first[:n]), np.array(first[n:]).reshape(n, n)
+    def reach(moved: np.ndarray) -> list[Column]:
+        return [tokens * x * _rate(moved) for x in p]
+
+    def gram_at(moved: np.ndarray) -> np.ndarray:
+        """Over the documents that count."""
+        counted = F.when(_rate(moved) > 0, tokens)
+        gram = np.zeros((n, n))
+        for (i, j), x in zip(pairs, sums(*[counted * p[i] * p[j] for i, j in pairs])):
+            gram[i, j] = gram[j, i] = x
+        return gram
+
+    before = sums(*[tokens * x for x in p])
     weights = np.array([max(0.0, targets.get(d, 0.0)) for d in domains]) * (before > 0)
     goal = before * 0
     if anchor in domains and weights[domains.index(anchor)] > 0:
@@ -133,21 +152,23 @@ def fit_rates(posteriors: DataFrame, domains: list[str], targets: dict[str, floa
         goal = np.minimum(before, before[at] * weights / weights[at])
     elif weights.sum() > 0:
         goal = before.sum() * weights / weights.sum()
-    inverse = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
-    steps: list[list[float]] = []
-    reached = before
-    for _ in range(ITERATIONS):
+    moved, reached = np.zeros(n), before
+    gram = metric = None
+    for step in range(ITERATIONS):
         if np.abs(reached - goal).max() <= TOLERANCE * max(1.0, goal.sum()):
-            break
-        steps.append([float(y) for y in inverse @ (reached - goal)])
-        rate = _rate(steps)
-        reached = np.array(sums(*[x * rate for x in p]))
-    return Rates(domains, steps, before.tolist(), goal.tolist(), reached.tolist())
+            return Rates(domains, moved.tolist(), step, before.tolist(), goal.tolist(), reached.tolist())
+        gram = gram_at(moved)
+        metric = np.linalg.pinv(gram, rcond=1e-9, hermitian=True) if metric is None else metric
+        towards = np.linalg.pinv(gram, rcond=1e-12, hermitian=True) @ (reached - goal)
+        tried = [moved + length * towards for length in LENGTHS]
+        ends = sums(*[c for t in tried for c in reach(t)]).reshape(len(tried), n)
+        best = min(range(len(tried)), key=lambda k: float((ends[k] - goal) @ metric @ (ends[k] - goal)))
+        moved, reached = tried[best], ends[best]
+    raise RuntimeError(f"no rates reach the targets: {domains}, aimed at {goal.tolist()}, reached {reached.tolist()}")
 
 
-def _copies(rate: Column, id_column: str, text_column: str, snap: float) -> Column:
-    near = F.when(F.abs(rate - 1) <= snap, F.lit(1.0)).otherwise(rate)
-    return F.floor(near + spread(F.lit(6), F.col(id_column), F.col(text_column))).cast("long")
+def _copies(rate: Column, id_column: str, text_column: str) -> Column:
+    return F.floor(rate + spread(F.lit(6), F.col(id_column), F.col(text_column))).cast("long")
 
 
 def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -156,7 +177,7 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
     domains, model = train(narrow, labelled)
     hashed = narrow.withColumn("h", F.xxhash64("text"))
     table = with_posteriors(hashed, domains, model, ["doc_id", "h"])
-    rate = _rate(fit_rates(table, domains, targets).steps)
+    rate = _rate(fit_rates(table, domains, targets).moved)
     posteriors = F.array(*[F.col(f"{PRE}p{i}") for i in range(len(domains))])
     return table.select(
         "doc_id",
@@ -164,17 +185,14 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
         F.get(F.array(*[F.lit(d) for d in domains]), (F.array_position(posteriors, F.array_max(posteriors)) - 1).cast("int")).alias("domain"),
         posteriors.alias("posteriors"),
         rate.alias("rate"),
-        _copies(rate, "doc_id", "h", 0.0).alias("copies"),
+        _copies(rate, "doc_id", "h").alias("copies"),
     )
 
 
-def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], anchor: str | None = None, snap: float = 0.05, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents at their rates, with all their columns: a rate of 0.3 keeps three in ten, a rate of 2 doubles.
-
-    Rates within ``snap`` of 1 count as 1, so that small corrections drop nothing.
-    """
+def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], anchor: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The documents at their rates, with all their columns: a rate of 0.3 keeps three in ten, a rate of 2 doubles."""
     domains, model = train(docs, labelled, id_column, text_column)
     table = with_posteriors(docs, domains, model, docs.columns, text_column)
-    rate = _rate(fit_rates(table, domains, targets, anchor).steps)
-    copies = table.withColumn(f"{PRE}copies", _copies(rate, id_column, text_column, snap)).where(F.col(f"{PRE}copies") > 0)
+    rate = _rate(fit_rates(table, domains, targets, anchor).moved)
+    copies = table.withColumn(f"{PRE}copies", _copies(rate, id_column, text_column)).where(F.col(f"{PRE}copies") > 0)
     return copies.withColumn(f"{PRE}copy", F.explode(F.sequence(F.lit(1), F.col(f"{PRE}copies").cast("int")))).select(*docs.columns)

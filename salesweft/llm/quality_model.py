@@ -5,7 +5,7 @@ hashed 1- and 2-grams of the lower-case tokens, 1- to 3-grams of token shapes,
 and repeated neighbours; each family's counts are divided by its size.
 
 Training follows the regularised leader (FTRL-proximal) in ``SHARDS`` parallel
-shards whose weights are averaged.  It uses at most about ``max_rows`` labelled
+shards; the weights of those that have rows are averaged.  It uses at most about ``max_rows`` labelled
 rows, chosen by a hash of the id; scoring reads every whole text and is a
 sparse dot product with the broadcast weights (``2**BITS`` floats).
 
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from salesweft.llm import hashing
 from salesweft.llm.columns import fold, spread
+from salesweft.session import written
 
 BITS = 18
 SHARDS = 8
@@ -137,9 +138,10 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         .join(known.where(chosen(F.col("id"))), "id")
         .select(F.pmod(F.xxhash64(F.lit(2), "id"), F.lit(SHARDS)).alias("shard"), F.xxhash64(F.lit(3), "id", "text").alias("place"), "label", "text")
     )
-    sparse = rows.mapInArrow(_sparse_rows, "shard long, place long, label double, index binary, value binary")
+    sparse = written(rows.mapInArrow(_sparse_rows, "shard long, place long, label double, index binary, value binary"), "quality-sample")
     shards = sparse.groupBy("shard").applyInPandas(_train_shard, "feature int, weight double")
-    mean = shards.groupBy("feature").agg((F.sum("weight") / SHARDS).alias("weight")).toPandas()
+    used = max(1, sparse.select("shard").distinct().count())
+    mean = shards.groupBy("feature").agg((F.sum("weight") / used).alias("weight")).toPandas()
     weights = np.zeros((1 << BITS) + 1)
     weights[mean["feature"].to_numpy(dtype=np.int64)] = mean["weight"].to_numpy()
     return weights
