@@ -1,16 +1,20 @@
 """Deterministic sharded WARC writer and reader.
 
-Records are range-sorted by page id over shards of about equal bytes, whose
-bounds come from a bounded histogram of ids and sizes, so the same table
-always gives the same files (one narrow cell of ids is never cut, so shards
-may be larger where ids lie dense).  A task writes the files of one shard: every
-record is a gzip member of its own, and a file is closed once its compressed
-size reaches ``roll_bytes``.  Digests, lengths and headers are made anew from
-the payload.  Files are written under a temporary name and moved; then the
-shard's manifest (file, records, bytes, SHA-256) is written the same way.  A
-repeated or parallel attempt of a task writes equal bytes to equal names, so
-whichever attempt moves last changes nothing; readers only open files that the
-table of manifests lists, and check the record count of each.
+Records are range-sorted by page id, then payload digest, over shards of about
+equal bytes.  The bounds are quantiles by bytes of a sample that is drawn by a
+hash of the record itself (all records of a table of up to ``SAMPLE_ROWS``), so
+the same table always gives the same files, far ids leave the others where they
+are, and dense, equal or null ids are cut like all others; only copies of one
+record, of ``REVISIT_BYTES`` and more, with one id stay together.  The number
+of shards follows from the bytes, and a shard is several files: a task writes
+the files of one shard, every record is a gzip member of its own, and a file is
+closed once its compressed size reaches ``roll_bytes``.  Digests, lengths and
+headers are made anew from the payload.  Files are written under a temporary
+name and moved; then the shard's manifest (file, records, bytes, SHA-256) is
+written the same way.  A repeated or parallel attempt of a task writes equal
+bytes to equal names, so whichever attempt moves last changes nothing.  Readers
+start from the manifests in the folder, in any session: only files that a
+manifest lists are opened, and records, bytes and SHA-256 of each are compared.
 
 The folder may be on any file system that ``pyarrow.fs`` opens by its URI.
 
@@ -31,22 +35,27 @@ import io
 import json
 import os
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from urllib.parse import quote, unquote
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesweft.llm.columns import spread
 from salesweft.session import new_work_dir, written
 
 REVISIT_BYTES = 1000
-ROLL_BYTES = 64 << 20
-SHARD_BYTES = 16 << 20
-CELLS = 20_000
+# Bytes of payload in a shard: a thousandth of the table between these bounds,
+# and a file is closed at a part of that, compressed.
+LEAST_SHARD, MOST_SHARD, SHARDS = 16 << 20, 1 << 30, 1000
+FILES_PER_SHARD = 16
+SAMPLE_ROWS = 500_000
+READ_BYTES = 2 << 20
 LEVEL = 4
-MAX_TASKS = 20_000
 DATE = "2024-01-01T00:00:00Z"  # capture time of pages that come without one
 MANIFEST = "shard int, file string, records long, bytes long, sha256 string"
 
@@ -151,53 +160,89 @@ def _writer(folder: str, roll_bytes: int):
     return run
 
 
-def _with_shards(rows: DataFrame, pages: DataFrame, id_column: str, html_column: str, shard_bytes: int) -> DataFrame:
-    """A shard number per row, non-decreasing in the page id, of about ``shard_bytes`` each."""
-    narrow = pages.select(F.col(id_column).cast("double").alias("at"), (F.coalesce(F.octet_length(html_column), F.lit(0)) + 500).alias("size"))
-    low, high = narrow.agg(F.min("at"), F.max("at")).first()
-    if low is None:
-        return rows.withColumn("shard", F.lit(0))
-    width = max(1e-9, (high - low) / (CELLS - 1))
-    cell = lambda c: F.coalesce(F.floor((c.cast("double") - low) / width), F.lit(-1)).cast("int")
-    sizes = narrow.groupBy(cell(F.col("at")).alias("cell")).agg(F.sum("size").alias("size")).collect()
-    numbers, total = [], 0
-    for found in sorted(sizes, key=lambda r: r["cell"]):
-        numbers.append((found["cell"], total // shard_bytes))
-        total += found["size"]
-    # At most CELLS + 1 rows, so the broadcast has a fixed bound.
-    shards = F.broadcast(rows.sparkSession.createDataFrame(numbers, "__cell int, shard int"))
-    return rows.withColumn("__cell", cell(F.col("page_id"))).join(shards, "__cell").drop("__cell")
-
-
-def write_pages(pages: DataFrame, folder: str, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
+def _with_shards(rows: DataFrame, shard_bytes: int | None) -> tuple[DataFrame, int]:
+    """A shard number per row, non-decreasing in the key (id, digest), and the bytes aimed at for each."""
+    narrow = rows.where("payload IS NOT NULL").select(*KEY, (F.octet_length("payload") + 500).alias("size"))
+    count, total = narrow.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    shard_bytes = shard_bytes or min(MOST_SHARD, max(LEAST_SHARD, total // SHARDS))
+    rate = min(1.0, SAMPLE_ROWS / max(1, count))
+    sample = narrow.where(spread(F.lit(7), *KEY) < rate).toArrow().to_pylist()
+    sample = sorted(((r["known"], r["page_id"] or 0, r["digest"], r["extra"]), r["size"]) for r in sample)
+    bounds, held = [], 0
+    for key, size in sample:
+        if held >= shard_bytes * rate:
+            if not bounds or key > bounds[-1]:
+                bounds.append(key)
+            held = 0
+        held += size
+    sent = rows.sparkSession.sparkContext.broadcast(bounds)
+
+    @F.pandas_udf("int")
+    def shard(known: pd.Series, page: pd.Series, digest: pd.Series, extra: pd.Series) -> pd.Series:
+        keys = zip(known, page.fillna(0), digest, extra)
+        return pd.Series([bisect_right(sent.value, (bool(k), int(p), int(d), int(e))) for k, p, d, e in keys], dtype="int32")
+
+    # Ids go as whole numbers: as doubles, neighbours above 2**53 would be equal.
+    return rows.withColumn("shard", shard("known", F.coalesce("page_id", F.lit(0)), "digest", "extra")), shard_bytes
+
+
+KEY = ["known", "page_id", "digest", "extra"]
+
+
+def write_pages(pages: DataFrame, folder: str, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", roll_bytes: int | None = None, shard_bytes: int | None = None, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
     """Write all pages as WARC files below the folder; returns the table of manifests."""
     folder = _uri(folder)
     files, root = _open(folder)
     files.create_dir(root, recursive=True)
-    url, html = F.coalesce(F.col(url_column), F.lit("")), F.coalesce(F.col(html_column), F.lit(""))
-    empty = F.lit(None)
-    records = pages.select(F.col(id_column).alias("page_id"), url.alias("url"), F.encode(html, "UTF-8").alias("payload"), empty.cast("binary").alias("same"), empty.cast("long").alias("refers_to"))
-    notes = revisits(pages, id_column, html_column, revisit_bytes)
-    notes = notes.select("page_id", F.lit("").alias("url"), empty.cast("binary").alias("payload"), "same", F.col("refers_to").cast("long").alias("refers_to"))
-    # Notes travel with the records and sort before them, so payloads move once.
-    sharded = _with_shards(records.unionByName(notes), pages, id_column, html_column, shard_bytes)
-    dealt = sharded.repartition("shard").sortWithinPartitions("shard", "page_id", F.col("payload").isNotNull(), "url", F.xxhash64("payload"))
-    return written(dealt.mapInArrow(_writer(folder, roll_bytes), MANIFEST), "warc-manifest")
-
-
-def _members(stream: io.IOBase) -> Iterator[bytes]:
-    """The gzip members of a stream, one at a time."""
+    url, payload = F.coalesce(F.col(url_column), F.lit("")), F.encode(F.coalesce(F.col(html_column), F.lit("")), "UTF-8")
+    page, none = F.col(id_column).cast("long").alias("page_id"), F.lit(None)
+    # Small payloads have no notes, so copies of them can be told apart by url as well.
+    extra = F.when(F.octet_length(payload) < revisit_bytes, F.xxhash64(url)).otherwise(F.lit(0).cast("long"))
+    records = pages.select(
+        F.col(id_column).isNotNull().alias("known"), page, F.xxhash64(F.unhex(F.sha2(payload, 256))).alias("digest"), extra.alias("extra"),
+        url.alias("url"), payload.alias("payload"), none.cast("binary").alias("same"), none.cast("long").alias("refers_to"),
+    )
+    notes = revisits(pages, id_column, html_column, revisit_bytes).select(
+        F.col("page_id").isNotNull().alias("known"), F.col("page_id").cast("long").alias("page_id"), F.xxhash64("same").alias("digest"), F.lit(0).cast("long").alias("extra"),
+        F.lit("").alias("url"), none.cast("binary").alias("payload"), "same", F.col("refers_to").cast("long").alias("refers_to"),
+    )
+    # Notes travel with the records, by the same key, and sort before them, so payloads move once.
+    sharded, aimed = _with_shards(records.unionByName(notes), shard_bytes)
+    order = ["shard", *KEY, F.col("payload").isNotNull(), "url"]
+    dealt = sharded.repartition("shard").sortWithinPartitions(*order)
+    columns = dealt.select("shard", "page_id", "url", "payload", "same", "refers_to")
+    return written(columns.mapInArrow(_writer(folder, roll_bytes or max(1, aimed // FILES_PER_SHARD)), MANIFEST), "warc-manifest")
+
+
+def manifests(spark: SparkSession, folder: str) -> DataFrame:
+    """The committed manifests of a folder; none in an empty one."""
+    folder = _uri(folder)
+    files, root = _open(folder)
+    names = [f.base_name for f in files.get_file_info(pyarrow.fs.FileSelector(root, allow_not_found=True))]
+    if not any(n.startswith("manifest-") and n.endswith(".json") for n in names):
+        return spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).option("multiLine", True).json(f"{folder}/manifest-*.json")
+
+
+def _members(stream: io.IOBase, digest) -> Iterator[bytes]:
+    """The gzip members of a stream, one at a time; ``digest`` is brought up to date with what is read."""
+
+    def read() -> bytes:
+        data = stream.read(1 << 20)
+        digest.update(data)
+        return data
+
     machine, out = zlib.decompressobj(31), []
-    data = stream.read(1 << 20)
+    data = read()
     while data:
         out.append(machine.decompress(data))
         if machine.eof:
             yield b"".join(out)
             data, out = machine.unused_data, []
             machine = zlib.decompressobj(31)
-            data = data or stream.read(1 << 20)
+            data = data or read()
         else:
-            data = stream.read(1 << 20)
+            data = read()
     if b"".join(out):
         raise ValueError("the last record is cut off")
 
@@ -221,7 +266,7 @@ def parse_record(data: bytes) -> dict:
 
 
 def read_records(manifest: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
-    """The records of all files in the table of manifests, each file in one task."""
+    """The records of all files in a table of manifests, each file read by one task."""
     folder = _uri(folder)
     fields = [("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]
     names = [n for n, _ in fields if with_payload or n != "payload"]
@@ -230,10 +275,10 @@ def read_records(manifest: DataFrame, folder: str, with_payload: bool = True) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = _open(folder)
         for batch in batches:
-            for name, expected in zip(batch.column("file").to_pylist(), batch.column("records").to_pylist()):
-                count, rows, size = 0, [], 0
+            for name, expected, sha256 in zip(*[batch.column(c).to_pylist() for c in ("file", "records", "sha256")]):
+                count, rows, size, digest = 0, [], 0, hashlib.sha256()
                 with files.open_input_stream(f"{root}/{name}", compression=None) as stream:
-                    for data in _members(stream):
+                    for data in _members(stream, digest):
                         row = parse_record(data)
                         rows.append({n: row[n] for n in names})
                         count, size = count + 1, size + (len(data) if with_payload else 200)
@@ -242,16 +287,20 @@ def read_records(manifest: DataFrame, folder: str, with_payload: bool = True) ->
                             rows, size = [], 0
                 if count != expected:
                     raise ValueError(f"{name} has {count} records, its manifest says {expected}")
+                if digest.hexdigest() != sha256:
+                    raise ValueError(f"{name} does not have the SHA-256 of its manifest")
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
     kinds = {"page_id": "long", "url": "string", "payload": "binary", "payload_bytes": "long", "payload_digest": "string", "record_type": "string", "refers_to": "long"}
-    # One task per file: a manifest row is small, the file behind it is not.
-    files = manifest.select("file", "records").repartition(max(1, min(manifest.count(), MAX_TASKS)), "file")
-    return files.mapInArrow(run, ", ".join(f"{n} {kinds[n]}" for n in names))
+    # A manifest row is small, the file behind it is not: rows are dealt by hand, in tasks of about equal bytes.
+    known = written(manifest.select("file", "records", "bytes", "sha256"), "warc-files")
+    tasks = known.agg(F.coalesce(F.ceil(F.sum("bytes") / READ_BYTES), F.lit(1))).first()[0]
+    return known.repartition(max(1, int(tasks)), "file").mapInArrow(run, ", ".join(f"{n} {kinds[n]}" for n in names))
 
 
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Write all pages to a fresh folder and read every record back."""
+    """Write all pages to a fresh folder and read every record back, from the manifests in it."""
     folder = new_work_dir(spark, "warc")
-    return read_records(write_pages(pages, folder), folder, with_payload=False).drop("url")
+    write_pages(pages, folder)
+    return read_records(manifests(spark, folder), folder, with_payload=False).drop("url")

@@ -78,6 +78,48 @@ def test_damage_is_found(spark, pages):
         warc.read_records(manifest, folder).count()
 
 
+def test_another_reader_starts_from_the_committed_manifests(spark, pages):
+    folder, manifest = write(spark, pages, roll_bytes=3000, shard_bytes=20_000)
+    path = urlparse(folder).path
+    with open(f"{path}/pages-00000-99999.warc.gz", "wb") as out:
+        out.write(b"left by an attempt that was lost")
+    found = warc.manifests(spark, folder)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, manifest.collect()))
+    assert warc.read_records(found, folder).count() == len(ROWS)
+    name = manifest.first().file
+    data = open(f"{path}/{name}", "rb").read()
+    with open(f"{path}/{name}", "wb") as out:  # same records, other bytes
+        out.write(gzip.compress(gzip.decompress(data), 1, mtime=0))
+    with pytest.raises(Exception, match="SHA-256|records"):
+        warc.read_records(found, folder).count()
+
+
+def shards(manifest):
+    sizes = Counter()
+    for r in manifest.collect():
+        sizes[r.shard] += r.records
+    return sizes
+
+
+def test_far_dense_equal_and_null_ids_are_cut(spark):
+    importable(spark)
+    body = lambda k: f"{k} " * 300
+    plain = [(k, f"u{k}", body(k)) for k in range(300)]
+    make = lambda rows: spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    options = {"shard_bytes": 30_000, "roll_bytes": 2_000}
+    usual = shards(write(spark, make(plain), **options)[1])
+    assert len(usual) > 8
+    far = shards(write(spark, make([*plain, (10**15, "far", "far"), (2**62, "far", "far")]), **options)[1])
+    assert len(far) >= len(usual) and max(far.values()) <= max(usual.values()) + 2
+    odd = [*[(None, f"n{k}", body(-k)) for k in range(300)], *[(7, f"s{k}", body(1000 + k)) for k in range(300)], *[(None, f"e{k}", None) for k in range(300)]]
+    folder, manifest = write(spark, make(odd), **options)
+    cut = shards(manifest)
+    assert len(cut) > 15 and max(cut.values()) < 120
+    assert len(manifest.collect()) > 2 * len(cut)  # files roll inside shards
+    found = warc.read_records(warc.manifests(spark, folder), folder).collect()
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in found) == brute(odd)
+
+
 def test_empty_table(spark, pages):
     folder, manifest = write(spark, pages.limit(0))
     assert manifest.count() == 0 and warc.read_records(manifest, folder).count() == 0
