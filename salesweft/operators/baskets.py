@@ -136,7 +136,8 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.01, max_length:
 
 
 def fpgrowth_itemsets(baskets: DataFrame, min_support: float, max_length: int | None = None) -> DataFrame:
-    """The same sets by MLlib FP-growth, the choice for long itemsets."""
+    """The same sets by MLlib FP-growth, the choice for long itemsets; its passes read the baskets as written."""
+    baskets = written(baskets.select("items"), "fpgrowth-baskets")
     prepared = baskets.select(F.array_distinct("items").alias("items")).where(F.size("items") > 0)
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(prepared)
     total = basket_total(baskets)
