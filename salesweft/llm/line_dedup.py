@@ -45,6 +45,7 @@ from salesweft.llm.columns import let
 from salesweft.session import written
 
 MIN_WORDS = 20
+HOT = 1000
 ROW = "__line_dedup_row"
 
 
@@ -278,12 +279,21 @@ def removed_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     profiles = written(ordered.withColumn("row", F.monotonically_increasing_id()), "line-profiles-ordered")
     held = profiles.select("row", "hashes", "words").mapInArrow(_windowed(min_words), "row long, hash long, start int, end int")
     first = F.min(F.struct("row", "start", "end")).alias("first")
-    holders = held.groupBy("hash").agg(first, F.max("row").alias("last")).where("last > first.row").select("hash", F.col("first.row").alias("holder"), F.col("first.start").alias("start"), F.col("first.end").alias("end"))
-    links = held.select("row", "hash").join(holders, "hash").where("holder < row").groupBy("row", "holder").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    shared = held.groupBy("hash").agg(first, F.max("row").alias("last"), F.count("*").alias("n")).where("last > first.row")
+    holders = written(shared.select("hash", "n", F.col("first.row").alias("holder"), F.col("first.start").alias("start"), F.col("first.end").alias("end")), "line-holders")
+    # A line starts and ends one window at most, so no more than HOT windows are
+    # held by more than that share of the documents' lines: these few are sent
+    # to all tasks, and their many rows need not meet.
+    lines = profiles.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()[0]
+    hot = holders.where(F.col("n") > F.lit(2 * lines / HOT)).drop("n")
+    cold = holders.where(F.col("n") <= F.lit(2 * lines / HOT)).drop("n")
+    rows = held.select("row", "hash")
+    met = rows.join(F.broadcast(hot), "hash").unionByName(rows.join(F.broadcast(hot.select("hash")), "hash", "left_anti").join(cold, "hash"))
+    links = met.where("holder < row").groupBy("row", "holder").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     # Of the holder only the lines from the first to the last shared window move on.
-    lines = profiles.select(F.col("row").alias("holder"), F.col("hashes").alias("lines"))
+    texts = profiles.select(F.col("row").alias("holder"), F.col("hashes").alias("lines"))
     earlier = F.slice("lines", F.col("start") + 1, F.col("end") - F.col("start")).alias("earlier")
-    pairs = links.join(lines, "holder").select("row", earlier).join(profiles.select("row", "hashes", "words"), "row")
+    pairs = links.join(texts, "holder").select("row", earlier).join(profiles.select("row", "hashes", "words"), "row")
     blocks = pairs.mapInArrow(_aligned(min_words), "row long, lines array<int>")
     removed = blocks.groupBy("row").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("removed"))
     lines_out = F.coalesce("removed", F.array().cast("array<int>"))
