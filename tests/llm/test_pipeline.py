@@ -47,7 +47,7 @@ def test_rejected_documents_go(spark):
 
 def test_one_query_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.SQL) <= set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and set(queries.SQL) <= set(queries.QUERIES)
 
 
 def test_stages_take_an_empty_table(spark, data):
