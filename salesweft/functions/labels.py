@@ -41,6 +41,7 @@ def category_season(category: Column, seasons: dict[str, list[str]] = CATEGORY_S
 
 def segment_label(frequency: Column, spend: Column) -> Column:
     """Customer segment from mean orders per month and mean spend."""
+    # The limits of the segments.
     return (
         F.when((frequency >= 0.8) & (spend > 6000), VIP)
         .when((frequency >= 0.5) & (frequency < 0.8), STEADY)
@@ -58,6 +59,7 @@ def stocking_priority(value: Column, median: Column, lower_quartile: Column) ->
 
 def rule_value(lift: Column) -> Column:
     """Value tier of an association rule."""
+    # The limits of the tiers.
     high, mid, low = RULE_VALUES
     return F.when(lift > 1.15, high).when(lift > 1.08, mid).otherwise(low)
 
@@ -75,6 +77,7 @@ def fixed_text(value: Column, digits: int) -> Column:
 
 def segment_text(size: Column, orders: Column, spend: Column, order_value: Column, frequency: Column) -> Column:
     """Description sentence of a segment."""
+    # The words of the sentence.
     return F.concat(
         F.lit("该群体包含"), size.cast("string"),
         F.lit("名用户，平均订单数"), fixed_text(orders, 1),
@@ -86,6 +89,7 @@ def segment_text(size: Column, orders: Column, spend: Column, order_value: Colum
 
 def rule_condition(region: Column, season: Column, category: Column) -> Column:
     """Condition text of a regional rule."""
+    # The words of the text.
     return F.concat(
         F.lit("Region="), region, F.lit(", Season="), season, F.lit(", Category="), category
     )
@@ -93,11 +97,13 @@ def rule_condition(region: Column, season: Column, category: Column) -> Column:
 
 def rule_conclusion(volume: Column) -> Column:
     """Conclusion text of a regional rule."""
+    # The words of the text.
     return F.concat(F.lit("Expected Sales Volume: "), fixed_text(volume, 0))
 
 
 def stocking_text(season: Column, region: Column, category: Column, tier: Column, volume: Column) -> Column:
     """Stocking recommendation sentence."""
+    # The words of the sentence.
     return F.concat(
         F.lit("建议在"), season, F.lit("季节向"), region, F.lit("地区重点铺货"), category,
         F.lit("("), tier, F.lit("价位)，预计单店销量"), fixed_text(volume, 0), F.lit("件"),

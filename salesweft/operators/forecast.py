@@ -18,6 +18,8 @@ from salesweft.session import written
 FIT_DAYS = 180
 MIN_POINTS = 30
 NORMAL_95 = 1.96
+# Shares of both parts in the forecast of trend and season.
+AR_WEIGHT, MA_WEIGHT = 0.5, 0.09
 # Key of the one series when a forecast is asked for without keys.
 WHOLE = "_whole"
 
@@ -458,7 +460,7 @@ def trend_season_models(series: DataFrame, keys: list[str], p: int = 2, d: int =
         weighted = weighted + F.when(F.col("idx") >= lag, F.col("acf")[lag] * F.col("r")).otherwise(0.0)
     return (
         smooth.withColumn("season", season).join(acf, keys)
-        .withColumn("fitted", F.col("trend") + F.col("season") + 0.5 * weighted + 0.09 * F.col("ma"))
+        .withColumn("fitted", F.col("trend") + F.col("season") + AR_WEIGHT * weighted + MA_WEIGHT * F.col("ma"))
     )
 
 

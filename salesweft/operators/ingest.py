@@ -28,6 +28,7 @@ def reject_reason(required: list[str] = schemas.REQUIRED_FIELDS, amounts: tuple[
 
     A date only has to be present here; cleaning judges whether it is one.
     """
+    # The reasons for missing fields, quantities and prices.
     missing = [
         F.when(F.coalesce(F.col(f).cast("string"), F.lit("")) == "", f"Missing required field: {f}")
         for f in required

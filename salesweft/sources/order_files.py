@@ -138,6 +138,7 @@ def type_numbers(df: DataFrame) -> DataFrame:
 
 def fill_defaults(df: DataFrame) -> DataFrame:
     """Ingest defaults for absent fields: Quantity 1, money 0.0, texts ''."""
+    # The defaults.
     defaults = {
         "Quantity": 1, "Unit_Price": 0.0, "Discount": 0.0, "Total_Amount": 0.0,
         "Region": "", "Season": "", "Category": "", "Product_Code": "",

@@ -55,6 +55,7 @@ def _field(name, kind, required=False, enum=None, minimum=None, default=None) ->
     return T.StructField(name, _SPARK_TYPES[kind], True, notes)
 
 
+# Names, types and constraints of the declared schemas.
 ORDER = T.StructType([
     _field("Order_ID", "string", True),
     _field("Source", "string", True, ENUMS["Source"]),
