@@ -64,7 +64,7 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their place in sequences; a text without tokens is one empty document."""
+    """Token pieces with their place in sequences; a text without tokens is its end token alone."""
     importable(spark)
     return packing.packed_documents(docs)
 
