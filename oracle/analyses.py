@@ -553,48 +553,53 @@ def _gap(a: str, b: str) -> str:
 
 _P5 = ", ".join(f"p.{f}" for f in F5)
 _DRAW = "-ln((CAST('0x' || substr(md5(seed || '|{0}|' || p.customer_id), 1, 13) AS BIGINT) + CAST(0.5 AS DOUBLE)) / 4503599627370496)"
-_KMEANS = [
-    "pts AS MATERIALIZED (SELECT * FROM scaled)",
-    "seeds AS (SELECT unnest(range(42, 52)) AS seed)",
-    f"""start0 AS MATERIALIZED (SELECT seed, 0 AS j, {_P5} FROM pts p, seeds
-  QUALIFY ROW_NUMBER() OVER (PARTITION BY seed ORDER BY {_DRAW.format(0)}, p.customer_id) = 1)""",
-]
-for _j in range(1, 9):
-    _KMEANS += [
-        f"far{_j} AS (SELECT seed, p.customer_id, MIN({_gap('p', 'c')}) AS d FROM pts p, start{_j - 1} c GROUP BY 1, 2)",
-        f"""start{_j} AS MATERIALIZED (SELECT * FROM start{_j - 1} UNION ALL (SELECT seed, {_j} AS j, {_P5} FROM far{_j} JOIN pts p USING (customer_id)
-  QUALIFY ROW_NUMBER() OVER (PARTITION BY seed ORDER BY CASE WHEN d > 0 THEN {_DRAW.format(_j)} / d ELSE 'inf'::DOUBLE END, p.customer_id) = 1))""",
+def _kmeans(low: int, high: int) -> tuple[str, ...]:
+    """The fits of low to high - 1 clusters for ten seeds."""
+    parts = [
+        "pts AS MATERIALIZED (SELECT * FROM scaled)",
+        "seeds AS (SELECT unnest(range(42, 52)) AS seed)",
+        f"""start0 AS MATERIALIZED (SELECT seed, 0 AS j, {_P5} FROM pts p, seeds
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY seed ORDER BY {_DRAW.format(0)}, p.customer_id) = 1)""",
     ]
-_KMEANS += [
-    f"""lloyd AS (
-  SELECT 0 AS iter, k, seed, j, {', '.join(F5)}, true AS go FROM start8, (SELECT unnest(range(2, 10)) AS k) WHERE j < k
-  UNION ALL
-  SELECT iter + 1, k, seed, j, {', '.join(f'new_{f}' for f in F5)},
-    SUM({' + '.join(f'(new_{f} - old_{f}) * (new_{f} - old_{f})' for f in F5)}) OVER (PARTITION BY k, seed) > 1e-4
-  FROM (SELECT iter, k, seed, best.j AS j, {', '.join(f'AVG({f}) AS new_{f}, ANY_VALUE(best.{f}) AS old_{f}' for f in F5)}
-    FROM (SELECT iter, k, seed, p.customer_id, {', '.join(f'ANY_VALUE(p.{f}) AS {f}' for f in F5)},
-        arg_min(struct_pack(j := l.j, {', '.join(f'{f} := l.{f}' for f in F5)}), {_gap('p', 'l')}) AS best
-      FROM lloyd l, pts p WHERE go AND iter < 300 GROUP BY 1, 2, 3, 4)
-    GROUP BY 1, 2, 3, 4))""",
-    "settled AS MATERIALIZED (SELECT * FROM lloyd WHERE NOT go OR iter = 300)",
-    f"""placed AS MATERIALIZED (SELECT k, seed, iter, p.customer_id, MIN({_gap('p', 'l')}) AS d, arg_min(l.j, {_gap('p', 'l')}) AS cluster
-  FROM settled l, pts p GROUP BY 1, 2, 3, 4)""",
-    "fits AS (SELECT k, seed, ANY_VALUE(iter) AS iterations, SUM(d) AS inertia FROM placed GROUP BY 1, 2)",
-    "chosen_seed AS (SELECT * FROM fits QUALIFY ROW_NUMBER() OVER (PARTITION BY k ORDER BY inertia, seed) = 1)",
-    f"members AS (SELECT placed.k, placed.cluster, {_P5}, p.customer_id FROM placed JOIN chosen_seed USING (k, seed) JOIN pts p USING (customer_id))",
-    f"""group_of AS (SELECT k, cluster, COUNT(*) AS n, AVG({' + '.join(f'{f} * {f}' for f in F5)}) AS q, {', '.join(f'AVG({f}) AS {f}' for f in F5)} FROM members GROUP BY 1, 2)""",
-    f"""apart AS (SELECT p.k, p.customer_id, p.cluster, g.cluster AS other, g.n, {' + '.join(f'p.{f} * p.{f}' for f in F5)} + g.q - 2 * ({' + '.join(f'p.{f} * g.{f}' for f in F5)}) AS d
-  FROM members p JOIN group_of g USING (k))""",
-    """sides AS (SELECT k, customer_id, MAX(CASE WHEN cluster = other THEN n END) AS n,
-    MAX(CASE WHEN cluster = other THEN d * n / GREATEST(n - 1, 1) END) AS a, MIN(CASE WHEN cluster <> other THEN d END) AS b FROM apart GROUP BY 1, 2)""",
-    """shapes AS (SELECT k, AVG(CASE WHEN n = 1 OR b IS NULL OR a = b THEN 0 WHEN a < b THEN 1 - a / b ELSE b / a - 1 END) AS silhouette FROM sides GROUP BY 1)""",
-]
-_add("kmeans_restarts", *BEHAVE, "clipped", "scaled", more=tuple(_KMEANS), body=f"""
+    for _j in range(1, high - 1):
+        parts += [
+            f"far{_j} AS (SELECT seed, p.customer_id, MIN({_gap('p', 'c')}) AS d FROM pts p, start{_j - 1} c GROUP BY 1, 2)",
+            f"""start{_j} AS MATERIALIZED (SELECT * FROM start{_j - 1} UNION ALL (SELECT seed, {_j} AS j, {_P5} FROM far{_j} JOIN pts p USING (customer_id)
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY seed ORDER BY CASE WHEN d > 0 THEN {_DRAW.format(_j)} / d ELSE 'inf'::DOUBLE END, p.customer_id) = 1))""",
+        ]
+    parts += [
+        f"""lloyd AS (
+      SELECT 0 AS iter, k, seed, j, {', '.join(F5)}, true AS go FROM start{high - 2}, (SELECT unnest(range({low}, {high})) AS k) WHERE j < k
+      UNION ALL
+      SELECT iter + 1, k, seed, j, {', '.join(f'new_{f}' for f in F5)},
+        SUM({' + '.join(f'(new_{f} - old_{f}) * (new_{f} - old_{f})' for f in F5)}) OVER (PARTITION BY k, seed) > 1e-4
+      FROM (SELECT iter, k, seed, best.j AS j, {', '.join(f'AVG({f}) AS new_{f}, ANY_VALUE(best.{f}) AS old_{f}' for f in F5)}
+        FROM (SELECT iter, k, seed, p.customer_id, {', '.join(f'ANY_VALUE(p.{f}) AS {f}' for f in F5)},
+            arg_min(struct_pack(j := l.j, {', '.join(f'{f} := l.{f}' for f in F5)}), {_gap('p', 'l')}) AS best
+          FROM lloyd l, pts p WHERE go AND iter < 300 GROUP BY 1, 2, 3, 4)
+        GROUP BY 1, 2, 3, 4))""",
+        "settled AS MATERIALIZED (SELECT * FROM lloyd WHERE NOT go OR iter = 300)",
+        f"""placed AS MATERIALIZED (SELECT k, seed, iter, p.customer_id, MIN({_gap('p', 'l')}) AS d, arg_min(l.j, {_gap('p', 'l')}) AS cluster
+      FROM settled l, pts p GROUP BY 1, 2, 3, 4)""",
+        "fits AS (SELECT k, seed, ANY_VALUE(iter) AS iterations, SUM(d) AS inertia FROM placed GROUP BY 1, 2)",
+        "chosen_seed AS (SELECT * FROM fits QUALIFY ROW_NUMBER() OVER (PARTITION BY k ORDER BY inertia, seed) = 1)",
+        f"members AS (SELECT placed.k, placed.cluster, {_P5}, p.customer_id FROM placed JOIN chosen_seed USING (k, seed) JOIN pts p USING (customer_id))",
+        f"""group_of AS (SELECT k, cluster, COUNT(*) AS n, AVG({' + '.join(f'{f} * {f}' for f in F5)}) AS q, {', '.join(f'AVG({f}) AS {f}' for f in F5)} FROM members GROUP BY 1, 2)""",
+        f"""apart AS (SELECT p.k, p.customer_id, p.cluster, g.cluster AS other, g.n, {' + '.join(f'p.{f} * p.{f}' for f in F5)} + g.q - 2 * ({' + '.join(f'p.{f} * g.{f}' for f in F5)}) AS d
+      FROM members p JOIN group_of g USING (k))""",
+        """sides AS (SELECT k, customer_id, MAX(CASE WHEN cluster = other THEN n END) AS n,
+        MAX(CASE WHEN cluster = other THEN d * n / GREATEST(n - 1, 1) END) AS a, MIN(CASE WHEN cluster <> other THEN d END) AS b FROM apart GROUP BY 1, 2)""",
+        """shapes AS (SELECT k, AVG(CASE WHEN n = 1 OR b IS NULL OR a = b THEN 0 WHEN a < b THEN 1 - a / b ELSE b / a - 1 END) AS silhouette FROM sides GROUP BY 1)""",
+    ]
+    return tuple(parts)
+
+
+_add("kmeans_restarts", *BEHAVE, "clipped", "scaled", more=_kmeans(2, 10), body=f"""
 SELECT CAST(k AS INTEGER) AS k, CAST(seed AS INTEGER) AS seed, iterations, {r('inertia', 4)} AS inertia FROM fits""")
-_add("choose_k", *BEHAVE, "clipped", "scaled", more=tuple(_KMEANS), body=f"""
+_add("choose_k", *BEHAVE, "clipped", "scaled", more=_kmeans(2, 10), body=f"""
 SELECT CAST(k AS INTEGER) AS k, {r('silhouette', 6)} AS silhouette, ROW_NUMBER() OVER (ORDER BY silhouette DESC, k) = 1 AS chosen FROM shapes""")
 _add("kmeans_assignments", *BEHAVE, "clipped", "scaled", more=(
-    *_KMEANS, "labelled AS (SELECT behaviour.*, cluster FROM behaviour JOIN members USING (customer_id) WHERE k = 4)", CTES["profile"],
+    *_kmeans(4, 5), "labelled AS (SELECT behaviour.*, cluster FROM behaviour JOIN members USING (customer_id) WHERE k = 4)", CTES["profile"],
 ), body="""
 SELECT customer_id, CAST(cluster AS INTEGER) AS cluster, portrait_label AS cluster_label FROM labelled JOIN profile USING (cluster)""")
 _add("kmeans_checks", *BEHAVE, body="SELECT COUNT(*) AS customers, 0 AS misplaced, 4 AS clusters, 0 AS moved FROM behaviour")
