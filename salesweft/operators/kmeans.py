@@ -4,7 +4,9 @@ All models, one per number of clusters and seed, are one small table of
 centres.  An iteration is one aggregation over the points: every point finds
 its nearest centre in every model that still moves, and counts and sums by
 model and cluster come back, as many rows as there are centres.  Points are
-neither moved nor cached for it.
+neither moved nor cached for it.  A task sums up its points in numpy, block by
+block: an expression over hundreds of centres is too large to be compiled, and
+interpreted it takes a hundred times longer.
 
 Starts are k-means++: the next centre is drawn with a chance in proportion to
 the squared distance from the centres so far.  The draw is a race,
@@ -20,14 +22,21 @@ two centres belong to the first.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from salesweft.session import importable
+
 TOL = 1e-4
 MAX_ITER = 300
 KS = range(2, 10)
 SEEDS = range(42, 52)
+# Points that a task compares at once; what they need stays in the cache.
+BLOCK = 2048
 
 Centre = tuple[float, ...]
 
@@ -67,25 +76,89 @@ def _each(points: DataFrame, models: list[Model], features: list[str], *keep: st
     return points.select(*keep, *features, F.explode(near).alias("x")).select(*keep, *features, "x.m", "x.near.j", "x.near.d")
 
 
+def _numbers(batch: pa.RecordBatch, features: list[str]) -> np.ndarray:
+    """The features of a batch, one row each; missing values are NaN."""
+    return np.stack([batch.column(f).to_numpy(zero_copy_only=False).astype(float) for f in features])
+
+
+def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances, a row per centre, added up feature by feature as :func:`_squared` does."""
+    out = None
+    for value, at in zip(x, centres.T):
+        part = value[None, :] - at[:, None]
+        part *= part
+        out = part if out is None else np.add(out, part, out=out)
+    return out
+
+
+def _first_least(far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the nearest centre of every point, the first of equal ones, and its distance."""
+    least, number = far[0].copy(), np.zeros(far.shape[1], dtype=np.intp)
+    for j in range(1, len(far)):
+        np.copyto(number, j, where=far[j] < least)
+        np.minimum(least, far[j], out=least)
+    return number, least
+
+
 def starts(points: DataFrame, k: int, seeds, features: list[str], id_column: str) -> dict[int, list[Centre]]:
     """``k`` first centres per seed, in the order they were drawn; all seeds share a pass per centre."""
+    importable(points.sparkSession)
     drawn: dict[int, list[Centre]] = {s: [] for s in seeds}
+    runs = "s int, time double, " + ", ".join(f"`{c}` {points.schema[c].dataType.simpleString()}" for c in (id_column, *features))
     for step in range(k):
-        table = _literal([{"s": s, "c": c} for s, c in drawn.items()], "s:int,c:array<array<double>>")
-
-        def race(x: Column) -> Column:
-            digest = F.md5(F.concat_ws("|", x["s"], F.lit(step), F.col(id_column)).cast("binary"))
-            u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
-            far = F.array_min(F.transform(x["c"], lambda c: _squared(features, c))) if step else F.lit(1.0)
-            return F.struct(x["s"].alias("s"), F.when(far > 0, -F.log(u) / far).otherwise(F.lit(float("inf"))).alias("time"))
-
-        runs = points.select(id_column, *features, F.explode(F.transform(table, race)).alias("x"))
-        first = runs.groupBy("x.s").agg(F.min(F.struct("x.time", id_column, F.array(*features).alias("centre"))).alias("first"))
+        def waiting(s: int) -> Column:
+            digest = F.md5(F.concat_ws("|", F.lit(s), F.lit(step), F.col(id_column)).cast("binary"))
+            return -F.log((F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52)))
+
+        told = {s: np.array(c, dtype=float) for s, c in drawn.items()}
+
+        def race(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x, kept = _numbers(batch, features), batch.select([id_column, *features])
+                for s, centres in told.items():
+                    time = batch.column(f"_{s}").to_numpy()
+                    if len(centres):
+                        far = np.concatenate([_distances(x[:, i : i + BLOCK], centres).min(axis=0) for i in range(0, x.shape[1], BLOCK)])
+                        time = np.where(far > 0, time / np.where(far > 0, far, 1.0), np.inf)
+                    first = pa.array(np.flatnonzero(time == time.min()))
+                    won = [pa.array(np.full(len(first), s, dtype=np.int32)), pa.array(time).take(first), *kept.take(first).columns]
+                    yield pa.RecordBatch.from_arrays(won, names=["s", "time", id_column, *features])
+
+        each = points.select(id_column, *features, *[waiting(s).alias(f"_{s}") for s in drawn])
+        first = each.mapInArrow(race, runs).groupBy("s").agg(F.min(F.struct("time", id_column, F.array(*features).alias("centre"))).alias("first"))
         for r in first.collect():
             drawn[r["s"]].append(tuple(r["first"]["centre"]))
     return {s: c for s, c in drawn.items() if len(c) == k}
 
 
+def _sums(points: DataFrame, models: list[Model], features: list[str]) -> DataFrame:
+    """Points, their squared distances and sums of the features, by model and nearest centre."""
+    told = [np.array(model.centres, dtype=float) for model in models]
+    begin = np.cumsum([0, *[len(c) for c in told]])
+    names = ["m", "j", "n", "d", *features]
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, sums = np.zeros(begin[-1], dtype=np.int64), np.zeros((len(features) + 1, begin[-1]))
+        for batch in batches:
+            x = _numbers(batch, features)
+            for i in range(0, x.shape[1], BLOCK):
+                block = np.ascontiguousarray(x[:, i : i + BLOCK])
+                for centres, a, b in zip(told, begin, begin[1:]):
+                    number, least = _first_least(_distances(block, centres))
+                    n[a:b] += np.bincount(number, minlength=b - a)
+                    for total, value in zip(sums, (least, *block)):
+                        total[a:b] += np.bincount(number, value, b - a)
+        some = np.flatnonzero(n)
+        model = np.repeat(np.arange(len(told), dtype=np.int32), np.diff(begin))
+        cluster = (np.arange(begin[-1]) - begin[model]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(c[some]) for c in (model, cluster, n, *sums)], names=names)
+
+    parts = points.select(*features).mapInArrow(summed, "m int, j int, n bigint, d double, " + ", ".join(f"`{f}` double" for f in features))
+    return parts.groupBy("m", "j").agg(*[F.sum(c).alias(c) for c in names[2:]])
+
+
 def fit(points: DataFrame, ks=KS, seeds=SEEDS, features: list[str] | None = None, id_column: str = "customer_id", max_iter: int = MAX_ITER, tol: float = TOL) -> list[Model]:
     """A model per number of clusters and seed; ``points`` should be a written table, it is read once per iteration."""
     features = features or [c for c in points.columns if c != id_column]
@@ -93,8 +166,7 @@ def fit(points: DataFrame, ks=KS, seeds=SEEDS, features: list[str] | None = None
     models = [Model(k, s, c[:k]) for k in ks for s, c in begun.items()]
     moving = list(models)
     while moving:
-        sums = [F.sum(f).alias(f) for f in features]
-        found = _each(points, moving, features).groupBy("m", "j").agg(F.count("*").alias("n"), F.sum("d").alias("d"), *sums).collect()
+        found = _sums(points, moving, features).collect()
         left = []
         for m, model in enumerate(moving):
             rows = {r["j"]: r for r in found if r["m"] == m}

@@ -132,6 +132,20 @@ def test_stacked_fits_equal_single_ones(spark):
     assert all(np.allclose(a.centres, b.centres) for a, b in zip(models, again))
 
 
+def test_sums_of_many_models_are_compiled(spark):
+    points, rows = blobs(spark)
+    models = [kmeans.Model(k, seed, [tuple(rows[(seed + 7 * j) % len(rows), 1:]) for j in range(k)]) for k in kmeans.KS for seed in kmeans.SEEDS]
+    found = kmeans._sums(points, models, ["a", "b"])
+    assert "transform" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {(r["m"], r["j"]): tuple(r)[2:] for r in found.collect()}
+    for m, model in enumerate(models):
+        far = ((rows[:, None, 1:] - np.array(model.centres)[None]) ** 2).sum(axis=2)
+        near = far.argmin(axis=1)
+        for j in set(near):
+            assert got.pop((m, j)) == pytest.approx([(near == j).sum(), far[near == j, j].sum(), *rows[near == j, 1:].sum(axis=0)])
+    assert not got
+
+
 def test_choose_k_and_silhouettes(spark):
     points, _ = blobs(spark)
     chosen, best = kmeans.choose(points, ks=range(2, 6), seeds=(42, 43))
