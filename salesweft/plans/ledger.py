@@ -66,14 +66,14 @@ def folder_of(file):
 
 
 def _read(spark: SparkSession, fmt: str, entries: list[tuple], json_array: bool) -> DataFrame:
-    """The files of one format as one scan, with file and source."""
+    """The files of one format as one scan, with file and source; the list of files goes to the rows, not they to it."""
     raw = order_files.read_order_text(spark, [e[0] for e in entries], fmt, json_array)
     named = raw.withColumn("_path", F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/"))
     sources = spark.createDataFrame([(f"{e[0]}", e[3]) for e in entries], "_file string, _source string")
     # File names come back as URIs, with blanks and the like encoded.
     known = sources.withColumn("_path", F.regexp_replace("_file", "^file:/+", "file:/"))
     decoded = named.withColumn("_path", F.expr("url_decode(replace(_path, '+', '%2B'))"))
-    return decoded.join(known, "_path").drop("_path").withColumn("Source", F.col("_source")).drop("_source")
+    return decoded.join(F.broadcast(known), "_path").drop("_path").withColumn("Source", F.col("_source")).drop("_source")
 
 
 def take(spark: SparkSession, deliveries: list[tuple[str, str]], out: str, fmt: str | None = None, json_array: bool = False) -> LedgerRun:

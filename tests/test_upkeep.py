@@ -203,3 +203,10 @@ def test_first_rows_and_places(spark, n):
         frames = spark.createDataFrame([(i, ["a"]) for i in range(50)], "k long, items array<string>")
         assert baskets.limit_baskets(frames, n, "k").count() == 37 and baskets.limit_baskets(frames, None, "k").count() == 50
     assert selection.first_rows(df.limit(0), n, order).count() == 0
+
+
+def test_rows_of_a_run_are_not_moved(spark, tmp_path):
+    put(spark, str(tmp_path / "d"), order(0))
+    entries = [(f[0], f[1], f[2], "POS", "json", 0) for f in ledger._files(spark, str(tmp_path / "d"))]
+    df = ledger._read(spark, "json", entries, False)
+    assert df.count() == 1 and "BroadcastHashJoin" in plan(df) and "SortMergeJoin" not in plan(df)
