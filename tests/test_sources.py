@@ -2,12 +2,13 @@
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from salesweft.operators import ingest, quality, rollups, selection
-from salesweft.plans import offline
+from salesweft.plans import catalogue, offline
 from salesweft.sources import order_files, sales_files, schemas
 
 HEADER = ",".join(sales_files.COLUMN_NAMES)
@@ -141,6 +142,35 @@ def test_null_fields_left_out(spark, tmp_path):
     assert json.loads(text) == {"Order_ID": "a"}
 
 
+def test_results_of_an_ingest_are_compressed(spark, tmp_path):
+    rows = [{"Order_ID": f"O{i}", "Region": "r", "Order_Date": "d", "Season": "s", "Category": "c", "Product_Code": "p", "Quantity": i % 2} for i in range(500)]
+    (tmp_path / "o.json").write_text("\n".join(json.dumps(r) for r in rows))
+    result = offline.ingest_files(spark, [("POS", str(tmp_path / "o.json"))], str(tmp_path / "out"))
+    for path in (result.valid_path, result.rejected_path):
+        files = [f for f in Path(path).iterdir() if f.name.startswith("part-")]
+        assert files and all(f.name.endswith(".json.snappy") for f in files)
+        assert spark.read.json(path).select("Order_ID").distinct().count() == 250
+
+
+def test_large_methods_are_not_made(spark):
+    session = spark.newSession()
+    session.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    df = session.createDataFrame([("a", 1.0, 1)], "Order_ID string, Quantity double, input_position int")
+    assert quality.clean_orders(df).count() == 1 and session.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    session.conf.set("spark.sql.codegen.hugeMethodLimit", "9000")
+    quality.clean_orders(df)
+    assert session.conf.get("spark.sql.codegen.hugeMethodLimit") == "9000"
+
+
+def test_totals_of_files_are_hashed(spark):
+    rows = [("csv", "O1", "x", 2, 1.0), ("csv", "O1", "y", None, -1.0), ("csv", None, "x", 3, None), ("csv", "O2", None, 1, -2.0), (None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "format string, Order_ID string, Product_Name string, Quantity long, Unit_Price double")
+    totals = catalogue._file_totals(df, ["format"])
+    assert sorted(map(tuple, totals.collect()), key=repr) == [("csv", 4, 2, 6, 2, "y"), (None, 1, 0, None, 0, None)]
+    # Only the distinct names are sorted for their largest text.
+    assert totals._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 3
+
+
 def test_doubled_quotes_in_csv(spark, tmp_path):
     (tmp_path / "q.csv").write_text('Order_ID,Product_Name\nO1,"a ""b"", c"\n')
     assert order_files.read_orders(spark, str(tmp_path / "q.csv")).first()["Product_Name"] == 'a "b", c'
