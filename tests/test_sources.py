@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salesweft.operators import ingest, quality, rollups, selection
 from salesweft.plans import catalogue, offline
+from salesweft.session import written
 from salesweft.sources import order_files, sales_files, schemas
 
 HEADER = ",".join(sales_files.COLUMN_NAMES)
@@ -215,6 +216,38 @@ def test_hot_order_id_is_cut_before_the_shuffle(spark):
     assert quality.keep_first(df).count() == 1
 
 
+def _order_records(spark, rows):
+    """Records with all required fields: id, name and position."""
+    df = spark.createDataFrame(rows, "Order_ID string, Product_Name string, input_position long")
+    return df.withColumns({c: F.lit("v") for c in ("Source", "Region", "Order_Date", "Season", "Category", "Product_Code")}).withColumn("Quantity", F.lit(1.0))
+
+
+def test_cleaning_shuffles_no_whole_rows(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(selection, "written", lambda df, purpose: made.append(df) or written(df, purpose))
+    cleaned = quality.clean_orders(_order_records(spark, [(f"O{i % 3}", "n", i) for i in range(9)]))
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan and cleaned.count() == 3
+    # The choice of first records is cut per task before its shuffle and reads no other column.
+    choice = made[0]._jdf.queryExecution().executedPlan().toString()
+    assert choice.count("WindowGroupLimit") == 2 and "Product_Name" not in choice
+
+
+@pytest.mark.parametrize("marked_rows", [1 << 27, 1, 7, 64, 100])
+def test_first_records_come_from_every_slice(spark, monkeypatch, marked_rows):
+    monkeypatch.setattr(selection, "MARKED_ROWS", marked_rows)
+    n = 30 if marked_rows < 64 else 1000
+    df = spark.range(n, numPartitions=3).select(
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("O"), F.col("id") % (n // 3))).alias("Order_ID"),
+        F.nullif(F.concat(F.lit("n"), F.col("id")), F.lit("n4")).alias("Product_Name"), (-F.col("id")).alias("input_position"),
+    )
+    stored = written(df.withColumn("_row", F.monotonically_increasing_id()), "test")
+    first = selection.first_stored_row_per_key(stored, "Order_ID", "input_position", "_row").drop("_row")
+    assert sorted(map(tuple, first.collect()), key=repr) == sorted(map(tuple, quality.keep_first(df).collect()), key=repr)
+    none = stored.where("false")
+    assert selection.first_stored_row_per_key(none, "Order_ID", "input_position", "_row").count() == 0
+
+
 def test_reasons_in_rule_order(spark):
     df = spark.createDataFrame(
         [(None, "POS", "0", -1.0), ("x", "POS", "0", -1.0), ("x", "POS", "1", -1.0), ("x", "TV", "1", 1.0)],
